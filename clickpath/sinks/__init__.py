@@ -1 +1,8 @@
-"""Sinks."""
+"""Sinks: table overwrite, JDBC append, replay-safe keyed logs."""
+
+from clickpath.sinks.keyed_log import (BATCH_COL, IncrementLog, KeyedLog, ReplaceLog, SetLog,
+                                       mkdirs)
+from clickpath.sinks.tables import overwrite_table, write_jdbc
+
+__all__ = ["BATCH_COL", "IncrementLog", "KeyedLog", "ReplaceLog", "SetLog", "mkdirs",
+           "overwrite_table", "write_jdbc"]
