@@ -2,7 +2,7 @@
 
 from clickpath.operators.ads import (ad_user_daily, area_ad_daily, area_city_ad_daily,
                                      area_top_ads, area_top_ads_json, blacklist, click_trend,
-                                     clicks_kept, exclude)
+                                     clicks_kept, exclude, trend_windows)
 from clickpath.operators.categories import (category_events, category_metric_counts,
                                             category_metrics, category_session_clicks,
                                             category_top10, category_top10_sessions,
@@ -23,5 +23,6 @@ __all__ = [
     "category_top10_sessions", "click_rows", "click_trend", "clicks_in_categories",
     "clicks_kept", "date_range", "exclude", "flow_pairs", "has_click", "in_values",
     "page_avg_dwell", "page_dwell_rows", "page_flow_conversion", "page_transition_counts",
-    "page_view_counts", "parse_flow", "session_steps", "top_k_per_group", "word_count",
+    "page_view_counts", "parse_flow", "session_steps", "top_k_per_group", "trend_windows",
+    "word_count",
 ]

@@ -97,11 +97,19 @@ def click_trend(clicks: DataFrame, window_s: int = TREND_WINDOW_S,
     then fanning out the aggregate rows costs far less than expanding every click
     into all its windows.
     """
+    per_bucket = (clicks.select((floor_div(F.col("ts_ms"), 1000 * slide_s) * slide_s)
+                                .alias("bucket"))
+                  .groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
+    return trend_windows(per_bucket, window_s, slide_s)
+
+
+def trend_windows(bucket_counts: DataFrame, window_s: int = TREND_WINDOW_S,
+                  slide_s: int = TREND_SLIDE_S) -> DataFrame:
+    """Fan ``(bucket, n)`` counts (bucket = epoch seconds, multiple of ``slide_s``)
+    out to ``(window_end, bucket, n)`` for every sliding window holding the bucket."""
     if window_s % slide_s:
         raise ValueError("window must be a multiple of the slide")
-    per_bucket = (clicks.select(floor_div(F.col("ts_ms"), 1000 * slide_s).alias("_b"))
-                  .groupBy("_b").agg(F.count(F.lit(1)).alias("n")))
     steps = F.sequence(F.lit(1), F.lit(window_s // slide_s))
-    return (per_bucket.select("_b", "n", F.explode(steps).alias("_i"))
-            .select(((F.col("_b") + F.col("_i")) * slide_s).alias("window_end"),
-                    (F.col("_b") * slide_s).alias("bucket"), "n"))
+    return (bucket_counts.select("bucket", "n", F.explode(steps).alias("_i"))
+            .select((F.col("bucket") + F.col("_i") * slide_s).cast("bigint").alias("window_end"),
+                    F.col("bucket").cast("bigint").alias("bucket"), "n"))

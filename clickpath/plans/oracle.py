@@ -135,8 +135,9 @@ FROM top3 GROUP BY date, area"""
 
 
 def _blacklist(batch_expr: str = "batch") -> str:
-    return f"""per_batch AS (SELECT date, ad_id, user_id, {batch_expr} AS batch, count(*) AS c
-              FROM ad_clicks GROUP BY ALL),
+    return f"""per_batch AS (SELECT date, ad_id, user_id, batch, count(*) AS c
+              FROM (SELECT date, ad_id, user_id, {batch_expr} AS batch FROM ad_clicks)
+              GROUP BY date, ad_id, user_id, batch),
 running AS (SELECT user_id, batch,
                    sum(c) OVER (PARTITION BY date, ad_id, user_id ORDER BY batch
                                 RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running

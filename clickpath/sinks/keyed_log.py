@@ -36,6 +36,12 @@ def mkdirs(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
 
 
+def _restrict(df: DataFrame, only: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key columns shared with ``only`` appear in ``only``."""
+    on = [k for k in keys if k in only.columns]
+    return df.join(only.select(*on).distinct(), on, "left_semi")
+
+
 class KeyedLog:
     """Parquet log partitioned by batch id; see the module notes."""
 
@@ -93,7 +99,7 @@ class IncrementLog(KeyedLog):
         """Sum per key; ``only`` restricts to the keys present in that frame."""
         df = self.read(before)
         if only is not None:
-            df = df.join(only.select(*self.keys).distinct(), self.keys, "left_semi")
+            df = _restrict(df, only, self.keys)
         return df.groupBy(*self.keys).agg(F.sum(self.value).cast("bigint").alias(self.value))
 
 
@@ -110,7 +116,7 @@ class ReplaceLog(KeyedLog):
         """Latest value per key, one aggregation (partial ``max_by`` before the shuffle)."""
         df = self.read(before)
         if only is not None:
-            df = df.join(only.select(*self.keys).distinct(), self.keys, "left_semi")
+            df = _restrict(df, only, self.keys)
         latest = F.max_by(F.struct(*self.values), F.col(BATCH_COL)).alias("_v")
         return (df.groupBy(*self.keys).agg(latest)
                 .select(*self.keys, *[F.col(f"_v.{v}").alias(v) for v in self.values]))
