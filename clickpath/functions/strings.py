@@ -25,15 +25,18 @@ def java_split(c: Column, delim: str) -> Column:
     trailing empties, so strip trailing delimiters first. Null stays null.
     """
     pattern = re.escape(delim)
-    stripped = F.regexp_replace(c, f"({pattern})+\\z", "")
+    if len(delim) == 1:
+        stripped = F.rtrim(c, F.lit(delim))     # no regex for the common case
+    else:
+        stripped = F.regexp_replace(c, f"({pattern})+\\z", "")
     return (F.when((c != F.lit("")) & (stripped == F.lit("")), F.array().cast("array<string>"))
             .otherwise(F.split(stripped, pattern)))
 
 
 def java_split_lines_words(text: Column) -> Column:
-    """All words of a text: lines at ``\\n``, then ``java_split`` on one space.
-
-    Stays one array per row (no per-line rows), so a single explode follows.
+    """All words of a text as one array: lines at ``\\n``, then ``java_split`` on
+    one space. For row pipelines prefer exploding lines, then words (see
+    ``operators.words``): higher-order functions run interpreted.
     """
     return F.flatten(F.transform(F.split(text, "\n"), lambda line: java_split(line, " ")))
 

@@ -15,8 +15,8 @@ from clickpath import operators as O
 from clickpath.functions import (DATE_FMT, TIME_FMT, floor_10s_text, floor_seconds, format_time,
                                  is_not_empty, java_split, json_field, parse_time_ms, substring0)
 from clickpath.plans.params import PARAMS
-from clickpath.sources import (format_ad_log, load_ad_clicks, load_visits, parse_ad_log,
-                               read_table)
+from clickpath.sources import (ensure_parallelism, format_ad_log, load_ad_clicks, load_visits,
+                               parse_ad_log, read_table)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,8 +49,8 @@ def visit_date_range(spark, d):
 
 
 def str_is_not_empty(spark, d):
-    lines = read_table(spark, d, "documents").select(
-        F.explode(F.split(F.col("text"), "\n")).alias("line"))
+    docs = ensure_parallelism(read_table(spark, d, "documents").select("text"))
+    lines = docs.select(F.explode(F.split(F.col("text"), "\n")).alias("line"))
     return lines.groupBy(is_not_empty(F.col("line")).alias("not_empty")).agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -206,7 +206,7 @@ def ad_trend_10s(spark, d):
 
 
 def word_count(spark, d):
-    return O.word_count(read_table(spark, d, "documents"))
+    return O.word_count(ensure_parallelism(read_table(spark, d, "documents").select("text")))
 
 
 BATCH_QUERIES: dict[str, Query] = {

@@ -12,6 +12,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over the cluster when the scan yields fewer partitions than it
+    has cores (e.g. one large-row-group file feeding CPU-heavy text work).
+
+    Large inputs already scan as many partitions, so this adds no shuffle at
+    scale; the check only plans the scan, it runs nothing.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def read_visit_actions(spark: SparkSession, source: str) -> DataFrame:
     """The visit-action table by catalog name or parquet path, conformed to its schema.
 
