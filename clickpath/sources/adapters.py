@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpath.functions import DATE_FMT, TIME_FMT, floor_div, json_field
-from clickpath.sources.tables import read_table
+from clickpath.sources.tables import broadcast_if_small, read_table
 
 # Fixed values of the fixture mapping (FIXTURES.md sections 3 and 4).
 N_PAGES = 10          # page_id = k % 10 + 1
@@ -66,8 +66,10 @@ def visits_from_events(events: DataFrame) -> DataFrame:
 def ad_clicks_from_events(events: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """``events`` -> ad clicks with area/city from ``region``/``nation`` (FIXTURES.md section 4).
 
-    ``nation`` and ``region`` are fixed-size dimension tables; Catalyst broadcasts
-    them from their file-size statistics, no hint needed.
+    ``nation`` and ``region`` are fixed-size dimension tables (25 and 5 rows), so
+    their join is broadcast after a planned-size check. Left to itself the
+    planner may estimate the dimension join (a product of sizes) above a small
+    ``events`` file and broadcast the fact side instead.
     """
     ts_ms = F.unix_millis(F.col("ts").cast("timestamp"))
     clicks = events.select(
@@ -76,7 +78,7 @@ def ad_clicks_from_events(events: DataFrame, nation: DataFrame, region: DataFram
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         F.col("n_nationkey").cast("bigint").alias("nation_key"),
         F.col("n_name").alias("city"), F.col("r_name").alias("area"))
-    return clicks.join(geo, "nation_key").select(
+    return clicks.join(broadcast_if_small(geo), "nation_key").select(
         "event_id", "user_id", "ts_ms",
         F.date_format(F.timestamp_millis(F.col("ts_ms")), DATE_FMT).alias("date"),
         "area", "city",

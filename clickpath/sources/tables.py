@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickpath import schema as S
 
+# Largest side we broadcast on a planner-size check (plan statistics, no job run).
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's parquet tables; Catalyst prunes columns and pushes filters."""
@@ -25,6 +29,19 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     return df
 
 
+def plan_size_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan (file sizes for scans); runs no job."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Hint a broadcast only when the side's planned size is within ``max_bytes``;
+    beyond it the planner keeps a shuffle join (and AQE may still broadcast it
+    once the real size is known)."""
+    return F.broadcast(df) if plan_size_bytes(df) <= max_bytes else df
+
+
 def read_visit_actions(spark: SparkSession, source: str) -> DataFrame:
     """The visit-action table by catalog name or parquet path, conformed to its schema.
 
