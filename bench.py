@@ -1,7 +1,7 @@
 """Benchmark the headline reports; prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3). Each query runs once to warm up, then BENCH_RUNS times;
+BENCH_RUNS (default 5). Each query runs once to warm up, then BENCH_RUNS times;
 the median is reported. Results are executed in full through the ``noop`` sink
 (nothing is collected to the driver).
 """
@@ -35,7 +35,7 @@ HEADLINE = {
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = build_session(f"local[{cpus}]", cpus, app_name="clickpath-bench",
                           extra={"spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
