@@ -12,6 +12,12 @@ three Redis semantics:
 
 ``before=b`` restricts a read to batches ``< b``, so a replayed batch sees the
 same state as its first run. Reads never go through the driver.
+
+``compact(upto)`` folds batches ``<= upto`` into a snapshot
+(``<path>/_snapshot/upto=<N>/``, skipped by the reader of the log itself). A read
+then takes the newest snapshot below ``before`` plus only the later batch
+partitions (partition pruning), so a long-running job's per-batch reads stop
+growing with its history. Batch partitions are kept, so replay stays exact.
 """
 
 from __future__ import annotations
@@ -36,6 +42,22 @@ def mkdirs(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
 
 
+def _list_snapshots(spark: SparkSession, path: str) -> list[int]:
+    """``upto`` values of the snapshots under ``path`` (a metadata listing)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    out = []
+    for status in fs.listStatus(p):
+        name = status.getPath().getName()
+        if name.startswith("upto=") and fs.exists(
+                jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+            out.append(int(name[len("upto="):]))
+    return sorted(out)
+
+
 def _restrict(df: DataFrame, only: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key columns shared with ``only`` appear in ``only``."""
     on = [k for k in keys if k in only.columns]
@@ -68,16 +90,45 @@ class KeyedLog:
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH_COL).parquet(self.path))
 
+    def _read_batches(self) -> DataFrame:
+        return (self.spark.read.schema(self._read_schema).option("basePath", self.path)
+                .parquet(self.path))
+
     def read(self, before: int | None = None) -> DataFrame:
-        """All rows with their ``batch_id``; only batches ``< before`` if given."""
-        df = (self.spark.read.schema(self._read_schema).option("basePath", self.path)
-              .parquet(self.path))
+        """All rows with their ``batch_id``; only batches ``< before`` if given.
+
+        When a snapshot below ``before`` exists, its folded rows (tagged with the
+        snapshot's ``upto`` as batch id) replace the batches it covers.
+        """
+        df = self._read_batches()
         if before is not None:
             df = df.where(F.col(BATCH_COL) < F.lit(int(before)))
-        return df
+        ups = [u for u in _list_snapshots(self.spark, self.snapshot_dir)
+               if before is None or u < before]
+        if not ups:
+            return df
+        upto = ups[-1]
+        snap = (self.spark.read.schema(self._read_schema)
+                .parquet(f"{self.snapshot_dir}/upto={upto}"))
+        return snap.unionByName(df.where(F.col(BATCH_COL) > F.lit(upto)))
+
+    @property
+    def snapshot_dir(self) -> str:
+        return f"{self.path}/_snapshot"
+
+    def _fold(self, rows: DataFrame) -> DataFrame:
+        """Fold rows of many batches into the rows of one (per log type)."""
+        return rows.select(*self.columns).distinct()
+
+    def compact(self, upto: int) -> None:
+        """Write the folded state of batches ``<= upto`` as a snapshot (idempotent)."""
+        folded = self._fold(self.read(before=int(upto) + 1))
+        (folded.select(*self.columns, F.lit(int(upto)).cast("bigint").alias(BATCH_COL))
+         .write.mode("overwrite").parquet(f"{self.snapshot_dir}/upto={int(upto)}"))
 
     def read_batch(self, batch_id: int) -> DataFrame:
-        return self.read().where(F.col(BATCH_COL) == F.lit(int(batch_id)))
+        """The rows written by one batch (never from a snapshot)."""
+        return self._read_batches().where(F.col(BATCH_COL) == F.lit(int(batch_id)))
 
 
 class SetLog(KeyedLog):
@@ -102,6 +153,9 @@ class IncrementLog(KeyedLog):
             df = _restrict(df, only, self.keys)
         return df.groupBy(*self.keys).agg(F.sum(self.value).cast("bigint").alias(self.value))
 
+    def _fold(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*self.keys).agg(F.sum(self.value).cast("bigint").alias(self.value))
+
 
 class ReplaceLog(KeyedLog):
     """``HSET``: the value of a key is the one written by its latest batch."""
@@ -117,6 +171,9 @@ class ReplaceLog(KeyedLog):
         df = self.read(before)
         if only is not None:
             df = _restrict(df, only, self.keys)
+        return self._fold(df)
+
+    def _fold(self, rows: DataFrame) -> DataFrame:
         latest = F.max_by(F.struct(*self.values), F.col(BATCH_COL)).alias("_v")
-        return (df.groupBy(*self.keys).agg(latest)
+        return (rows.groupBy(*self.keys).agg(latest)
                 .select(*self.keys, *[F.col(f"_v.{v}").alias(v) for v in self.values]))

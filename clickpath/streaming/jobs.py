@@ -26,10 +26,18 @@ FIVE_SECONDS = {"processingTime": "5 seconds"}
 class _Job:
     output_mode = "append"
 
-    def __init__(self, spark: SparkSession, out_dir: str):
+    def __init__(self, spark: SparkSession, out_dir: str, compact_every: int | None = None):
         self.spark = spark
         self.out_dir = out_dir.rstrip("/")
         self.checkpoint = f"{self.out_dir}/_checkpoint"
+        self.compact_every = compact_every
+
+    def _maybe_compact(self, batch_id: int, *logs) -> None:
+        """Snapshot the logs every ``compact_every`` batches, so the per-batch
+        reads of a long-running job cover at most that many batch partitions."""
+        if self.compact_every and (int(batch_id) + 1) % self.compact_every == 0:
+            for log in logs:
+                log.compact(batch_id)
 
     def plan(self, lines: DataFrame) -> DataFrame:
         """The streaming part before the per-batch sink."""
@@ -103,8 +111,8 @@ class AreaTopAdsJob(_Job):
 
     output_mode = "update"
 
-    def __init__(self, spark, out_dir, k: int = 3):
-        super().__init__(spark, out_dir)
+    def __init__(self, spark, out_dir, k: int = 3, compact_every: int | None = 100):
+        super().__init__(spark, out_dir, compact_every)
         self.k = k
         self.counts = ReplaceLog(spark, f"{self.out_dir}/counts",
                                  "date string, area string, ad_id bigint, n bigint",
@@ -121,6 +129,7 @@ class AreaTopAdsJob(_Job):
         touched = self.counts.read_batch(batch_id).select("date", "area")
         current = self.counts.latest(only=touched)
         self.top.write(O.area_top_ads_json(O.area_top_ads(current, self.k)), batch_id)
+        self._maybe_compact(batch_id, self.counts)
 
     def result(self) -> DataFrame:
         return self.top.latest()
@@ -170,8 +179,9 @@ class BlacklistJob(_Job):
 
     KEYS = ["date", "ad_id", "user_id"]
 
-    def __init__(self, spark, out_dir, threshold: int = O.ads.DEFAULT_THRESHOLD):
-        super().__init__(spark, out_dir)
+    def __init__(self, spark, out_dir, threshold: int = O.ads.DEFAULT_THRESHOLD,
+                 compact_every: int | None = 100):
+        super().__init__(spark, out_dir, compact_every)
         self.threshold = threshold
         self.counts = IncrementLog(spark, f"{self.out_dir}/counts",
                                    "date string, ad_id bigint, user_id bigint, n bigint",
@@ -191,6 +201,7 @@ class BlacklistJob(_Job):
         new = crossed.join(listed, "user_id", "left_anti")
         self.listed.write(new.withColumn("listed_batch", F.lit(int(batch_id)).cast("bigint")),
                           batch_id)
+        self._maybe_compact(batch_id, self.counts, self.listed)
 
     def result(self) -> DataFrame:
         """(user_id, first_batch): each listed user and the batch that listed them."""

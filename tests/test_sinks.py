@@ -46,3 +46,27 @@ def test_write_many_replaces_only_its_batches(spark):
     log.write_many(df, "b")
     log.write_many(df.where("b = 1"), "b")
     assert rows(log.totals()) == [("a", 3)]
+
+
+def test_compaction_keeps_results_and_replay(spark):
+    work = new_work_dir(spark, "t-compact")
+    inc = IncrementLog(spark, f"{work}/i", "k string, n bigint", ["k"], "n")
+    rep = ReplaceLog(spark, f"{work}/r", "k string, v bigint", ["k"])
+    st = SetLog(spark, f"{work}/s", "k string")
+    for b in range(6):
+        df = spark.createDataFrame([("a", b), (f"k{b % 2}", 1)], "k string, n bigint")
+        inc.write(df, b)
+        rep.write(df.withColumnRenamed("n", "v"), b)
+        st.write(df.select("k"), b)
+        if b in (2, 4):
+            for log in (inc, rep, st):
+                log.compact(b)
+    assert rows(inc.totals()) == [("a", 15), ("k0", 3), ("k1", 3)]
+    assert rows(inc.totals(before=4)) == [("a", 6), ("k0", 2), ("k1", 2)]   # snapshot 2 + batch 3
+    assert rows(inc.totals(before=2)) == [("a", 1), ("k0", 1), ("k1", 1)]   # no snapshot below 2
+    assert rows(rep.latest()) == [("a", 5), ("k0", 1), ("k1", 1)]
+    assert rows(rep.latest(before=4)) == [("a", 3), ("k0", 1), ("k1", 1)]
+    assert rows(st.members()) == [("a",), ("k0",), ("k1",)]
+    assert rows(inc.read_batch(1), "k", "n") == [("a", 1), ("k1", 1)]
+    inc.write(spark.createDataFrame([("a", 1)], "k string, n bigint"), 1)   # replay batch 1
+    assert rows(inc.totals()) == [("a", 15), ("k0", 3), ("k1", 3)]          # snapshot 4 covers it

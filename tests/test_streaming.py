@@ -25,7 +25,8 @@ def test_stream_blacklist_equals_batch_loop(spark):
                                        (3, 2, 1)]):
         data += [(day + b * 1000 + i, "AREA", "C_1", user, ad, b) for i in range(n)]
     df, parts = _parts(spark, data)
-    job = J.BlacklistJob(spark, new_work_dir(spark, "t-bl") + "/job", threshold=3)
+    job = J.BlacklistJob(spark, new_work_dir(spark, "t-bl") + "/job", threshold=3,
+                         compact_every=2)
     got = dict(replay(spark, parts, job, new_work_dir(spark, "t-bl-in")).collect())
     want = simulate_blacklist([("2024-01-01", d[4], d[3], d[5], 0, 0) for d in data], 3)
     assert got == want == {1: 1, 2: 2, 3: 5}
@@ -39,7 +40,7 @@ def test_stream_counts_and_top3_equal_batch(spark):
     acd = O.area_city_ad_daily(clicks)
     job = J.AreaCityAdDailyJob(spark, new_work_dir(spark, "t-acd") + "/job")
     assert rows(replay(spark, parts, job, new_work_dir(spark, "t-acd-in"))) == rows(acd)
-    job = J.AreaTopAdsJob(spark, new_work_dir(spark, "t-top") + "/job")
+    job = J.AreaTopAdsJob(spark, new_work_dir(spark, "t-top") + "/job", compact_every=2)
     want = O.area_top_ads_json(O.area_top_ads(O.area_ad_daily(acd), 3))
     assert rows(replay(spark, parts, job, new_work_dir(spark, "t-top-in"))) == rows(want)
     job = J.ClickTrendJob(spark, new_work_dir(spark, "t-tr") + "/job")
