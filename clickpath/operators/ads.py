@@ -89,7 +89,7 @@ def clicks_kept(clicks: DataFrame, listed: DataFrame, batch_col: str = "batch")
 
 
 def click_trend(clicks: DataFrame, window_s: int = TREND_WINDOW_S,
-                slide_s: int = TREND_SLIDE_S) -> DataFrame:
+                slide_s: int = TREND_SLIDE_S, exclude_users: DataFrame | None = None) -> DataFrame:
     """(window_end, bucket, n): clicks per ``slide_s`` bucket in every sliding window.
 
     Epoch seconds. A bucket lies in the ``window_s / slide_s`` windows that end
@@ -97,7 +97,8 @@ def click_trend(clicks: DataFrame, window_s: int = TREND_WINDOW_S,
     then fanning out the aggregate rows costs far less than expanding every click
     into all its windows.
     """
-    per_bucket = (clicks.select((floor_div(F.col("ts_ms"), 1000 * slide_s) * slide_s)
+    per_bucket = (exclude(clicks, exclude_users)
+                  .select((floor_div(F.col("ts_ms"), 1000 * slide_s) * slide_s)
                                 .alias("bucket"))
                   .groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
     return trend_windows(per_bucket, window_s, slide_s)
