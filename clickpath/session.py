@@ -27,6 +27,10 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Python call-site capture for DataFrame error messages costs extra JVM round
+    # trips on every Column call; plan building is several times faster without.
+    # PySpark reads it once per process, so it must be set before the first call.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
