@@ -12,13 +12,14 @@ tests use ``availableNow``.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickpath import operators as O
-from clickpath.sinks import IncrementLog, ReplaceLog, SetLog
-from clickpath.sources import parse_ad_log
+from clickpath.sinks import IncrementLog, KeyedLog, ReplaceLog, SetLog
+from clickpath.sources import parse_ad_log, reject_ad_log
 
 FIVE_SECONDS = {"processingTime": "5 seconds"}
 
@@ -39,6 +40,15 @@ class _Job:
             for log in logs:
                 log.compact(batch_id)
 
+    def _rejects(self) -> KeyedLog:
+        """Dead-letter log of lines the parser could not use, per batch (Q18)."""
+        return KeyedLog(self.spark, f"{self.out_dir}/rejects", "value string")
+
+    def _parse(self, batch: DataFrame, batch_id: int, rejects: KeyedLog | None) -> DataFrame:
+        if rejects is not None:
+            rejects.write(reject_ad_log(batch), batch_id)
+        return parse_ad_log(batch)
+
     def plan(self, lines: DataFrame) -> DataFrame:
         """The streaming part before the per-batch sink."""
         return lines
@@ -62,16 +72,22 @@ class AreaCityAdDailyJob(_Job):
 
     KEYS = ["date", "area", "city", "ad_id"]
 
-    def __init__(self, spark, out_dir, exclude_users: DataFrame | None = None):
+    def __init__(self, spark, out_dir, exclude_users: DataFrame | None = None,
+                 keep_rejects: bool = True):
         super().__init__(spark, out_dir)
         self.exclude_users = exclude_users
         self.counts = IncrementLog(
             spark, f"{self.out_dir}/counts",
             "date string, area string, city string, ad_id bigint, n bigint", self.KEYS, "n")
+        self.rejects = self._rejects() if keep_rejects else None
 
     def process(self, batch, batch_id):
-        clicks = parse_ad_log(batch)
-        self.counts.write(O.area_city_ad_daily(clicks, self.exclude_users), batch_id)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read by two writes
+        try:
+            clicks = self._parse(batch, batch_id, self.rejects)
+            self.counts.write(O.area_city_ad_daily(clicks, self.exclude_users), batch_id)
+        finally:
+            batch.unpersist()
 
     def result(self) -> DataFrame:
         return self.counts.totals()
@@ -180,9 +196,10 @@ class BlacklistJob(_Job):
     KEYS = ["date", "ad_id", "user_id"]
 
     def __init__(self, spark, out_dir, threshold: int = O.ads.DEFAULT_THRESHOLD,
-                 compact_every: int | None = 100):
+                 compact_every: int | None = 100, keep_rejects: bool = True):
         super().__init__(spark, out_dir, compact_every)
         self.threshold = threshold
+        self.rejects = self._rejects() if keep_rejects else None
         self.counts = IncrementLog(spark, f"{self.out_dir}/counts",
                                    "date string, ad_id bigint, user_id bigint, n bigint",
                                    self.KEYS, "n")
@@ -190,9 +207,21 @@ class BlacklistJob(_Job):
                              "user_id bigint, listed_batch bigint")
 
     def process(self, batch, batch_id):
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read by two writes
+        try:
+            self._count(batch, batch_id)
+        finally:
+            batch.unpersist()
+        self._list(batch_id)
+        self._maybe_compact(batch_id, self.counts, self.listed)
+
+    def _count(self, batch, batch_id):
         listed = self.listed.read(before=batch_id).select("user_id")
-        kept = parse_ad_log(batch).join(listed, "user_id", "left_anti")
+        kept = self._parse(batch, batch_id, self.rejects).join(listed, "user_id", "left_anti")
         self.counts.write(O.ad_user_daily(kept), batch_id)
+
+    def _list(self, batch_id):
+        listed = self.listed.read(before=batch_id).select("user_id")
         delta = self.counts.read_batch(batch_id).select(*self.KEYS, "n")
         prior = self.counts.totals(before=batch_id, only=delta).withColumnRenamed("n", "prior")
         total = F.col("n") + F.coalesce(F.col("prior"), F.lit(0))
@@ -201,7 +230,6 @@ class BlacklistJob(_Job):
         new = crossed.join(listed, "user_id", "left_anti")
         self.listed.write(new.withColumn("listed_batch", F.lit(int(batch_id)).cast("bigint")),
                           batch_id)
-        self._maybe_compact(batch_id, self.counts, self.listed)
 
     def result(self) -> DataFrame:
         """(user_id, first_batch): each listed user and the batch that listed them."""

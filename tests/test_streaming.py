@@ -45,3 +45,14 @@ def test_stream_counts_and_top3_equal_batch(spark):
     assert rows(replay(spark, parts, job, new_work_dir(spark, "t-top-in"))) == rows(want)
     job = J.ClickTrendJob(spark, new_work_dir(spark, "t-tr") + "/job")
     assert rows(replay(spark, parts, job, new_work_dir(spark, "t-tr-in"))) == rows(O.click_trend(df))
+
+
+def test_stream_keeps_rejected_lines(spark):
+    good = "1704067200000 A C_1 1 2"
+    parts = [spark.createDataFrame([(good,), ("1704067200000 A C_1 x 2",), ("",)], "value string"),
+             spark.createDataFrame([(good,), ("too short",)], "value string")]
+    job = J.AreaCityAdDailyJob(spark, new_work_dir(spark, "t-rej") + "/job")
+    counts = replay(spark, parts, job, new_work_dir(spark, "t-rej-in"))
+    assert rows(counts) == [("2024-01-01", "A", "C_1", 2, 2)]
+    assert rows(job.rejects.read(), "value", "batch_id") == [
+        ("", 0), ("1704067200000 A C_1 x 2", 0), ("too short", 1)]
