@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 from clickpath.functions import floor_div, ranked_map_json
 from clickpath.operators.topk import top_k_per_group
 
-DEFAULT_THRESHOLD = 100   # clicks per (date, ad, user) that list a user
+# Fixed values (the reference's defaults): blacklist threshold of 100 clicks per
+# (date, ad, user); trend window 60 s sliding by 10 s over 10 s buckets; top 3 ads.
+DEFAULT_THRESHOLD = 100
 TREND_WINDOW_S = 60
 TREND_SLIDE_S = 10
+TOP_ADS = 3
 
 
 def exclude(clicks: DataFrame, users: DataFrame | None) -> DataFrame:
@@ -38,7 +41,7 @@ def area_ad_daily(daily: DataFrame) -> DataFrame:
             .agg(F.sum("n").cast("bigint").alias("n")))
 
 
-def area_top_ads(area_ad: DataFrame, k: int = 3) -> DataFrame:
+def area_top_ads(area_ad: DataFrame, k: int = TOP_ADS) -> DataFrame:
     """(date, area, ad_id, n, rk): top-k ads per (date, area) by n, ties by ad id."""
     return top_k_per_group(area_ad, ["date", "area"], [F.desc("n"), F.asc("ad_id")], k, "rk")
 

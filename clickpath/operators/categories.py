@@ -14,6 +14,9 @@ from clickpath.operators.filters import action_kind, has_click
 from clickpath.operators.topk import top_k_per_group
 
 KINDS = ("click", "order", "pay")
+# Fixed values (the reference's defaults): top 10 categories, top 10 sessions each.
+TOP_CATEGORIES = 10
+TOP_SESSIONS = 10
 
 
 def category_events(visits: DataFrame) -> DataFrame:
@@ -48,7 +51,8 @@ def category_metrics(visits: DataFrame) -> DataFrame:
             .agg(*[F.count_if(kind == k).alias(f"{k}_count") for k in KINDS]))
 
 
-def category_top10(visits: DataFrame, k: int = 10, task_id: str | None = None) -> DataFrame:
+def category_top10(visits: DataFrame, k: int = TOP_CATEGORIES,
+                   task_id: str | None = None) -> DataFrame:
     """Top-k categories by click, then order, then pay count; ties by id.
 
     ``orderBy().limit()`` plans as ``TakeOrderedAndProject``: each task keeps k rows.
@@ -80,7 +84,8 @@ def clicks_in_categories(visits: DataFrame, categories: DataFrame) -> DataFrame:
     return clicks.join(F.broadcast(categories.select("category_id")), "category_id", "left_semi")
 
 
-def category_top10_sessions(visits: DataFrame, k_categories: int = 10, k_sessions: int = 10,
+def category_top10_sessions(visits: DataFrame, k_categories: int = TOP_CATEGORIES,
+                            k_sessions: int = TOP_SESSIONS,
                             task_id: str | None = None) -> DataFrame:
     """Top sessions by clicks within each top category (R2, W1); ties by session id."""
     top = category_top10(visits, k_categories)

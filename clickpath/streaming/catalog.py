@@ -3,7 +3,7 @@
 Ad-log lines are staged one file span (``PARAMS["stream_file_ms"]`` of event
 time) per micro-batch, in time order, so the oracle can name each batch; the
 number of spans is bounded by the time range, not the row count. Documents go
-as text lines in two hash-split parts.
+as text lines, one micro-batch per language.
 """
 
 from __future__ import annotations
@@ -54,9 +54,9 @@ def stream_ad_blacklist(spark, d):
 def stream_word_count(spark, d):
     work = new_work_dir(spark, "stream-words")
     docs = read_table(spark, d, "documents")
-    lines = docs.select(F.pmod(F.hash("doc_id"), F.lit(2)).alias("_part"),
-                        F.explode(F.split(F.col("text"), "\n")).alias("value"))
-    parts = [lines.where(F.col("_part") == i).select("value") for i in (0, 1)]
+    lines = docs.select("lang", F.explode(F.split(F.col("text"), "\n")).alias("value"))
+    langs = [r[0] for r in docs.select("lang").distinct().orderBy("lang").collect()]
+    parts = [lines.where(F.col("lang").eqNullSafe(F.lit(lang))).select("value") for lang in langs]
     return replay(spark, parts, J.WordCountJob(spark, f"{work}/job"), work)
 
 
