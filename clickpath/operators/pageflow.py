@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickpath.operators.sessions import DEFAULT_SLICE_SECONDS, session_steps
+from clickpath.operators.sessions import (DEFAULT_SLICE_SECONDS, session_steps,
+                                         session_successors)
 
 DEFAULT_FLOW = (1, 2, 3, 4, 5, 6, 7)
 
@@ -67,22 +68,31 @@ def page_flow_conversion(visits: DataFrame, flow: str | Sequence[int] = DEFAULT_
                          slice_seconds: int = DEFAULT_SLICE_SECONDS) -> DataFrame:
     """Conversion of each adjacent pair of the target flow.
 
-    ``rate = transitions / views(page_from)``, views defaulting to 1; pairs never
-    seen are absent. Apply a date range to ``visits`` first: sessions crossing a
-    bound are cut, as in the reference (Q8). The per-page views have at most
-    ``len(flow)`` rows, so they are broadcast.
+    ``rate = transitions / views(page_from)``; pairs never seen are absent. (The
+    reference defaults a missing view count to 1; a hop's own first action is
+    always a view, so the default can never apply.) Apply a date range to
+    ``visits`` first: sessions crossing a bound are cut, as in the reference (Q8).
+
+    One pass, no join: every action appears once with its successor, so one
+    small aggregate over ``(page_from, pair_to)`` - ``pair_to`` is the successor
+    when the step is a flow pair, else null - holds both numbers. The views of a
+    page (all its actions, also a session's last, Q9) are the sum over its rows,
+    taken by a window on that aggregate. A page outside the flow between two flow
+    pages breaks the hop (Q10), so all actions take part in the ordering and only
+    results are filtered.
     """
     pages = parse_flow(flow)
-    # All actions take part in the ordering: a page outside the flow between two
-    # flow pages breaks the hop (Q10). Only the finished steps are filtered, by a
-    # literal pair list (F6): a predicate in the scan-side stage, no join.
-    steps = session_steps(visits, slice_seconds).where(in_pairs(flow_pairs(pages)))
-    hops = steps.groupBy("page_from", "page_to").agg(F.count(F.lit(1)).alias("transitions"))
-    views = page_view_counts(visits, pages).withColumnRenamed("page_id", "page_from")
-    views_or_1 = F.coalesce(F.col("views"), F.lit(1).cast("bigint"))
-    return (hops.join(F.broadcast(views), "page_from", "left")
-            .select("page_from", "page_to", "transitions", views_or_1.alias("views"),
-                    (F.col("transitions").cast("double") / views_or_1).alias("rate")))
+    is_hop = F.col("has_next") & in_pairs(flow_pairs(pages))
+    per_pair = (session_successors(visits, slice_seconds)
+                .where(F.col("page_from").isin(pages))
+                .groupBy("page_from", F.when(is_hop, F.col("page_to")).alias("pair_to"))
+                .agg(F.count(F.lit(1)).alias("n")))
+    views = F.sum("n").over(Window.partitionBy("page_from")).cast("bigint")
+    return (per_pair.select("*", views.alias("views"))
+            .where(F.col("pair_to").isNotNull())
+            .select("page_from", F.col("pair_to").alias("page_to"),
+                    F.col("n").alias("transitions"), "views",
+                    (F.col("n").cast("double") / F.col("views")).alias("rate")))
 
 
 def page_dwell_rows(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SECONDS) -> DataFrame:

@@ -10,9 +10,10 @@ into time slices so that no single task has to hold a whole session:
    second ``lead`` over ``session_id``; a slice's last row followed by the next
    slice's first row is the step that crosses the slice border.
 
-Both are exact, so the union is every adjacent pair of the session. A session
-with a third of all rows is spread over its slices; only the border rows (two
-per slice) meet in one task.
+Both are exact: every action appears once with its successor. A session with
+a third of all rows is spread over its slices; only the border rows (two per
+slice, so bounded by the session's time span, not its row count) meet in one
+task.
 """
 
 from __future__ import annotations
@@ -25,14 +26,16 @@ from clickpath.functions import floor_div, parse_time_ms
 DEFAULT_SLICE_SECONDS = 3600
 
 
-def session_steps(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SECONDS,
-                  tie_col: str | None = None) -> DataFrame:
-    """Every pair of consecutive actions of a session.
+def session_successors(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SECONDS,
+                       tie_col: str | None = None) -> DataFrame:
+    """Every action of a session with the action that follows it, exactly once.
 
-    Output: ``session_id, event_id, page_from, page_to, t_from_ms, t_to_ms``
-    (``event_id`` is the tie key of the earlier action). Order within a session
-    is ``action_time`` then the tie key (``event_id`` if present, else
-    ``page_id``); the reference left equal seconds in arbitrary order.
+    Output: ``session_id, event_id, page_from, page_to, t_from_ms, t_to_ms,
+    has_next`` (``event_id`` is the tie key of the action; ``page_to`` and
+    ``t_to_ms`` are null and ``has_next`` false for a session's last action).
+    Order within a session is ``action_time`` then the tie key (``event_id`` if
+    present, else ``page_id``); the reference left equal seconds in arbitrary
+    order.
     """
     tie = tie_col or ("event_id" if "event_id" in visits.columns else "page_id")
     t_ms = parse_time_ms(F.col("action_time"))
@@ -49,21 +52,31 @@ def session_steps(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SECONDS,
         F.lead(F.lit(True)).over(w_slice).isNull().alias("_last"),
         (F.row_number().over(w_slice) == 1).alias("_first"),
     )
+    # not last in its slice: the successor is in the same slice
     inner = marked.where(~F.col("_last")).select(
         "session_id", F.col("_tie").alias("event_id"), F.col("page_id").alias("page_from"),
         F.col("_next_page").alias("page_to"), F.col("t_ms").alias("t_from_ms"),
-        F.col("_next_t").alias("t_to_ms"))
+        F.col("_next_t").alias("t_to_ms"), F.lit(True).alias("has_next"))
 
+    # last in its slice: the successor is the next slice's first row, if any
     w_session = Window.partitionBy("session_id").orderBy(*order)
     borders = (marked.where(F.col("_first") | F.col("_last"))
                .select("session_id", "action_time", "_tie", "page_id", "t_ms", "_last"))
-    crossing = (borders.select(
+    tails = (borders.select(
         "*",
         F.lead("page_id").over(w_session).alias("_next_page"),
         F.lead("t_ms").over(w_session).alias("_next_t"),
-        F.lead(F.lit(True)).over(w_session).isNotNull().alias("_has_next"))
-        .where(F.col("_last") & F.col("_has_next"))
+        F.lead(F.lit(True)).over(w_session).isNotNull().alias("has_next"))
+        .where(F.col("_last"))
         .select("session_id", F.col("_tie").alias("event_id"), F.col("page_id").alias("page_from"),
                 F.col("_next_page").alias("page_to"), F.col("t_ms").alias("t_from_ms"),
-                F.col("_next_t").alias("t_to_ms")))
-    return inner.unionByName(crossing)
+                F.col("_next_t").alias("t_to_ms"), "has_next"))
+    return inner.unionByName(tails)
+
+
+def session_steps(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SECONDS,
+                  tie_col: str | None = None) -> DataFrame:
+    """Every pair of consecutive actions of a session (W3, J4): ``session_id,
+    event_id, page_from, page_to, t_from_ms, t_to_ms``."""
+    return (session_successors(visits, slice_seconds, tie_col).where(F.col("has_next"))
+            .drop("has_next"))

@@ -2,7 +2,7 @@ import random
 from datetime import datetime, timedelta, timezone
 
 from clickpath import operators as O
-from clickpath.operators.sessions import session_steps
+from clickpath.operators.sessions import session_steps, session_successors
 
 from conftest import rows
 
@@ -50,6 +50,18 @@ def test_steps_any_slice_width_equal_brute_force(spark):
         assert got == want, width
 
 
+def test_successors_cover_every_action_once(spark):
+    rnd = random.Random(11)
+    data = [(i, f"u-{rnd.randrange(5)}", rnd.randrange(1, 4), rnd.randrange(0, 9000))
+            for i in range(120)]
+    df = frame(spark, data)
+    for width in (1, 600, 86400):
+        succ = session_successors(df, width)
+        assert sorted(r["event_id"] for r in succ.collect()) == list(range(120))
+        # one action per session has no successor
+        assert succ.where("NOT has_next").count() == len({d[1] for d in data})
+
+
 def test_flow_conversion_semantics(spark):
     # mf_sessions: single action; page outside the flow breaks a hop; repeated pair
     data = [(0, "a", 1, 0), (1, "a", 2, 10), (2, "a", 3, 20), (3, "a", 9, 30), (4, "a", 4, 40),
