@@ -67,6 +67,25 @@ class _Job:
         return writer.start()
 
 
+def daily(clicks: DataFrame, watermark: str | None) -> tuple[DataFrame, F.Column]:
+    """The day key of parsed clicks: the ``date`` string, or with a ``watermark``
+    a one-day event-time ``window`` (UTC days, the same dates) so that the state
+    of days older than the watermark is dropped and later events are ignored.
+    The reference keeps every day forever; that is the default here too."""
+    if not watermark:
+        return clicks, F.col("date")
+    clicks = (clicks.withColumn("_ts", F.timestamp_millis(F.col("ts_ms")))
+              .withWatermark("_ts", watermark))
+    return clicks, F.window("_ts", "1 day").alias("_day")
+
+
+def day_string(df: DataFrame, watermark: str | None) -> DataFrame:
+    """Turn the ``_day`` window back into the ``date`` string column."""
+    if not watermark:
+        return df
+    return df.withColumn("date", F.date_format(F.col("_day.start"), "yyyy-MM-dd")).drop("_day")
+
+
 class AreaCityAdDailyJob(_Job):
     """Per-batch counts (T3) added into a counter log (S13, ``HINCRBY``)."""
 
@@ -95,18 +114,22 @@ class AreaCityAdDailyJob(_Job):
 
 class AdUserDailyJob(_Job):
     """Running count per (date, ad, user) in the state store; each batch's
-    updated counts replace the stored ones (S14)."""
+    updated counts replace the stored ones (S14). ``watermark`` bounds the state
+    (see ``daily``)."""
 
     output_mode = "update"
 
-    def __init__(self, spark, out_dir):
+    def __init__(self, spark, out_dir, watermark: str | None = None):
         super().__init__(spark, out_dir)
+        self.watermark = watermark
         self.counts = ReplaceLog(spark, f"{self.out_dir}/counts",
                                  "date string, ad_id bigint, user_id bigint, n bigint",
                                  ["date", "ad_id", "user_id"])
 
     def plan(self, lines):
-        return O.ad_user_daily(parse_ad_log(lines))
+        clicks, day = daily(parse_ad_log(lines), self.watermark)
+        counts = clicks.groupBy(day, "ad_id", "user_id").agg(F.count(F.lit(1)).alias("n"))
+        return day_string(counts, self.watermark)
 
     def process(self, batch, batch_id):
         self.counts.write(batch, batch_id)
@@ -123,13 +146,15 @@ class AreaTopAdsJob(_Job):
     Counting straight at (date, area, ad) equals the reference's per-city state
     re-summed without the city (A9 + F10 + A10), with less state. Ranking runs
     in ``foreachBatch`` because a stream cannot be ranked directly.
+    ``watermark`` bounds the state (see ``daily``).
     """
 
     output_mode = "update"
 
-    def __init__(self, spark, out_dir, k: int = 3, compact_every: int | None = 100):
+    def __init__(self, spark, out_dir, k: int = O.ads.TOP_ADS, compact_every: int | None = 100,
+                 watermark: str | None = None):
         super().__init__(spark, out_dir, compact_every)
-        self.k = k
+        self.k, self.watermark = k, watermark
         self.counts = ReplaceLog(spark, f"{self.out_dir}/counts",
                                  "date string, area string, ad_id bigint, n bigint",
                                  ["date", "area", "ad_id"])
@@ -137,8 +162,9 @@ class AreaTopAdsJob(_Job):
                               "date string, area string, top3 string", ["date", "area"])
 
     def plan(self, lines):
-        return (parse_ad_log(lines).groupBy("date", "area", "ad_id")
-                .agg(F.count(F.lit(1)).alias("n")))
+        clicks, day = daily(parse_ad_log(lines), self.watermark)
+        counts = clicks.groupBy(day, "area", "ad_id").agg(F.count(F.lit(1)).alias("n"))
+        return day_string(counts, self.watermark)
 
     def process(self, batch, batch_id):
         self.counts.write(batch, batch_id)

@@ -56,3 +56,18 @@ def test_stream_keeps_rejected_lines(spark):
     assert rows(counts) == [("2024-01-01", "A", "C_1", 2, 2)]
     assert rows(job.rejects.read(), "value", "batch_id") == [
         ("", 0), ("1704067200000 A C_1 x 2", 0), ("too short", 1)]
+
+
+def test_daily_watermark_same_dates_and_drops_late_days(spark):
+    day = 1704067200000 + 9 * 86400000          # 2024-01-10
+    p0 = [(day + i * 1000, "A", "C", 1, 1 + i % 2, 0) for i in range(4)]
+    df, parts = _parts(spark, p0)
+    want = rows(O.ad_user_daily(df.withColumn("date", F.lit("2024-01-10"))))
+    job = J.AdUserDailyJob(spark, new_work_dir(spark, "t-wm") + "/job", watermark="1 day")
+    assert rows(replay(spark, parts, job, new_work_dir(spark, "t-wm-in"))) == want
+    # a click nine days late, after the watermark moved past it, is dropped
+    late = [(1704067200000, "A", "C", 1, 1, 1), (day + 5000, "A", "C", 1, 1, 1)]
+    _, late_parts = _parts(spark, p0 + late)
+    job = J.AreaTopAdsJob(spark, new_work_dir(spark, "t-wm2") + "/job", watermark="1 day")
+    got = rows(replay(spark, late_parts, job, new_work_dir(spark, "t-wm2-in")))
+    assert got == [("2024-01-10", "A", '{"1":3,"2":2}')]
