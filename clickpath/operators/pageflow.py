@@ -57,15 +57,16 @@ def page_view_counts(visits: DataFrame, pages: Sequence[int]) -> DataFrame:
             .groupBy("page_id").agg(F.count(F.lit(1)).alias("views")))
 
 
-def page_transition_counts(visits: DataFrame,
-                           slice_seconds: int = DEFAULT_SLICE_SECONDS) -> DataFrame:
+def page_transition_counts(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SECONDS,
+                           hot_rows: int | None = None) -> DataFrame:
     """(page_from, page_to, n) over all adjacent steps of all sessions."""
-    return (session_steps(visits, slice_seconds)
+    return (session_steps(visits, slice_seconds, hot_rows=hot_rows)
             .groupBy("page_from", "page_to").agg(F.count(F.lit(1)).alias("n")))
 
 
 def page_flow_conversion(visits: DataFrame, flow: str | Sequence[int] = DEFAULT_FLOW,
-                         slice_seconds: int = DEFAULT_SLICE_SECONDS) -> DataFrame:
+                         slice_seconds: int = DEFAULT_SLICE_SECONDS,
+                         hot_rows: int | None = None) -> DataFrame:
     """Conversion of each adjacent pair of the target flow.
 
     ``rate = transitions / views(page_from)``; pairs never seen are absent. (The
@@ -83,7 +84,7 @@ def page_flow_conversion(visits: DataFrame, flow: str | Sequence[int] = DEFAULT_
     """
     pages = parse_flow(flow)
     is_hop = F.col("has_next") & in_pairs(flow_pairs(pages))
-    per_pair = (session_successors(visits, slice_seconds)
+    per_pair = (session_successors(visits, slice_seconds, hot_rows=hot_rows)
                 .where(F.col("page_from").isin(pages))
                 .groupBy("page_from", F.when(is_hop, F.col("page_to")).alias("pair_to"))
                 .agg(F.count(F.lit(1)).alias("n")))
@@ -95,19 +96,21 @@ def page_flow_conversion(visits: DataFrame, flow: str | Sequence[int] = DEFAULT_
                     (F.col("n").cast("double") / F.col("views")).alias("rate")))
 
 
-def page_dwell_rows(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SECONDS) -> DataFrame:
+def page_dwell_rows(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SECONDS,
+                    hot_rows: int | None = None) -> DataFrame:
     """(event_id, page_id, dwell_ms): time to the next action of the session.
 
     Times are whole seconds, so dwell is a multiple of 1000; the last action of a
     session has no row.
     """
-    return session_steps(visits, slice_seconds).select(
+    return session_steps(visits, slice_seconds, hot_rows=hot_rows).select(
         "event_id", F.col("page_from").alias("page_id"),
         (F.col("t_to_ms") - F.col("t_from_ms")).alias("dwell_ms"))
 
 
-def page_avg_dwell(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SECONDS) -> DataFrame:
+def page_avg_dwell(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SECONDS,
+                   hot_rows: int | None = None) -> DataFrame:
     """(page_id, avg_dwell_ms): truncating integer mean, as ``sum / size`` on longs."""
-    return (page_dwell_rows(visits, slice_seconds).where(F.col("dwell_ms").isNotNull())
+    return (page_dwell_rows(visits, slice_seconds, hot_rows).where(F.col("dwell_ms").isNotNull())
             .groupBy("page_id")
             .agg(F.expr("sum(dwell_ms) div count(dwell_ms)").alias("avg_dwell_ms")))

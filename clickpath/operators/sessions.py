@@ -26,8 +26,31 @@ from clickpath.functions import floor_div, parse_time_ms
 DEFAULT_SLICE_SECONDS = 3600
 
 
+DEFAULT_SUB_TIE_ROWS = 1 << 20
+
+
+def _split_hot_slices(rows: DataFrame, hot_rows: int, sub_tie_rows: int) -> DataFrame:
+    """Add sub-group keys that split every (session, slice) above ``hot_rows``.
+
+    A hot slice is cut by second and by ranges of ``sub_tie_rows`` tie values;
+    under the (time, tie) order those keys are non-decreasing, so each sub-group
+    is a contiguous run and the border stitch stays exact. The hot list has at
+    most ``rows / hot_rows`` entries (pigeonhole), so it is broadcast.
+    """
+    hot = (rows.groupBy("session_id", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > F.lit(hot_rows))
+           .select("session_id", "_slice", F.lit(True).alias("_hot")))
+    flagged = rows.join(F.broadcast(hot), ["session_id", "_slice"], "left")
+    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    return flagged.select(
+        *rows.columns,
+        F.when(is_hot, floor_div(F.col("t_ms"), 1000)).alias("_sub_t"),
+        F.when(is_hot, floor_div(F.col("_tie"), sub_tie_rows)).alias("_sub_k"))
+
+
 def session_successors(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SECONDS,
-                       tie_col: str | None = None) -> DataFrame:
+                       tie_col: str | None = None, hot_rows: int | None = None,
+                       sub_tie_rows: int = DEFAULT_SUB_TIE_ROWS) -> DataFrame:
     """Every action of a session with the action that follows it, exactly once.
 
     Output: ``session_id, event_id, page_from, page_to, t_from_ms, t_to_ms,
@@ -36,15 +59,23 @@ def session_successors(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SEC
     Order within a session is ``action_time`` then the tie key (``event_id`` if
     present, else ``page_id``); the reference left equal seconds in arbitrary
     order.
+
+    ``hot_rows`` (off by default; costs one extra pass) also splits any single
+    (session, slice) with more rows, down to groups of at most ``sub_tie_rows``
+    actions when the tie key is unique: no group of any size lands in one task.
     """
     tie = tie_col or ("event_id" if "event_id" in visits.columns else "page_id")
     t_ms = parse_time_ms(F.col("action_time"))
     rows = visits.select("session_id", "action_time", F.col(tie).alias("_tie"),
                          F.col("page_id"), t_ms.alias("t_ms"))
     rows = rows.withColumn("_slice", floor_div(F.col("t_ms"), 1000 * slice_seconds))
+    groups = ["session_id", "_slice"]
+    if hot_rows is not None:
+        rows = _split_hot_slices(rows, hot_rows, sub_tie_rows)
+        groups += ["_sub_t", "_sub_k"]
     order = [F.col("action_time"), F.col("_tie")]
 
-    w_slice = Window.partitionBy("session_id", "_slice").orderBy(*order)
+    w_slice = Window.partitionBy(*groups).orderBy(*order)
     marked = rows.select(
         "*",
         F.lead("page_id").over(w_slice).alias("_next_page"),
@@ -75,8 +106,9 @@ def session_successors(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SEC
 
 
 def session_steps(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SECONDS,
-                  tie_col: str | None = None) -> DataFrame:
+                  tie_col: str | None = None, hot_rows: int | None = None,
+                  sub_tie_rows: int = DEFAULT_SUB_TIE_ROWS) -> DataFrame:
     """Every pair of consecutive actions of a session (W3, J4): ``session_id,
     event_id, page_from, page_to, t_from_ms, t_to_ms``."""
-    return (session_successors(visits, slice_seconds, tie_col).where(F.col("has_next"))
-            .drop("has_next"))
+    return (session_successors(visits, slice_seconds, tie_col, hot_rows, sub_tie_rows)
+            .where(F.col("has_next")).drop("has_next"))

@@ -61,15 +61,20 @@ def category_top10_sessions_job(spark: SparkSession, visits: str | DataFrame,
 
 def page_flow_job(spark: SparkSession, visits: str | DataFrame,
                   flow: str | Sequence[int] = O.pageflow.DEFAULT_FLOW, start: str | None = None,
-                  end: str | None = None, table: str | None = None) -> DataFrame:
-    """Single-hop conversion along ``flow`` (e.g. ``"1,2,3,4,5,6,7"``)."""
-    return _sink(O.page_flow_conversion(_visits(spark, visits, start, end), flow), table, None)
+                  end: str | None = None, table: str | None = None,
+                  hot_rows: int | None = None) -> DataFrame:
+    """Single-hop conversion along ``flow`` (e.g. ``"1,2,3,4,5,6,7"``).
+    ``hot_rows`` splits any (session, hour) with more actions (one extra pass)."""
+    result = O.page_flow_conversion(_visits(spark, visits, start, end), flow, hot_rows=hot_rows)
+    return _sink(result, table, None)
 
 
 def page_dwell_job(spark: SparkSession, visits: str | DataFrame, start: str | None = None,
-                   end: str | None = None, table: str | None = None) -> DataFrame:
+                   end: str | None = None, table: str | None = None,
+                   hot_rows: int | None = None) -> DataFrame:
     """Average dwell time per page (truncating integer milliseconds)."""
-    return _sink(O.page_avg_dwell(_visits(spark, visits, start, end)), table, None)
+    result = O.page_avg_dwell(_visits(spark, visits, start, end), hot_rows=hot_rows)
+    return _sink(result, table, None)
 
 
 STREAM_JOBS = {

@@ -48,6 +48,25 @@ def test_steps_any_slice_width_equal_brute_force(spark):
         got = rows(session_steps(df, width).selectExpr(
             "event_id", "page_from", "page_to", "t_to_ms - t_from_ms"))
         assert got == want, width
+    # hot-slice splitting: every (session, slice) over 3 rows cut into groups of
+    # at most 2 tie values per second
+    for width in (60, 3600, 86400 * 30):
+        got = rows(session_steps(df, width, hot_rows=3, sub_tie_rows=2).selectExpr(
+            "event_id", "page_from", "page_to", "t_to_ms - t_from_ms"))
+        assert got == want, ("hot", width)
+
+
+def test_one_hot_session_second_is_split(spark):
+    # one session with 200 actions inside the same second: the plain slice is a
+    # single group; with hot_rows the largest window group has sub_tie_rows rows
+    data = [(i, "hot", i % 5 + 1, 30) for i in range(200)] + [(500, "cold", 1, 0)]
+    df = frame(spark, data)
+    want = brute_steps(data)
+    got = session_steps(df, 3600, hot_rows=50, sub_tie_rows=16)
+    assert rows(got.selectExpr("event_id", "page_from", "page_to",
+                               "t_to_ms - t_from_ms")) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "_sub_k" in plan
 
 
 def test_successors_cover_every_action_once(spark):
