@@ -109,6 +109,12 @@ def page_flow_conversion_dated(spark, d):
     return O.page_flow_conversion(O.date_range(_visits(spark, d), lo, hi), PARAMS["flow"])
 
 
+def page_flow_conversion_split(spark, d):
+    """R3 with the exact hot-slice split switched on (same result as R3)."""
+    return O.page_flow_conversion(_visits(spark, d), PARAMS["flow"],
+                                  hot_rows=PARAMS["split_hot_rows"])
+
+
 def page_dwell_rows(spark, d):
     return O.page_dwell_rows(_visits(spark, d))
 
@@ -226,6 +232,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "page_transition_counts": page_transition_counts,
     "page_flow_conversion": page_flow_conversion,
     "page_flow_conversion_dated": page_flow_conversion_dated,
+    "page_flow_conversion_split": page_flow_conversion_split,
     "page_dwell_rows": page_dwell_rows,
     "page_avg_dwell": page_avg_dwell,
     "flow_pairs": flow_pairs,

@@ -210,6 +210,7 @@ def oracle_sql() -> dict[str, str]:
         "page_transition_counts": f"{v}, {_steps()} SELECT page_from, page_to, count(*) AS n "
                                   "FROM steps GROUP BY page_from, page_to",
         "page_flow_conversion": f"{v}, {_flow_conversion('visits')}",
+        "page_flow_conversion_split": f"{v}, {_flow_conversion('visits')}",
         "page_flow_conversion_dated":
             f"{v}, dated AS (SELECT * FROM visits WHERE date >= '{FD0}' AND date <= '{FD1}'), "
             f"{_flow_conversion('dated')}",

@@ -10,6 +10,9 @@ PARAMS = {
     # reference's 100; the test tables never give one (date, ad, user) more than
     # 4-6 clicks, so the catalog uses 3 to get a non-empty list.
     "threshold": 3,
+    # page_flow_conversion_split: split every (session, hour) with more than this
+    # many actions (1 = all of them), to check the exact split on whole tables
+    "split_hot_rows": 1,
     # staged stream input: one file per 6 days of event time
     "stream_file_ms": 6 * 86400 * 1000,
 }
