@@ -62,17 +62,20 @@ def ad_user_daily(clicks: DataFrame) -> DataFrame:
 
 
 def blacklist(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
-              batch_col: str = "batch") -> DataFrame:
+              batch_col: str = "batch", listed: DataFrame | None = None) -> DataFrame:
     """(user_id, first_batch): users whose (date, ad) count reached ``threshold``.
 
     Batch form of the per-batch feedback loop (T8): a user's clicks are dropped
     only from the batch after the first crossing, so the dropping cannot move
     that crossing. The crossing is therefore the first batch where the running
-    count of some (date, ad, user) reaches the threshold.
+    count of some (date, ad, user) reaches the threshold. Users already on a
+    list (``listed``, e.g. from an earlier run) are dropped first and not
+    listed again.
 
     Counts are pre-aggregated per (date, ad, user, batch) before the running
     sum, so a hot key contributes one row per batch, not one per click.
     """
+    clicks = exclude(clicks, listed)
     per_batch = (clicks.groupBy("date", "ad_id", "user_id", F.col(batch_col).alias("batch"))
                  .agg(F.count(F.lit(1)).alias("c")))
     w = (Window.partitionBy("date", "ad_id", "user_id").orderBy("batch")

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from clickpath import operators as O
+from clickpath import schema as S
 from clickpath.sinks import overwrite_table, write_jdbc
 from clickpath.sources import read_visit_actions
 from clickpath.streaming import jobs as J
@@ -42,10 +43,11 @@ def _sink(df: DataFrame, table: str | None, jdbc: dict | None) -> DataFrame:
 def category_top10_job(spark: SparkSession, visits: str | DataFrame, start: str | None = None,
                        end: str | None = None, task_id: str | None = None, k: int = 10,
                        table: str | None = None, jdbc: dict | None = None) -> DataFrame:
-    """Top-k categories by click, order and pay count, one task id per run."""
+    """Top-k categories by click, order and pay count, one task id per run.
+    Rows have the reference's result-table schema (``schema.CATEGORY_TOP10``)."""
     result = O.category_top10(_visits(spark, visits, start, end), k,
                               task_id or str(uuid.uuid4()))
-    return _sink(result, table, jdbc)
+    return _sink(S.conform(result, S.CATEGORY_TOP10), table, jdbc)
 
 
 def category_top10_sessions_job(spark: SparkSession, visits: str | DataFrame,
@@ -53,10 +55,11 @@ def category_top10_sessions_job(spark: SparkSession, visits: str | DataFrame,
                                 task_id: str | None = None, k_categories: int = 10,
                                 k_sessions: int = 10, table: str | None = None,
                                 jdbc: dict | None = None) -> DataFrame:
-    """R2: top sessions of each top category (``rn`` kept for ordering)."""
+    """R2: top sessions of each top category, in the reference's result-table
+    schema (``schema.CATEGORY_TOP10_SESSION``; the rank is not stored)."""
     result = O.category_top10_sessions(_visits(spark, visits, start, end), k_categories,
                                        k_sessions, task_id or str(uuid.uuid4()))
-    return _sink(result, table, jdbc)
+    return _sink(S.conform(result, S.CATEGORY_TOP10_SESSION), table, jdbc)
 
 
 def page_flow_job(spark: SparkSession, visits: str | DataFrame,

@@ -75,6 +75,8 @@ def test_threshold_edges(spark):
     add(5, 1, 0, 1); add(5, 1, 2, 2); add(5, 1, 3, 5)  # noqa: E702  crosses in batch 2
     df = spark.createDataFrame(data, CLICKS)
     assert rows(O.blacklist(df, 3)) == [(2, 0), (3, 1), (5, 2)]
+    already = spark.createDataFrame([(3,)], "user_id bigint")
+    assert rows(O.blacklist(df, 3, listed=already)) == [(2, 0), (5, 2)]
     kept = O.clicks_kept(df, O.blacklist(df, 3))
     # user 5: batches 0 and 2 are kept (3 clicks), batch 3 is dropped
     assert kept.where(F.col("user_id") == 5).count() == 3

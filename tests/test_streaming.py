@@ -71,3 +71,15 @@ def test_daily_watermark_same_dates_and_drops_late_days(spark):
     job = J.AreaTopAdsJob(spark, new_work_dir(spark, "t-wm2") + "/job", watermark="1 day")
     got = rows(replay(spark, late_parts, job, new_work_dir(spark, "t-wm2-in")))
     assert got == [("2024-01-10", "A", '{"1":3,"2":2}')]
+
+
+def test_trend_watermark_drops_late_buckets(spark):
+    t0 = 1704067200000
+    data = [(t0 + 600_000 + i * 1000, "A", "C", 1, 1, 0) for i in range(3)]   # 00:10:00..02
+    data += [(t0, "A", "C", 1, 1, 1), (t0 + 600_000, "A", "C", 1, 1, 1)]      # 00:00 is late
+    _, parts = _parts(spark, data)
+    job = J.ClickTrendJob(spark, new_work_dir(spark, "t-trw") + "/job", 20, 10,
+                          watermark="1 minute")
+    got = rows(replay(spark, parts, job, new_work_dir(spark, "t-trw-in")))
+    b = (t0 + 600_000) // 1000
+    assert got == [(b + 10, b, 4), (b + 20, b, 4)]
