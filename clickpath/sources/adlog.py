@@ -22,16 +22,17 @@ def _fields(value: F.Column) -> F.Column:
 
 
 def _parsed(lines: DataFrame, value_col: str) -> DataFrame:
+    """The typed fields of each line plus ``_ok`` (five fields, numbers parse)."""
+    split = lines.select("*", _fields(F.col(value_col)).alias("_f"))
     f = F.col("_f")
-    return (lines.withColumn("_f", _fields(F.col(value_col)))
-            .withColumn("_ok", F.coalesce(F.size(f) >= N_FIELDS, F.lit(False)))
-            .withColumn("ts_ms", F.get(f, 0).try_cast("bigint"))
-            .withColumn("area", F.get(f, 1))
-            .withColumn("city", F.get(f, 2))
-            .withColumn("user_id", F.get(f, 3).try_cast("bigint"))
-            .withColumn("ad_id", F.get(f, 4).try_cast("bigint"))
-            .withColumn("_ok", F.col("_ok") & F.col("ts_ms").isNotNull()
-                        & F.col("user_id").isNotNull() & F.col("ad_id").isNotNull()))
+    ts_ms = F.get(f, 0).try_cast("bigint")
+    user_id = F.get(f, 3).try_cast("bigint")
+    ad_id = F.get(f, 4).try_cast("bigint")
+    ok = (F.coalesce(F.size(f) >= N_FIELDS, F.lit(False))
+          & ts_ms.isNotNull() & user_id.isNotNull() & ad_id.isNotNull())
+    return split.select("*", ts_ms.alias("ts_ms"), F.get(f, 1).alias("area"),
+                        F.get(f, 2).alias("city"), user_id.alias("user_id"),
+                        ad_id.alias("ad_id"), ok.alias("_ok"))
 
 
 def parse_ad_log(lines: DataFrame, value_col: str = "value", keep: tuple = ()) -> DataFrame:
