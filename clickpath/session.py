@@ -31,6 +31,11 @@ DEFAULT_CONF = {
     # trips on every Column call; plan building is several times faster without.
     # PySpark reads it once per process, so it must be set before the first call.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Streaming state (running counts per date/ad/user, per bucket) lives in
+    # RocksDB off the JVM heap, with incremental checkpoints; the default
+    # in-memory store would hold all keys on the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
