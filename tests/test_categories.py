@@ -64,3 +64,13 @@ def test_session_clicks_sum_to_clicks(spark):
     v = frame(spark, data)
     total = sum(r["click_count"] for r in O.category_session_clicks(v).collect())
     assert total == O.click_rows(v).count() == 40
+
+
+def test_date_bounds_like_the_reference(spark):
+    # mf_bounds: null / '' / blank / tab bounds mean no filter; bounds are inclusive
+    v = frame(spark, [visit(i, t=f"2024-01-0{d} 10:00:00") for i, d in enumerate([1, 2, 3])])
+    for empty in (None, "", "   ", "\t", "\t \n"):
+        assert O.date_range(v, empty, empty).count() == 3, repr(empty)
+    assert O.date_range(v, "2024-01-01", "2024-01-01").count() == 1      # equal to the first
+    assert O.date_range(v, "2024-01-03", None).count() == 1              # equal to the last
+    assert O.date_range(v, "2024-01-02", "2024-01-03").count() == 2
