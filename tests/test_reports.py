@@ -39,3 +39,17 @@ def test_start_stream_job(spark):
                                     f"{work}/job", {"availableNow": True})
     query.awaitTermination()
     assert rows(job.result()) == [("2024-01-01", "A", "C", 2, 1)]
+
+
+def test_command_line_batch_report(spark):
+    from clickpath.__main__ import main
+    name = _table(spark)
+    out = f"cli_{uuid.uuid4().hex[:8]}"
+    main(["category-top10", "--visits", name, "--start", "2024-01-02", "--table", out,
+          "--task-id", "cli"])
+    got = spark.table(out).collect()
+    assert {r["task_id"] for r in got} == {"cli"} and sum(r["click_count"] for r in got) == 20
+    main(["page-flow", "--visits", name, "--flow", "1,2,3", "--hot-rows", "2",
+          "--table", out + "_flow"])
+    assert spark.table(out + "_flow").columns == ["page_from", "page_to", "transitions",
+                                                  "views", "rate"]
