@@ -38,3 +38,16 @@ def test_exclude_users_and_broadcast_check(spark):
     assert broadcast_if_small(users) is users
     assert O.exclude(clicks, None) is clicks
     assert clicks.where(F.col("user_id") == 2).count() == 2
+
+
+def test_read_parquet_reinfers_after_rewrite(spark):
+    import time
+    from clickpath.sources.tables import read_parquet
+    path = f"{new_work_dir(spark, 't-schema')}/t"
+    spark.range(3).write.parquet(path)
+    assert read_parquet(spark, path).columns == ["id"]
+    assert read_parquet(spark, path).columns == ["id"]          # cached schema
+    time.sleep(1.1)
+    spark.range(3).selectExpr("id", "id * 2 AS x").write.mode("overwrite").parquet(path)
+    df = read_parquet(spark, path)
+    assert df.columns == ["id", "x"] and df.count() == 3
