@@ -27,6 +27,9 @@ DEFAULT_SLICE_SECONDS = 3600
 
 
 DEFAULT_SUB_TIE_ROWS = 1 << 20
+# With hot_rows at least this, the hot list has at most rows / 1M entries
+# (pigeonhole): about 1M keys for 10^12 actions, safe to broadcast.
+BROADCAST_MIN_HOT_ROWS = 1_000_000
 
 
 def _split_hot_slices(rows: DataFrame, hot_rows: int, sub_tie_rows: int) -> DataFrame:
@@ -35,12 +38,15 @@ def _split_hot_slices(rows: DataFrame, hot_rows: int, sub_tie_rows: int) -> Data
     A hot slice is cut by second and by ranges of ``sub_tie_rows`` tie values;
     under the (time, tie) order those keys are non-decreasing, so each sub-group
     is a contiguous run and the border stitch stays exact. The hot list has at
-    most ``rows / hot_rows`` entries (pigeonhole), so it is broadcast.
+    most ``rows / hot_rows`` entries (pigeonhole): it is broadcast when that
+    bound is small, else the planner picks the join (AQE may still broadcast).
     """
     hot = (rows.groupBy("session_id", "_slice").agg(F.count(F.lit(1)).alias("_n"))
            .where(F.col("_n") > F.lit(hot_rows))
            .select("session_id", "_slice", F.lit(True).alias("_hot")))
-    flagged = rows.join(F.broadcast(hot), ["session_id", "_slice"], "left")
+    if hot_rows >= BROADCAST_MIN_HOT_ROWS:
+        hot = F.broadcast(hot)
+    flagged = rows.join(hot, ["session_id", "_slice"], "left")
     is_hot = F.coalesce(F.col("_hot"), F.lit(False))
     return flagged.select(
         *rows.columns,
@@ -71,8 +77,11 @@ def session_successors(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SEC
     rows = rows.withColumn("_slice", floor_div(F.col("t_ms"), 1000 * slice_seconds))
     groups = ["session_id", "_slice"]
     if hot_rows is not None:
-        rows = _split_hot_slices(rows, hot_rows, sub_tie_rows)
         groups += ["_sub_t", "_sub_k"]
+        # Shuffle on all group keys: a shuffle join on (session, slice) would
+        # otherwise satisfy the window and keep each hot slice in one task.
+        # After a broadcast join this is the window's own (only) shuffle.
+        rows = _split_hot_slices(rows, hot_rows, sub_tie_rows).repartition(*groups)
     order = [F.col("action_time"), F.col("_tie")]
 
     w_slice = Window.partitionBy(*groups).orderBy(*order)
