@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpath.functions import java_split
+from clickpath.sources.tables import broadcast_if_small
 from clickpath.operators.filters import action_kind, has_click
 from clickpath.operators.topk import top_k_per_group
 
@@ -76,12 +77,14 @@ def category_session_clicks(visits: DataFrame) -> DataFrame:
 def clicks_in_categories(visits: DataFrame, categories: DataFrame) -> DataFrame:
     """Click rows whose category is in ``categories``.
 
-    ``categories`` must be small by construction (a top-k list), so it is
-    broadcast: a map-side semi join, no shuffle of the clicks.
+    A top-k list is broadcast (its planned size is bounded by ``LIMIT k``): a
+    map-side semi join, no shuffle of the clicks. A larger list passed here
+    fails the size check and the planner picks the join.
     """
     clicks = (visits.where(has_click())
               .withColumn("category_id", F.col("click_category_id").cast("string")))
-    return clicks.join(F.broadcast(categories.select("category_id")), "category_id", "left_semi")
+    return clicks.join(broadcast_if_small(categories.select("category_id")), "category_id",
+                       "left_semi")
 
 
 def category_top10_sessions(visits: DataFrame, k_categories: int = TOP_CATEGORIES,
