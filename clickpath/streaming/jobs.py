@@ -241,19 +241,25 @@ class BlacklistJob(_Job):
         self._list(batch_id)
         self._maybe_compact(batch_id, self.counts, self.listed)
 
+    def _listed_among(self, users: DataFrame, batch_id: int) -> DataFrame:
+        """Listed users (before this batch) among ``users``. The whole list only
+        grows; semi-joining it with the batch's few users lets the small side be
+        broadcast, so the list is scanned but never shuffled."""
+        return (self.listed.read(before=batch_id).select("user_id")
+                .join(users.select("user_id").distinct(), "user_id", "left_semi"))
+
     def _count(self, batch, batch_id):
-        listed = self.listed.read(before=batch_id).select("user_id")
-        kept = self._parse(batch, batch_id, self.rejects).join(listed, "user_id", "left_anti")
+        clicks = self._parse(batch, batch_id, self.rejects)
+        kept = clicks.join(self._listed_among(clicks, batch_id), "user_id", "left_anti")
         self.counts.write(O.ad_user_daily(kept), batch_id)
 
     def _list(self, batch_id):
-        listed = self.listed.read(before=batch_id).select("user_id")
         delta = self.counts.read_batch(batch_id).select(*self.KEYS, "n")
         prior = self.counts.totals(before=batch_id, only=delta).withColumnRenamed("n", "prior")
         total = F.col("n") + F.coalesce(F.col("prior"), F.lit(0))
         crossed = (delta.join(prior, self.KEYS, "left").where(total >= F.lit(self.threshold))
                    .select("user_id").distinct())
-        new = crossed.join(listed, "user_id", "left_anti")
+        new = crossed.join(self._listed_among(crossed, batch_id), "user_id", "left_anti")
         self.listed.write(new.withColumn("listed_batch", F.lit(int(batch_id)).cast("bigint")),
                           batch_id)
 
