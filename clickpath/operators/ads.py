@@ -95,7 +95,8 @@ def clicks_kept(clicks: DataFrame, listed: DataFrame, batch_col: str = "batch")
 
 
 def click_trend(clicks: DataFrame, window_s: int = TREND_WINDOW_S,
-                slide_s: int = TREND_SLIDE_S, exclude_users: DataFrame | None = None) -> DataFrame:
+                slide_s: int = TREND_SLIDE_S, exclude_users: DataFrame | None = None,
+                ordered: bool = False) -> DataFrame:
     """(window_end, bucket, n): clicks per ``slide_s`` bucket in every sliding window.
 
     Epoch seconds. A bucket lies in the ``window_s / slide_s`` windows that end
@@ -107,16 +108,21 @@ def click_trend(clicks: DataFrame, window_s: int = TREND_WINDOW_S,
                   .select((floor_div(F.col("ts_ms"), 1000 * slide_s) * slide_s)
                                 .alias("bucket"))
                   .groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
-    return trend_windows(per_bucket, window_s, slide_s)
+    return trend_windows(per_bucket, window_s, slide_s, ordered)
 
 
 def trend_windows(bucket_counts: DataFrame, window_s: int = TREND_WINDOW_S,
-                  slide_s: int = TREND_SLIDE_S) -> DataFrame:
+                  slide_s: int = TREND_SLIDE_S, ordered: bool = False) -> DataFrame:
     """Fan ``(bucket, n)`` counts (bucket = epoch seconds, multiple of ``slide_s``)
-    out to ``(window_end, bucket, n)`` for every sliding window holding the bucket."""
+    out to ``(window_end, bucket, n)`` for every sliding window holding the bucket.
+
+    ``ordered`` sorts by window, then bucket ascending (O2, as the reference
+    prints each window); the sort is over aggregated rows only.
+    """
     if window_s % slide_s:
         raise ValueError("window must be a multiple of the slide")
     steps = F.sequence(F.lit(1), F.lit(window_s // slide_s))
-    return (bucket_counts.select("bucket", "n", F.explode(steps).alias("_i"))
-            .select((F.col("bucket") + F.col("_i") * slide_s).cast("bigint").alias("window_end"),
-                    F.col("bucket").cast("bigint").alias("bucket"), "n"))
+    out = (bucket_counts.select("bucket", "n", F.explode(steps).alias("_i"))
+           .select((F.col("bucket") + F.col("_i") * slide_s).cast("bigint").alias("window_end"),
+                   F.col("bucket").cast("bigint").alias("bucket"), "n"))
+    return out.orderBy("window_end", "bucket") if ordered else out

@@ -205,8 +205,8 @@ class ClickTrendJob(_Job):
     def process(self, batch, batch_id):
         self.buckets.write(batch, batch_id)
 
-    def result(self) -> DataFrame:
-        return O.ads.trend_windows(self.buckets.latest(), self.window_s, self.slide_s)
+    def result(self, ordered: bool = False) -> DataFrame:
+        return O.ads.trend_windows(self.buckets.latest(), self.window_s, self.slide_s, ordered)
 
 
 class BlacklistJob(_Job):

@@ -104,3 +104,5 @@ def test_trend_windows(spark):
     df = spark.createDataFrame([(1000,), (9999,), (10000,)], "ts_ms bigint")
     got = rows(O.click_trend(df, 20, 10))
     assert got == [(10, 0, 2), (20, 0, 2), (20, 10, 1), (30, 10, 1)]
+    ordered = [tuple(r) for r in O.click_trend(df, 20, 10, ordered=True).collect()]
+    assert ordered == [(10, 0, 2), (20, 0, 2), (20, 10, 1), (30, 10, 1)]
