@@ -13,11 +13,11 @@ three Redis semantics:
 ``before=b`` restricts a read to batches ``< b``, so a replayed batch sees the
 same state as its first run. Reads never go through the driver.
 
-``compact(upto)`` folds batches ``<= upto`` into a snapshot
-(``<path>/_snapshot/upto=<N>/``, skipped by the reader of the log itself). A read
-then takes the newest snapshot below ``before`` plus only the later batch
-partitions (partition pruning), so a long-running job's per-batch reads stop
-growing with its history. Batch partitions are kept, so replay stays exact.
+``compact(upto)`` folds batches ``<= upto`` into a snapshot, and later batches
+go to a new generation folder. A read then takes the newest snapshot below
+``before`` plus that one generation, so a long-running job's per-batch listing
+and reads stop growing with its history. Older generations are kept (replay
+stays exact); dropping them is a plain retention policy on whole folders.
 """
 
 from __future__ import annotations
@@ -64,8 +64,20 @@ def _restrict(df: DataFrame, only: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(only.select(*on).distinct(), on, "left_semi")
 
 
+NO_SNAPSHOT = -1
+
+
 class KeyedLog:
-    """Parquet log partitioned by batch id; see the module notes."""
+    """Parquet log partitioned by batch id; see the module notes.
+
+    Layout: ``<path>/g<u>/batch_id=<N>/`` holds batch N, where u is the newest
+    snapshot below N (``g-1`` before the first snapshot), and
+    ``<path>/_snapshot/upto=<u>/`` holds the folded state of batches ``<= u``.
+    A read below ``b`` takes snapshot u (the newest below b) plus the one
+    generation folder ``g<u>``. Listing and reading are therefore bounded by
+    the batches since the last snapshot, however long the job runs. A replayed
+    batch computes the same generation and overwrites its own folder.
+    """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str):
         self.spark = spark
@@ -73,62 +85,100 @@ class KeyedLog:
         self.schema = _schema(schema)
         self._read_schema = T.StructType(
             list(self.schema.fields) + [T.StructField(BATCH_COL, T.LongType())])
-        mkdirs(spark, self.path)   # an empty log must be readable
+        mkdirs(spark, self._gen_dir(NO_SNAPSHOT))   # an empty log must be readable
 
     @property
     def columns(self) -> list[str]:
         return [f.name for f in self.schema.fields]
 
+    @property
+    def snapshot_dir(self) -> str:
+        return f"{self.path}/_snapshot"
+
+    def _gen_dir(self, gen: int) -> str:
+        return f"{self.path}/g{int(gen)}"
+
+    def _snapshot_below(self, batch_id: int | None) -> int:
+        ups = [u for u in _list_snapshots(self.spark, self.snapshot_dir)
+               if batch_id is None or u < batch_id]
+        return ups[-1] if ups else NO_SNAPSHOT
+
     def write(self, df: DataFrame, batch_id: int) -> None:
         """Write (or replace) the rows of one batch."""
+        gen = self._snapshot_below(batch_id)
         (df.select(*self.columns).write.mode("overwrite")
-         .parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}"))
+         .parquet(f"{self._gen_dir(gen)}/{BATCH_COL}={int(batch_id)}"))
 
     def write_many(self, df: DataFrame, batch_col: str = BATCH_COL) -> None:
-        """Write rows of several batches in one job; only those batches are replaced."""
+        """Write rows of several batches in one job; only those batches are
+        replaced. For logs without snapshots (bulk loads)."""
+        if self._snapshot_below(None) != NO_SNAPSHOT:
+            raise ValueError("write_many is for logs without snapshots; use write")
         (df.select(*self.columns, F.col(batch_col).cast("bigint").alias(BATCH_COL))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BATCH_COL).parquet(self.path))
+         .partitionBy(BATCH_COL).parquet(self._gen_dir(NO_SNAPSHOT)))
 
-    def _read_batches(self) -> DataFrame:
-        return (self.spark.read.schema(self._read_schema).option("basePath", self.path)
-                .parquet(self.path))
+    def _read_gen(self, gen: int) -> DataFrame:
+        path = self._gen_dir(gen)
+        mkdirs(self.spark, path)
+        return self.spark.read.schema(self._read_schema).option("basePath", path).parquet(path)
 
-    def read(self, before: int | None = None) -> DataFrame:
-        """All rows with their ``batch_id``; only batches ``< before`` if given.
-
-        When a snapshot below ``before`` exists, its folded rows (tagged with the
-        snapshot's ``upto`` as batch id) replace the batches it covers.
-        """
-        df = self._read_batches()
+    def _state(self, before: int | None, snapshot_below: int | None) -> DataFrame:
+        upto = self._snapshot_below(snapshot_below)
+        df = self._read_gen(upto)
         if before is not None:
             df = df.where(F.col(BATCH_COL) < F.lit(int(before)))
-        ups = [u for u in _list_snapshots(self.spark, self.snapshot_dir)
-               if before is None or u < before]
-        if not ups:
+        if upto == NO_SNAPSHOT:
             return df
-        upto = ups[-1]
         snap = (self.spark.read.schema(self._read_schema)
                 .parquet(f"{self.snapshot_dir}/upto={upto}"))
         return snap.unionByName(df.where(F.col(BATCH_COL) > F.lit(upto)))
 
-    @property
-    def snapshot_dir(self) -> str:
-        return f"{self.path}/_snapshot"
+    def read(self, before: int | None = None) -> DataFrame:
+        """All rows with their ``batch_id``; only batches ``< before`` if given.
+
+        Batches covered by a snapshot come as its folded rows (tagged with the
+        snapshot's ``upto`` as batch id).
+        """
+        return self._state(before, before)
+
+    def read_batch(self, batch_id: int) -> DataFrame:
+        """The rows written by one batch (never from a snapshot)."""
+        return (self._read_gen(self._snapshot_below(batch_id))
+                .where(F.col(BATCH_COL) == F.lit(int(batch_id))))
 
     def _fold(self, rows: DataFrame) -> DataFrame:
         """Fold rows of many batches into the rows of one (per log type)."""
         return rows.select(*self.columns).distinct()
 
+    def _batches_in(self, gen: int) -> list[int]:
+        """Batch ids present in one generation folder (a metadata listing)."""
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self._gen_dir(gen))
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return []
+        prefix = f"{BATCH_COL}="
+        return [int(st.getPath().getName()[len(prefix):]) for st in fs.listStatus(p)
+                if st.getPath().getName().startswith(prefix)]
+
     def compact(self, upto: int) -> None:
-        """Write the folded state of batches ``<= upto`` as a snapshot (idempotent)."""
-        folded = self._fold(self.read(before=int(upto) + 1))
-        (folded.select(*self.columns, F.lit(int(upto)).cast("bigint").alias(BATCH_COL))
-         .write.mode("overwrite").parquet(f"{self.snapshot_dir}/upto={int(upto)}"))
+        """Write the folded state of batches ``<= upto`` as a snapshot.
 
-    def read_batch(self, batch_id: int) -> DataFrame:
-        """The rows written by one batch (never from a snapshot)."""
-        return self._read_batches().where(F.col(BATCH_COL) == F.lit(int(batch_id)))
+        Call it when ``upto`` is the newest batch written (the jobs do so at the
+        end of batch ``upto``); later batches then go to the new generation.
+        Built from the newest snapshot strictly below ``upto``, so running it
+        again (e.g. for a replayed batch) gives the same snapshot.
+        """
+        upto = int(upto)
+        gen = self._snapshot_below(upto)
+        later = [b for b in self._batches_in(gen) if b > upto]
+        if later:
+            raise ValueError(f"batches {sorted(later)} were written after {upto}; "
+                             "compact when the snapshot batch is the newest")
+        folded = self._fold(self._state(upto + 1, upto))
+        (folded.select(*self.columns, F.lit(upto).cast("bigint").alias(BATCH_COL))
+         .write.mode("overwrite").parquet(f"{self.snapshot_dir}/upto={upto}"))
 
 
 class SetLog(KeyedLog):

@@ -70,3 +70,26 @@ def test_compaction_keeps_results_and_replay(spark):
     assert rows(inc.read_batch(1), "k", "n") == [("a", 1), ("k1", 1)]
     inc.write(spark.createDataFrame([("a", 1)], "k string, n bigint"), 1)   # replay batch 1
     assert rows(inc.totals()) == [("a", 15), ("k0", 3), ("k1", 3)]          # snapshot 4 covers it
+
+
+def test_batches_after_a_snapshot_go_to_a_new_generation(spark):
+    import os
+
+    import pytest
+    work = new_work_dir(spark, "t-gen")
+    log = IncrementLog(spark, f"{work}/i", "k string, n bigint", ["k"], "n")
+    one = spark.createDataFrame([("a", 1)], "k string, n bigint")
+    for b in range(3):
+        log.write(one, b)
+    with pytest.raises(ValueError):
+        log.compact(1)              # batch 2 already written: would be stranded
+    log.compact(2)
+    log.write(spark.createDataFrame([("a", 10)], "k string, n bigint"), 3)
+    local = work.replace("file:", "")
+    assert sorted(os.listdir(f"{local}/i/g-1")) == ["batch_id=0", "batch_id=1", "batch_id=2"]
+    assert [d for d in os.listdir(f"{local}/i/g2") if d.startswith("batch_id")] == ["batch_id=3"]
+    assert rows(log.totals()) == [("a", 13)]
+    assert rows(log.totals(before=3)) == [("a", 3)]
+    assert rows(log.read_batch(1), "k", "n") == [("a", 1)]
+    log.compact(2)                  # again, e.g. for a replayed batch 2: same snapshot
+    assert rows(log.totals()) == [("a", 13)]
