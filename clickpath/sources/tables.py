@@ -30,7 +30,10 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     (about 0.15 s here); the schema is reused while the path's modification
     time is unchanged, so a rewritten table is inferred again.
     """
-    key = (path, _modified(spark, path))
+    try:
+        key = (path, _modified(spark, path))
+    except Exception:  # noqa: BLE001 - missing path or glob: Spark reports it
+        return spark.read.parquet(path)
     schema = _SCHEMAS.get(key)
     if schema is None:
         df = spark.read.parquet(path)

@@ -51,3 +51,11 @@ def test_read_parquet_reinfers_after_rewrite(spark):
     spark.range(3).selectExpr("id", "id * 2 AS x").write.mode("overwrite").parquet(path)
     df = read_parquet(spark, path)
     assert df.columns == ["id", "x"] and df.count() == 3
+
+
+def test_read_parquet_missing_path_raises_spark_error(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+    from clickpath.sources.tables import read_parquet
+    with pytest.raises(AnalysisException):
+        read_parquet(spark, "/nonexistent/clickpath/table.parquet")
