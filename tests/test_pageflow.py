@@ -113,3 +113,28 @@ def test_adjacent_pairs(spark):
     got = [r[0] for r in df.select(O.adjacent_pairs(F.col("a"))).collect()]
     assert [[tuple(p) for p in g] for g in got] == [[("1", "2"), ("2", "3")], [], []]
     assert O.flow_pairs("1,2,1,2,3") == [(1, 2), (2, 1), (2, 3)]
+
+
+def test_session_with_a_third_of_all_rows(spark):
+    # real rows (sf0.001 events); every third action is moved into one session
+    import os
+    from pyspark.sql import functions as F
+    from clickpath.sources import load_visits
+    sf = "/root/testdata/sf0.001"
+    if not os.path.exists(sf):
+        return
+    v = load_visits(spark, sf).withColumn(
+        "session_id", F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit("hot"))
+        .otherwise(F.col("session_id")))
+    acts = {}
+    for r in v.select("session_id", "action_time", "event_id", "page_id").collect():
+        acts.setdefault(r[0], []).append((r[1], r[2], r[3]))
+    want = {}
+    for seq in acts.values():
+        seq.sort()
+        for (_, _, p1), (_, _, p2) in zip(seq, seq[1:]):
+            want[(p1, p2)] = want.get((p1, p2), 0) + 1
+    want = sorted((a, b, n) for (a, b), n in want.items())
+    assert len(acts["hot"]) * 3 >= sum(len(s) for s in acts.values()) - 3
+    assert rows(O.page_transition_counts(v)) == want
+    assert rows(O.page_transition_counts(v, hot_rows=20)) == want
