@@ -106,3 +106,23 @@ def test_trend_windows(spark):
     assert got == [(10, 0, 2), (20, 0, 2), (20, 10, 1), (30, 10, 1)]
     ordered = [tuple(r) for r in O.click_trend(df, 20, 10, ordered=True).collect()]
     assert ordered == [(10, 0, 2), (20, 0, 2), (20, 10, 1), (30, 10, 1)]
+
+
+def test_user_with_a_third_of_all_clicks(spark):
+    # real rows (sf0.001 events); every third click is moved to one user
+    import os
+    from clickpath.sources import load_ad_clicks
+    sf = "/root/testdata/sf0.001"
+    if not os.path.exists(sf):
+        return
+    clicks = load_ad_clicks(spark, sf).withColumn(
+        "user_id", F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit(0).cast("bigint"))
+        .otherwise(F.col("user_id")))
+    local = [(r["date"], r["ad_id"], r["user_id"], r["batch"], r["event_id"], 0)
+             for r in clicks.collect()]
+    for t in (3, 30):
+        want = simulate_blacklist(local, t)
+        listed = O.blacklist(clicks, t)
+        assert dict(listed.collect()) == want
+        kept = O.clicks_kept(clicks, listed).count()
+        assert kept == sum(1 for c in local if c[2] not in want or c[3] <= want[c[2]])
