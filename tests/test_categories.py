@@ -74,3 +74,28 @@ def test_date_bounds_like_the_reference(spark):
     assert O.date_range(v, "2024-01-01", "2024-01-01").count() == 1      # equal to the first
     assert O.date_range(v, "2024-01-03", None).count() == 1              # equal to the last
     assert O.date_range(v, "2024-01-02", "2024-01-03").count() == 2
+
+
+def test_category_with_a_third_of_all_clicks(spark):
+    # real rows (sf0.001 events); every third click goes to category 7
+    import os
+    from pyspark.sql import functions as F
+    from clickpath.sources import load_visits
+    sf = "/root/testdata/sf0.001"
+    if not os.path.exists(sf):
+        return
+    v = load_visits(spark, sf)
+    v = v.withColumn("click_category_id", F.when(
+        (F.col("click_category_id") != -1) & (F.pmod("event_id", F.lit(3)) == 0),
+        F.lit(7).cast("bigint")).otherwise(F.col("click_category_id")))
+    got = rows(O.category_top10_sessions(v), "category_id", "session_id", "click_count", "rn")
+    top = {r["category_id"] for r in O.category_top10(v).collect()}
+    counts = {}
+    for r in v.where("click_category_id <> -1").select("click_category_id", "session_id").collect():
+        key = (str(r[0]), r[1])
+        counts[key] = counts.get(key, 0) + 1
+    want = []
+    for cat in top:
+        ranked = sorted(((-n, s) for (c, s), n in counts.items() if c == cat))[:10]
+        want += [(cat, s, -n, i + 1) for i, (n, s) in enumerate(ranked)]
+    assert "7" in top and got == sorted(want)
