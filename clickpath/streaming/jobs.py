@@ -152,9 +152,9 @@ class AreaTopAdsJob(_Job):
     output_mode = "update"
 
     def __init__(self, spark, out_dir, k: int = O.ads.TOP_ADS, compact_every: int | None = 100,
-                 watermark: str | None = None):
+                 watermark: str | None = None, exclude_users: DataFrame | None = None):
         super().__init__(spark, out_dir, compact_every)
-        self.k, self.watermark = k, watermark
+        self.k, self.watermark, self.exclude_users = k, watermark, exclude_users
         self.counts = ReplaceLog(spark, f"{self.out_dir}/counts",
                                  "date string, area string, ad_id bigint, n bigint",
                                  ["date", "area", "ad_id"])
@@ -162,7 +162,8 @@ class AreaTopAdsJob(_Job):
                               "date string, area string, top3 string", ["date", "area"])
 
     def plan(self, lines):
-        clicks, day = daily(parse_ad_log(lines), self.watermark)
+        parsed = O.exclude(parse_ad_log(lines), self.exclude_users)   # stream-static anti join
+        clicks, day = daily(parsed, self.watermark)
         counts = clicks.groupBy(day, "area", "ad_id").agg(F.count(F.lit(1)).alias("n"))
         return day_string(counts, self.watermark)
 
@@ -188,14 +189,17 @@ class ClickTrendJob(_Job):
     output_mode = "update"
 
     def __init__(self, spark, out_dir, window_s: int = O.ads.TREND_WINDOW_S,
-                 slide_s: int = O.ads.TREND_SLIDE_S, watermark: str | None = None):
+                 slide_s: int = O.ads.TREND_SLIDE_S, watermark: str | None = None,
+                 exclude_users: DataFrame | None = None):
         super().__init__(spark, out_dir)
         self.window_s, self.slide_s, self.watermark = window_s, slide_s, watermark
+        self.exclude_users = exclude_users
         self.buckets = ReplaceLog(spark, f"{self.out_dir}/buckets", "bucket bigint, n bigint",
                                   ["bucket"])
 
     def plan(self, lines):
-        clicks = parse_ad_log(lines).withColumn("ts", F.timestamp_millis(F.col("ts_ms")))
+        clicks = (O.exclude(parse_ad_log(lines), self.exclude_users)   # stream-static anti join
+                  .withColumn("ts", F.timestamp_millis(F.col("ts_ms"))))
         if self.watermark:
             clicks = clicks.withWatermark("ts", self.watermark)
         return (clicks.groupBy(F.window("ts", f"{self.slide_s} seconds").alias("w"))

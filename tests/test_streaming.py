@@ -83,3 +83,17 @@ def test_trend_watermark_drops_late_buckets(spark):
     got = rows(replay(spark, parts, job, new_work_dir(spark, "t-trw-in")))
     b = (t0 + 600_000) // 1000
     assert got == [(b + 10, b, 4), (b + 20, b, 4)]
+
+
+def test_stream_top3_and_trend_exclude_users(spark):
+    t0 = 1704067200000
+    data = [(t0 + i * 1000, "A", "C", i % 2, 1 + i % 3, 0) for i in range(12)]
+    df, parts = _parts(spark, data)
+    users = spark.createDataFrame([(1,)], "user_id bigint")
+    kept = df.where("user_id <> 1").withColumn("date", F.lit("2024-01-01"))
+    job = J.AreaTopAdsJob(spark, new_work_dir(spark, "t-ex") + "/job", exclude_users=users)
+    want = O.area_top_ads_json(O.area_top_ads(O.area_ad_daily(O.area_city_ad_daily(kept))))
+    assert rows(replay(spark, parts, job, new_work_dir(spark, "t-ex-in"))) == rows(want)
+    job = J.ClickTrendJob(spark, new_work_dir(spark, "t-ex2") + "/job", exclude_users=users)
+    got = rows(replay(spark, parts, job, new_work_dir(spark, "t-ex2-in")))
+    assert got == rows(O.click_trend(kept))
