@@ -55,6 +55,8 @@ def _parser() -> argparse.ArgumentParser:
     src.add_argument("--files", help="folder or glob of log files")
     s.add_argument("--topic")
     s.add_argument("--trigger-seconds", type=int, default=5)
+    s.add_argument("--once", action="store_true",
+                   help="process everything available now, then stop (availableNow)")
     s.add_argument("--threshold", type=int, help="blacklist threshold (default 100)")
     s.add_argument("--watermark", help="e.g. '1 day' for the daily and trend jobs")
     return p
@@ -82,9 +84,12 @@ def main(argv: list[str] | None = None) -> None:
         options["threshold"] = args.threshold
     if args.watermark:
         options["watermark"] = args.watermark
-    query, _ = R.start_stream_job(spark, args.job, lines, args.out,
-                                  {"processingTime": f"{args.trigger_seconds} seconds"}, **options)
+    trigger = ({"availableNow": True} if args.once
+               else {"processingTime": f"{args.trigger_seconds} seconds"})
+    query, job = R.start_stream_job(spark, args.job, lines, args.out, trigger, **options)
     query.awaitTermination()
+    if args.once:
+        job.result().show(100, truncate=False)
 
 
 if __name__ == "__main__":

@@ -53,3 +53,16 @@ def test_command_line_batch_report(spark):
           "--table", out + "_flow"])
     assert spark.table(out + "_flow").columns == ["page_from", "page_to", "transitions",
                                                   "views", "rate"]
+
+
+def test_command_line_stream_once(spark):
+    from clickpath.__main__ import main
+    work = new_work_dir(spark, "t-cli-stream")
+    lines = [("1704067200000 A C 1 2",), ("1704067201000 A C 1 2",), ("bad",)]
+    spark.createDataFrame(lines, "value string").write.text(f"{work}/in/b0")
+    main(["stream", "area_city_ad_daily", "--files", f"{work}/in/*", "--out", f"{work}/job",
+          "--once"])
+    from clickpath.streaming.jobs import AreaCityAdDailyJob
+    job = AreaCityAdDailyJob(spark, f"{work}/job")
+    assert rows(job.result()) == [("2024-01-01", "A", "C", 2, 2)]
+    assert rows(job.rejects.read(), "value") == [("bad",)]
