@@ -2,12 +2,11 @@
 
 Scratch data (staged stream inputs, keyed logs, round-trip tables) always goes
 under the folder the cluster names in ``spark.checkpoint.dir``; a private
-temporary folder is created only when that setting is absent (local tests).
+temporary folder stands in for it only in local mode (tests).
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -61,8 +60,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as Hadoop sees it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; set a private one only if unset."""
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
+
+    A private temporary folder stands in for it only under a ``local`` master,
+    where driver and executors are one process; anywhere else a missing setting
+    is an error, since each machine would write to its own disk.
+    """
     path = spark.sparkContext.getCheckpointDir()
     if path:
         # getCheckpointDir returns a per-application child; use its parent so
@@ -70,15 +80,30 @@ def shared_dir(spark: SparkSession) -> str:
         return path.rstrip("/").rsplit("/", 1)[0]
     conf_path = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all "
+                             f"executors share (master {master})")
         conf_path = tempfile.mkdtemp(prefix="clickpath-ckpt-")
     spark.sparkContext.setCheckpointDir(conf_path)
     return conf_path
 
 
 def new_work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared folder for one run."""
-    base = shared_dir(spark)
-    path = f"{base}/clickpath/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    """A fresh, unique folder under the shared folder for one run.
+
+    It is made with the Hadoop file system, so any store that Spark can write
+    to will do, and goes when the application ends (``remove_dir`` removes it
+    earlier).
+    """
+    path = f"{shared_dir(spark)}/clickpath/{name}-{uuid.uuid4().hex[:12]}"
+    fs, p = _file_system(spark, path)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
     return path
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``new_work_dir`` made, with all it holds."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clickpath import schema as S
 
@@ -12,34 +11,10 @@ from clickpath import schema as S
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-_SCHEMAS: dict[tuple[str, int], T.StructType] = {}
-
-
-def _modified(spark: SparkSession, path: str) -> int:
-    """Modification time of a path (one file-system metadata call)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getFileStatus(p).getModificationTime())
-
-
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """``spark.read.parquet`` with the inferred schema remembered per path.
-
-    Schema inference reads parquet footers in a separate job on every read
-    (about 0.15 s here); the schema is reused while the path's modification
-    time is unchanged, so a rewritten table is inferred again.
-    """
-    try:
-        key = (path, _modified(spark, path))
-    except Exception:  # noqa: BLE001 - missing path or glob: Spark reports it
-        return spark.read.parquet(path)
-    schema = _SCHEMAS.get(key)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[key] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    """``spark.read.parquet``; the schema is inferred on every read, so a table whose
+    files were replaced, at any depth, shows its present columns."""
+    return spark.read.parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

