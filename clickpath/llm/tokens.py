@@ -2,7 +2,7 @@
 
 A byte-level BPE splits a text by a fixed pattern and encodes each piece on its
 own, so the ids of a piece never depend on its neighbours. ``Encoder`` makes use
-of that: it asks the library once for each distinct piece and remembers the
+of that: it asks the tokenizer's model once for each distinct piece and remembers the
 answer in a bounded cache. Tokenizer files of any other kind are given whole
 texts.
 """
@@ -19,8 +19,13 @@ from tokenizers import Tokenizer
 # Fixed value: the split pattern of byte-level BPE.
 BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# Fixed rule: byte-level BPE writes a printable Latin-1 byte as its own character
+# and the n-th of all other bytes as character 256 + n.
+_PRINTABLE = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+BYTE_SYMBOLS = {b: chr(256 + n) for n, b in enumerate(sorted(set(range(256)).difference(_PRINTABLE)))}
+
 # Pieces in each of the two generations of the cache.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 300_000
 
 # Longest piece that is remembered, in characters.
 CACHE_PIECE_CHARS = 64
@@ -74,17 +79,10 @@ class Encoder:
         return {**{p: new[p] for p in set(pieces).intersection(new)}, **dict(zip(missing, ids))}
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
-        """The ids of each piece, from one call that takes the pieces as they are."""
-        found = self._tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        ids, ends = array("I", found.ids).tobytes(), []
-        at = 0
-        words = found.word_ids
-        n = len(words)
-        for k in range(len(pieces)):
-            while at < n and words[at] == k:
-                at += 1
-            ends.append(4 * at)
-        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+        """The ids of each piece, from the tokenizer's model."""
+        tokenize = self._tokenizer.model.tokenize
+        return [array("I", [t.id for t in tokenize(p.encode().decode("latin-1").translate(BYTE_SYMBOLS))]).tobytes()
+                for p in pieces]
 
 
 @functools.lru_cache(maxsize=2)
