@@ -71,9 +71,8 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
     blocks: list[bytes] = [b""] * n
     for w in np.unique(width):
         rows = np.flatnonzero(width == w)
-        shifts = np.arange(w - 1, -1, -1, dtype=np.uint32)
-        bits = (diff[rows][:, :, None] >> shifts & 1).astype(np.uint8).reshape(len(rows), -1)
-        packed = np.packbits(bits, axis=1)
+        bits = np.unpackbits(diff[rows].astype(">u4").view(np.uint8).reshape(-1, BLOCK, 4), axis=2)[:, :, 32 - w:]
+        packed = np.packbits(bits.reshape(len(rows), -1), axis=1)
         for k, row in enumerate(rows):
             where = np.flatnonzero(over[row])
             blocks[row] = b"".join((BLOCK_HEADER.pack(int(low[row]), int(w), len(where)), packed[k].tobytes(),
@@ -92,11 +91,9 @@ def decode_blocks(payload: bytes, starts: np.ndarray, n_ids: int) -> np.ndarray:
     for w, rows in by_width.items():
         size = w * BLOCK // 8
         packed = np.frombuffer(b"".join(payload[(a := int(starts[k]) + BLOCK_HEADER.size):a + size] for k in rows), np.uint8)
-        bits = np.unpackbits(packed).reshape(len(rows), BLOCK, w)
-        value = np.zeros((len(rows), BLOCK), np.uint32)
-        for k in range(w):
-            value = value << np.uint32(1) | bits[:, :, k]
-        out[rows] = value
+        bits = np.zeros((len(rows), BLOCK, 32), np.uint8)
+        bits[:, :, 32 - w:] = np.unpackbits(packed).reshape(len(rows), BLOCK, w)
+        out[rows] = np.packbits(bits, axis=2).view(">u4")[:, :, 0]
     for k, (low, w, n_over) in enumerate(heads):
         if n_over:
             at = int(starts[k]) + BLOCK_HEADER.size + w * BLOCK // 8
