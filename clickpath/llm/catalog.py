@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickpath.llm import packing, token_files
+from clickpath.llm import packing, simhash, token_files
 from clickpath.llm.common import read
 from clickpath.session import new_work_dir
 
@@ -27,9 +27,14 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path, with_ids=False).drop("ids")
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_token_files": op9_token_files,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
