@@ -10,13 +10,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickpath.llm import packing, simhash, token_files
+from clickpath.llm import packing, sharding, simhash, token_files
 from clickpath.llm.common import read
 from clickpath.session import new_work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(read(spark, sf_dir, "documents"), shards=sharding.SHARDS)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), with_ids=False).drop("ids")
 
@@ -32,6 +36,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op5_sharding": op5_sharding,
     "op8_packing": op8_packing,
     "op9_token_files": op9_token_files,
     "op10_simhash": op10_simhash,
