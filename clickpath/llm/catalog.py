@@ -10,13 +10,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickpath.llm import packing, sharding, simhash, token_files
+from clickpath.llm import language, packing, quality, sharding, simhash, token_files
 from clickpath.llm.common import read
 from clickpath.session import new_work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(docs, read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language.fit(docs)
+    return language.identify(docs.select("doc_id", "text"), model).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"), shards=sharding.SHARDS)
 
@@ -36,6 +47,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
+    "op3_language": op3_language,
     "op5_sharding": op5_sharding,
     "op8_packing": op8_packing,
     "op9_token_files": op9_token_files,
