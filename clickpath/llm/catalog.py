@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickpath.llm import language, packing, quality, sharding, simhash, token_files
+from clickpath.llm import decontaminate, language, packing, quality, sharding, simhash, token_files, weighted_minhash
 from clickpath.llm.common import read
 from clickpath.session import new_work_dir
 
@@ -28,10 +28,18 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "text"), model).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"), shards=sharding.SHARDS)
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_minhash.fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), with_ids=False).drop("ids")
 
@@ -49,10 +57,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op3_language": op3_language,
+    "op4_decontaminate": op4_decontaminate,
     "op5_sharding": op5_sharding,
+    "op6_fingerprints": op6_fingerprints,
     "op8_packing": op8_packing,
     "op9_token_files": op9_token_files,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_decontaminate": decontaminate.oracle_sql(),
+}
