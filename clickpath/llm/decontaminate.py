@@ -104,7 +104,9 @@ def find(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Dat
     wanted = pairs.groupBy("doc_id", "length").agg(F.collect_set("key").alias("keys"))
     wanted = common.materialise(wanted.withColumnRenamed("doc_id", "wanted_id"), "wanted")
     texts = docs.join(broadcast_if_small(wanted, BROADCAST_BYTES), F.col("doc_id").eqNullSafe(F.col("wanted_id")))
-    exact = texts.select("doc_id", "keys", shingles(words(F.col("text")), F.col("length")).alias("have"))
+    # The words are a column of their own: written inside the shingle function they would be split anew for each shingle.
+    exact = texts.select("doc_id", "keys", "length", words(F.col("text")).alias("ws"))
+    exact = exact.select("doc_id", "keys", shingles(F.col("ws"), F.col("length")).alias("have"))
     exact = exact.select("doc_id", "have", F.explode("keys").alias("key"))
     exact = exact.join(broadcast_if_small(sets.select("key", "item_id", "shingles", "n"), BROADCAST_BYTES), "key")
     share = F.size(F.array_intersect("shingles", "have")) / F.col("n")
