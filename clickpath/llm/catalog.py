@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickpath.llm import decontaminate, language, packing, quality, sharding, simhash, token_files, weighted_minhash
+from clickpath.llm import decontaminate, language, packing, quality, sharding, simhash, suffix_dedup, token_files, weighted_minhash
 from clickpath.llm.common import read
 from clickpath.session import new_work_dir
 
@@ -22,6 +22,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(read(spark, sf_dir, "documents"), with_kept=False).drop("kept")
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = language.fit(docs)
@@ -56,6 +60,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_language": op3_language,
     "op4_decontaminate": op4_decontaminate,
     "op5_sharding": op5_sharding,

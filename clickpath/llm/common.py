@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import clickpath
-from clickpath.session import new_work_dir
+from clickpath.session import new_work_dir, remove_dir
 
 # Rows in one Arrow batch. Texts are long, so batches stay far below the default
 # of 10,000 rows to keep a Python worker's memory small.
@@ -56,9 +56,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     result instead of computing it again. The folder goes with the application.
     """
     spark = df.sparkSession
-    path = new_work_dir(spark, name) + "/data"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = new_work_dir(spark, name)
+    df.write.parquet(path + "/data")
+    stored = spark.read.schema(df.schema).parquet(path + "/data")
+    stored.stored_in = path
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Remove the files of a frame from ``materialise`` that nothing will read again."""
+    remove_dir(stored.sparkSession, stored.stored_in)
 
 
 def fresh(df: DataFrame, name: str) -> str:
