@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickpath.llm import decontaminate, language, packing, quality, sharding, simhash, suffix_dedup, token_files, weighted_minhash
+from clickpath.llm import decontaminate, language, packing, quality, sharding, simhash, suffix_dedup, token_files, tool_calls, weighted_minhash
 from clickpath.llm.common import read
 from clickpath.session import new_work_dir
 
@@ -44,6 +44,11 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_minhash.fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_calls.from_conversations(read(spark, sf_dir, "conversations"))
+    return tool_calls.link(calls, results, tool_calls.SCHEMAS)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), with_ids=False).drop("ids")
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op4_decontaminate": op4_decontaminate,
     "op5_sharding": op5_sharding,
     "op6_fingerprints": op6_fingerprints,
+    "op7_tool_calls": op7_tool_calls,
     "op8_packing": op8_packing,
     "op9_token_files": op9_token_files,
     "op10_simhash": op10_simhash,

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from clickpath.llm import common
 from clickpath.llm.components import connected_components
+from clickpath.sources.tables import broadcast_if_small
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -29,6 +30,9 @@ HASH_SEED = 42
 # Fingerprints in one tile, at most about so many.
 TILE = 1 << 17
 
+# Largest table of kept rows that is broadcast, in bytes of its stored files.
+BROADCAST_BYTES = 16 << 20
+
 # Rows of a block inside a tile, and shingles whose bits are counted at once.
 BLOCK = 512
 COUNTED = 1 << 15
@@ -59,13 +63,14 @@ def _fingerprints(words_in: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in common.text_batches(batches):
             prints = np.array([fingerprint(x, words_in) for x in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array(prints)], names=["doc_id", "h", "fp"])
     return run
 
 
 def fingerprints(docs: DataFrame, words_in: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): each row's fingerprint, as a signed long."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_fingerprints(words_in), "doc_id long, fp long")
+    """(doc_id, h, fp): each row's xxhash64 and fingerprint, as signed longs."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
+    return rows.mapInArrow(_fingerprints(words_in), "doc_id long, h long, fp long")
 
 
 class _Forest:
@@ -188,6 +193,19 @@ def links(distinct: DataFrame, radius: int = MAX_BITS, tile: int = TILE) -> Data
     return dealt.mapInArrow(_compare(radius), "a long, b long").distinct()
 
 
+def components(docs: DataFrame, words_in: int = SHINGLE_WORDS, radius: int = MAX_BITS, tile: int = TILE) -> DataFrame:
+    """(doc_id, h, fp, root, component_id) of each row; root is one fingerprint of the component."""
+    prints = common.materialise(fingerprints(docs, words_in), "simhash")
+    distinct = common.materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-simhash")
+    roots = connected_components(links(distinct.select("fp"), radius, tile))
+    members = roots.join(distinct.withColumnRenamed("fp", "node"), "node")
+    lowest = members.groupBy("root").agg(F.min("least").alias("component_id"))
+    tied = members.join(lowest, "root").select(F.col("node").alias("fp"), "root", "component_id")
+    ids = distinct.join(tied, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
+    return prints.join(ids, "fp").select("doc_id", "h", "fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, words_in: int = SHINGLE_WORDS, radius: int = MAX_BITS, tile: int = TILE) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -199,11 +217,21 @@ def near_duplicates(docs: DataFrame, words_in: int = SHINGLE_WORDS, radius: int
     a component's id unless the component has no other (then it is null). An empty
     table gives no rows.
     """
-    prints = common.materialise(fingerprints(docs, words_in), "simhash")
-    distinct = common.materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-simhash")
-    roots = connected_components(links(distinct.select("fp"), radius, tile))
-    members = roots.join(distinct.withColumnRenamed("fp", "node"), "node")
-    lowest = members.groupBy("root").agg(F.min("least").alias("component_id"))
-    tied = members.join(lowest, "root").select(F.col("node").alias("fp"), "component_id")
-    ids = distinct.join(tied, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return prints.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return components(docs, words_in, radius, tile).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, words_in: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id (a null id
+    only if there is no other), then of the smallest text hash. Of rows that repeat both
+    id and text any one stays; all columns are kept.
+    """
+    found = common.materialise(components(docs, words_in, radius), "components")
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("best"))
+    owner, h = common.fresh(docs, "best_id"), common.fresh(docs, "best_h")
+    best = common.materialise(best.select(F.col("best.doc_id").alias(owner), F.col("best.h").alias(h)), "representatives")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(owner)) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(h))
+    kept = docs.join(broadcast_if_small(best, BROADCAST_BYTES), same, "left_semi")
+    if found.groupBy("doc_id", "h").count().filter("count > 1").isEmpty():
+        return kept
+    return kept.dropDuplicates(["doc_id", "text"])

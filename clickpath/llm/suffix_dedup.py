@@ -292,7 +292,9 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, bucket_runs: int = BU
     everything = common.materialise(long_enough.mapInArrow(_runs(length), RUN_SCHEMA), "runs")
     # Buckets with more than one run; "mixed" ones hold runs of different text.
     buckets = everything.groupBy("key").agg(F.count(F.lit(1)).alias("total"), (F.min("same") != F.max("same")).alias("mixed"))
-    shared = common.materialise(everything.join(buckets.filter("total > 1").select("key", "mixed"), "key"), "shared-runs")
+    # Stored, so that the join reads plain shuffles on both sides and a hot bucket's runs can be split.
+    buckets = common.materialise(buckets.filter("total > 1").select("key", "mixed"), "shared-buckets")
+    shared = common.materialise(everything.join(buckets, "key"), "shared-runs")
     common.discard(everything)
     texts = shared.groupBy("key", "same").agg(
         (F.count(F.lit(1)) > 1).alias("many"), F.first("mixed").alias("mixed"), F.min(F.struct("doc_id", "h", "start", "n")).alias("one"))
