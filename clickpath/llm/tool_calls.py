@@ -57,17 +57,22 @@ def argument_errors(tool: Column, arguments: Column, schemas: Schemas) -> Column
 
 
 def levels(calls: DataFrame) -> DataFrame:
-    """(key, level) of each call (key, after: array of keys) whose wait can end.
+    """(key, level) of each call (key, turn, after: array of keys) that can be put in order.
 
-    Level 0 waits for no known call; any other is one above the highest it waits
-    for. Calls on a cycle, or behind one, have no row. One round per level; each
-    is stored, and a round joins only the edges with the calls placed so far.
+    A wait for a call of an earlier turn is met by the order of turns. Among the
+    calls of one turn, level 0 waits for none of them; any other is one above the
+    highest it waits for. A call that waits for a later turn, stands on a cycle, or
+    is behind such a call in its turn has no row. One round per level of the deepest turn; each is stored, so
+    no round depends on the ones before it.
     """
-    nodes = calls.groupBy("key").agg(F.flatten(F.collect_set("after")).alias("after"))
-    edges = nodes.select("key", F.explode(F.array_distinct("after")).alias("dep")).join(
-        nodes.select(F.col("key").alias("dep")), "dep")
-    edges = common.materialise(edges, "call-edges")
+    nodes = calls.groupBy("key").agg(F.min("turn").alias("turn"), F.flatten(F.collect_set("after")).alias("after"))
+    nodes = common.materialise(nodes, "call-nodes")
+    edges = nodes.select("key", "turn", F.explode(F.array_distinct("after")).alias("dep")).join(
+        nodes.select(F.col("key").alias("dep"), F.col("turn").alias("dep_turn")), "dep")
+    edges = edges.filter(~F.coalesce(F.col("dep_turn") < F.col("turn"), F.lit(False)))
+    edges = common.materialise(edges.withColumn("met", F.coalesce(F.col("dep_turn") == F.col("turn"), F.lit(False))), "call-edges")
     waits = edges.groupBy("key").agg(F.count(F.lit(1)).alias("waits"))
+    edges = edges.filter("met").select("key", "dep")
     placed = nodes.select("key").join(waits.select("key"), "key", "left_anti").withColumn("level", F.lit(0))
     placed = common.materialise(placed, "call-levels")
     level = 0
@@ -75,10 +80,10 @@ def levels(calls: DataFrame) -> DataFrame:
         done = edges.join(placed.withColumnRenamed("key", "dep"), "dep").groupBy("key").agg(
             F.count(F.lit(1)).alias("done"), F.max("level").alias("top"))
         ready = done.join(waits, "key").filter((F.col("done") == F.col("waits")) & (F.col("top") == level))
-        new = common.materialise(ready.select("key", (F.col("top") + 1).alias("level")), "call-levels")
+        new = common.materialise(ready.select("key", (F.col("top") + 1).alias("level")), "new-levels")
         if new.isEmpty():
             return placed
-        placed, level = placed.union(new), level + 1
+        placed, level = common.materialise(placed.union(new), "call-levels"), level + 1
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
@@ -87,11 +92,11 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     ``calls``: conv_id, turn, call_id, tool, arguments (JSON text), after (array of
     call_ids of the same conversation, or null). ``results``: conv_id, turn,
     call_id, content. Returns conv_id, call_id, turn, result_turn, level, status,
-    errors, n_calls, n_results, line. The order of work is (level, turn, call_id).
+    errors, n_calls, n_results, line. The order of work is (turn, level, call_id).
 
     status is, the first that holds: ``orphan result`` (no call), ``no id`` (null
-    call_id; never linked), ``cyclic`` (waits for itself, if only by way of
-    others), ``duplicate id`` (another call with the id comes first by turn, then
+    call_id; never linked), ``out of order`` (waits for a later turn, for itself,
+    or for such a call of its turn), ``duplicate id`` (another call with the id comes first by turn, then
     arguments), ``invalid arguments``, ``no result``, ``early result`` (its turn
     isn't after the call's), ``ok``. Of several results the first by turn, then
     content, is linked; n_results counts them all. An identifier in ``after`` that
@@ -108,7 +113,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
         F.min(F.struct("turn", "content")).alias("result"), F.count(F.lit(1)).alias("n_results"))
     known = calls.filter(F.col("key").isNotNull())
     lead = known.groupBy("key").agg(F.min(F.struct("turn", "arguments")).alias("lead"), F.count(F.lit(1)).alias("n_calls"))
-    order = levels(known.select("key", "after"))
+    order = levels(known.select("key", "turn", "after"))
     linked = first_result.filter(F.col("key").isNotNull()).select("key", "result", "n_results", F.lit(True).alias("has_result"))
     # Stored, so that a hot identifier's calls meet plain shuffles that can be split.
     facts = common.materialise(lead.join(order, "key", "left").join(linked, "key", "left"), "call-facts")
@@ -116,7 +121,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     rows = rows.withColumn("call_errors_unknown", ~F.coalesce(F.col("tool").isin(*schemas), F.lit(False)))
     rows = rows.withColumn("errors", argument_errors(F.col("tool"), F.col("arguments"), schemas))
     same = F.struct("turn", "arguments").eqNullSafe(F.col("lead"))
-    rows = rows.withColumn("status", F.when(F.col("key").isNull(), "no id").when(F.col("level").isNull(), "cyclic")
+    rows = rows.withColumn("status", F.when(F.col("key").isNull(), "no id").when(F.col("level").isNull(), "out of order")
                            .when(~same, "duplicate id").when(F.size("errors") > 0, "invalid arguments")
                            .when(F.col("has_result").isNull(), "no result").when(F.col("result.turn") <= F.col("turn"), "early result").otherwise("ok"))
     orphans = first_result.join(lead.select("key"), "key", "left_anti").select(
@@ -161,8 +166,9 @@ def from_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     A user's turn calls a tool: ``answer`` if its text is of even length, else
     ``rewrite``, and ``browse``, which has no schema, if the length is a multiple of 11;
     ``answer`` gets its word count as ``limit``, a text instead of a number where
-    it is a multiple of five. It waits for the user's turn before. An
-    assistant's turn is the result of the call one turn earlier.
+    it is a multiple of five. It waits for the user's turn before. Where the length is a
+    multiple of three, a second call of the turn waits for the first and rewrites what it
+    returns. An assistant's turn is the result of the call one turn earlier.
     """
     size, n = F.length("text"), F.size(F.split("text", " "))
     identifier = lambda turn: F.concat(F.lit("call-"), turn.cast("string"))
@@ -172,7 +178,12 @@ def from_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
         "conv_id", "turn", identifier(F.col("turn")).alias("call_id"),
         F.when(size % 11 == 0, "browse").when(size % 2 == 0, "answer").otherwise("rewrite").alias("tool"),
         F.when((size % 2 == 0) & (size % 11 != 0), limit).otherwise(F.to_json(F.struct("text"))).alias("arguments"),
-        F.array(identifier(F.col("turn") - 2)).alias("after"))
+        F.array(identifier(F.col("turn") - 2)).alias("after"), (size % 3 == 0).alias("more"))
+    chained = calls.filter("more").select(
+        "conv_id", "turn", F.concat("call_id", F.lit("-rewrite")).alias("call_id"), F.lit("rewrite").alias("tool"),
+        F.to_json(F.struct(F.concat(F.lit("result of "), "call_id").alias("text"), F.lit("plain").alias("style"))).alias("arguments"),
+        F.array("call_id").alias("after"))
+    calls = calls.drop("more").union(chained)
     results = turns.filter(F.col("role") == "assistant").select(
         "conv_id", "turn", identifier(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
     return calls, results
