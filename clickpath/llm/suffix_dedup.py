@@ -42,7 +42,7 @@ SPAN = 1 << 20
 
 # Bytes of small buckets that are sorted together, and runs that one task takes of one bucket.
 SORT_BYTES = 1 << 20
-BUCKET_RUNS = 50_000
+BUCKET_RUNS = 20_000
 
 _POSITION = np.uint64((1 << 24) - 1)
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
@@ -118,8 +118,8 @@ def _dense(keys: list[np.ndarray]) -> np.ndarray:
     for k in keys:
         s = k[order]
         changed[1:] |= s[1:] != s[:-1]
-    ranks = np.empty(len(order), np.int64)
-    ranks[order] = np.cumsum(changed)
+    ranks = np.empty(len(order), np.int32)
+    ranks[order] = np.cumsum(changed, dtype=np.int32)
     return ranks
 
 
@@ -130,22 +130,34 @@ class _Text:
         padded = data + bytes(LENGTH + COVER + 8)
         self._words = np.ndarray((len(padded) - 7,), ">u8", padded, 0, (1,))
 
-    def words(self, at: np.ndarray, n: int) -> list[np.ndarray]:
-        return [self._words[at + 8 * k].astype(np.uint64) for k in range(n)]
+    def word(self, at: np.ndarray, k: int) -> np.ndarray:
+        """The k-th word behind each position."""
+        return self._words[at + 8 * k].astype(np.uint64)
+
+    def ranks(self, at: np.ndarray) -> np.ndarray:
+        """Ranks of positions by their COVER bytes, one word in memory at a time, the last first."""
+        order = np.arange(len(at), dtype=np.int32)
+        for k in reversed(range(COVER // 8)):
+            order = order[np.argsort(self.word(at[order], k), kind="stable")]
+        changed = np.zeros(len(at), bool)
+        for k in range(COVER // 8):
+            w = self.word(at[order], k)
+            changed[1:] |= w[1:] != w[:-1]
+        out = np.empty(len(at), np.int32)
+        out[order] = np.cumsum(changed, dtype=np.int32)
+        return out
 
 
 def _cover_ranks(text: _Text, n: int, depth: int) -> np.ndarray:
     """At each cover position below ``n`` the rank of its ``depth`` bytes, by doubling from COVER bytes."""
-    at = np.flatnonzero(_IN_COVER[np.arange(n) % COVER])
-    place = np.full(n + depth + COVER, -1)
-    place[at] = np.arange(len(at))
-    none = len(at)  # stands past the end
+    at = np.flatnonzero(np.resize(_IN_COVER, n)).astype(np.int32)
+    place = np.full(n + depth + COVER, len(at), np.int32)  # len(at): past the end
+    place[at] = np.arange(len(at), dtype=np.int32)
 
     def beyond(ranks: np.ndarray, by: int) -> np.ndarray:
-        where = place[at + by]
-        return np.append(ranks, -1)[np.where(where < 0, none, where)]
+        return np.append(ranks, np.int32(-1))[place[at + by]]
 
-    ranks = {COVER: _dense(text.words(at, COVER // 8))}
+    ranks = {COVER: text.ranks(at)}
     width = COVER
     while 2 * width <= depth:
         ranks[2 * width] = _dense([ranks[width], beyond(ranks[width], width)])
@@ -155,9 +167,9 @@ def _cover_ranks(text: _Text, n: int, depth: int) -> np.ndarray:
         step = max(w for w in ranks if w <= depth - done)
         keys.append(beyond(ranks[step], done))
         done += step
-    if done < depth:  # what a whole COVER does not reach: the last words, overlapping
-        keys += text.words(at + depth - COVER, COVER // 8)
-    out = np.full(n, -1)
+    if done < depth:  # what a whole COVER does not reach: the last COVER bytes, overlapping
+        keys.append(text.ranks(at + (depth - COVER)))
+    out = np.full(n, -1, np.int32)
     out[at] = _dense(keys)
     return out
 
@@ -167,12 +179,10 @@ def repeated_windows(snippets: list[bytes], length: int = LENGTH) -> list[np.nda
     if length < 2 * COVER:
         raise ValueError(f"the length must be at least {2 * COVER}")
     begins = np.cumsum([0, *map(len, snippets)])
-    text = _Text(b"".join(snippets))
-    n = int(begins[-1])
-    first_byte = np.frombuffer(b"".join(snippets), np.uint8)
-    depth = length - COVER
-    ranks = _cover_ranks(text, n, depth)
-    starts = np.concatenate([np.arange(b, b + max(0, len(s) - length + 1)) for b, s in zip(begins, snippets)])
+    data = b"".join(snippets)
+    n, text, first_byte = len(data), _Text(data), np.frombuffer(data, np.uint8)
+    ranks = _cover_ranks(text, n, length - COVER)
+    starts = np.concatenate([np.arange(b, b + max(0, len(s) - length + 1), dtype=np.int32) for b, s in zip(begins, snippets)])
     twice = np.zeros(n, bool)
     by_byte = starts[np.argsort(first_byte[starts], kind="stable")]
     edges = np.flatnonzero(np.diff(first_byte[by_byte].astype(int))) + 1
@@ -188,7 +198,7 @@ def _sort_bucket(text: _Text, ranks: np.ndarray, at: np.ndarray, length: int, tw
     pivot of their group, all groups at once, by their cover ranks and, if these
     tie, by their last COVER bytes.
     """
-    group = _dense(text.words(at, COVER // 8))
+    group = text.ranks(at)
     while len(at):
         order = np.argsort(group, kind="stable")
         at, group = at[order], group[order]
@@ -204,7 +214,8 @@ def _sort_bucket(text: _Text, ranks: np.ndarray, at: np.ndarray, length: int, tw
         d = _DISTANCE[at % COVER, pivot % COVER]
         side = np.sign(ranks[at + d] - ranks[pivot + d])
         level = np.flatnonzero(side == 0)
-        for a, b in zip(text.words(at[level] + length - COVER, COVER // 8), text.words(pivot[level] + length - COVER, COVER // 8)):
+        for k in range(COVER // 8):
+            a, b = text.word(at[level] + (length - COVER), k), text.word(pivot[level] + (length - COVER), k)
             s = side[level]
             side[level] = np.where(s == 0, (a > b).astype(np.int64) - (a < b), s)
         same = side == 0
@@ -247,6 +258,7 @@ def _sorted_buckets(length: int):
             for (_, many, doc_id, h, start, _), marked in zip(rows, repeated_windows([r[-1] for r in rows], length)):
                 if not many:  # a run that repeats as a whole is known already
                     found += [(doc_id, h, start + a, start + b + length) for a, b in zip(*(x.tolist() for x in _ranges(marked)))]
+            pa.default_memory_pool().release_unused()
             return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*found) if found else [[]] * 4, kinds)], names=names)
 
         rows, size = [], 0
