@@ -308,13 +308,15 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, bucket_runs: int = BU
     buckets = common.materialise(buckets.filter("total > 1").select("key", "mixed"), "shared-buckets")
     shared = common.materialise(everything.join(buckets, "key"), "shared-runs")
     common.discard(everything)
-    texts = shared.groupBy("key", "same").agg(
-        (F.count(F.lit(1)) > 1).alias("many"), F.first("mixed").alias("mixed"), F.min(F.struct("doc_id", "h", "start", "n")).alias("one"))
-    texts = common.materialise(texts, "run-texts")
-    whole = shared.join(texts.filter("many").select("key", "same"), ["key", "same"], "left_semi").select(
-        "doc_id", "h", "start", (F.col("start") + F.col("n") - 1 + length).alias("stop"))
+    # A bucket of one text repeats as a whole; only mixed buckets need a look at the texts.
+    stop = (F.col("start") + F.col("n") - 1 + length).alias("stop")
+    alike, mixed_runs = shared.filter("NOT mixed"), shared.filter("mixed")
+    texts = mixed_runs.groupBy("key", "same").agg(
+        (F.count(F.lit(1)) > 1).alias("many"), F.min(F.struct("doc_id", "h", "start", "n")).alias("one"))
+    mixed = common.materialise(texts, "run-texts")
+    again = mixed_runs.join(mixed.filter("many").select("key", "same"), ["key", "same"], "left_semi")
+    whole = alike.select("doc_id", "h", "start", stop).union(again.select("doc_id", "h", "start", stop))
     # One run of each text in a mixed bucket, with its bytes.
-    mixed = texts.filter("mixed")
     sizes = mixed.groupBy("key").agg((F.count(F.lit(1)) > bucket_runs).alias("hot"))
     wanted = mixed.join(sizes, "key").groupBy(F.col("one.doc_id").alias("doc_id"), F.col("one.h").alias("h")).agg(
         F.collect_list(F.struct("key", "many", "hot", F.col("one.start").alias("start"), F.col("one.n").alias("n"))).alias("wanted"))
@@ -324,8 +326,8 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, bucket_runs: int = BU
     dealt = snippets.filter("NOT hot").repartition(common.shuffle_partitions(spark), "key").sortWithinPartitions("key")
     sorted_ = dealt.mapInArrow(_sorted_buckets(length), RANGE_SCHEMA)
     windows = snippets.filter("hot").mapInArrow(_window_hashes(length), "w binary, doc_id long, h long, start int")
-    again = windows.groupBy("w").count().filter("count > 1").select("w")
-    counted = windows.join(again, "w", "left_semi").select("doc_id", "h", "start", (F.col("start") + length).alias("stop"))
+    common_windows = windows.groupBy("w").count().filter("count > 1").select("w")
+    counted = windows.join(common_windows, "w", "left_semi").select("doc_id", "h", "start", (F.col("start") + length).alias("stop"))
     return whole.union(sorted_).union(counted)
 
 
