@@ -17,6 +17,7 @@ Examples::
 from __future__ import annotations
 
 import argparse
+import inspect
 import json
 
 from clickpath.plans import reports as R
@@ -46,7 +47,7 @@ def _parser() -> argparse.ArgumentParser:
         if name == "page-flow":
             b.add_argument("--flow", default="1,2,3,4,5,6,7")
         if name.startswith("page"):
-            b.add_argument("--hot-rows", type=int, help="split (session, hour) groups above this")
+            b.add_argument("--hot-rows", type=int, help="split sessions with more actions than this")
     s = sub.add_parser("stream")
     s.add_argument("job", choices=sorted(R.STREAM_JOBS))
     s.add_argument("--out", required=True, help="job folder (checkpoint and sinks), shared")
@@ -58,7 +59,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--once", action="store_true",
                    help="process everything available now, then stop (availableNow)")
     s.add_argument("--threshold", type=int, help="blacklist threshold (default 100)")
-    s.add_argument("--watermark", help="e.g. '1 day' for the daily and trend jobs")
+    s.add_argument("--watermark", help="e.g. '1 day', for the jobs that keep state")
     return p
 
 
@@ -86,6 +87,10 @@ def main(argv: list[str] | None = None) -> None:
         options["watermark"] = args.watermark
     trigger = ({"availableNow": True} if args.once
                else {"processingTime": f"{args.trigger_seconds} seconds"})
+    takes = inspect.signature(R.STREAM_JOBS[args.job].__init__).parameters
+    for option in options:
+        if option not in takes:
+            _parser().error(f"the {args.job} job has no option --{option}")
     query, job = R.start_stream_job(spark, args.job, lines, args.out, trigger, **options)
     query.awaitTermination()
     if args.once:

@@ -10,8 +10,8 @@ from clickpath.operators.categories import (category_events, category_metric_cou
 from clickpath.operators.filters import (action_kind, at_least, click_rows, date_range, has_click,
                                          in_values)
 from clickpath.operators.pageflow import (adjacent_pairs, flow_pairs, page_avg_dwell,
-                                          page_dwell_rows, page_flow_conversion,
-                                          page_transition_counts, page_view_counts, parse_flow)
+                                          page_dwell_dropped, page_dwell_rows,
+                                          page_flow_conversion, page_transition_counts, page_view_counts, parse_flow)
 from clickpath.operators.sessions import session_steps, session_successors
 from clickpath.operators.topk import top_k_per_group
 from clickpath.operators.words import word_count
@@ -22,7 +22,7 @@ __all__ = [
     "category_metric_counts", "category_metrics", "category_session_clicks", "category_top10",
     "category_top10_sessions", "click_rows", "click_trend", "clicks_in_categories",
     "clicks_kept", "date_range", "exclude", "flow_pairs", "has_click", "in_values",
-    "page_avg_dwell", "page_dwell_rows", "page_flow_conversion", "page_transition_counts",
+    "page_avg_dwell", "page_dwell_dropped", "page_dwell_rows", "page_flow_conversion", "page_transition_counts",
     "page_view_counts", "parse_flow", "session_steps", "session_successors", "top_k_per_group", "trend_windows",
     "word_count",
 ]

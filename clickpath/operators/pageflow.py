@@ -110,7 +110,18 @@ def page_dwell_rows(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SECOND
 
 def page_avg_dwell(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SECONDS,
                    hot_rows: int | None = None) -> DataFrame:
-    """(page_id, avg_dwell_ms): truncating integer mean, as ``sum / size`` on longs."""
+    """(page_id, avg_dwell_ms): truncating integer mean, as ``sum / size`` on longs.
+
+    Steps with a time that does not parse have no dwell and are left out;
+    ``page_dwell_dropped`` returns them.
+    """
     return (page_dwell_rows(visits, slice_seconds, hot_rows).where(F.col("dwell_ms").isNotNull())
             .groupBy("page_id")
             .agg(F.expr("sum(dwell_ms) div count(dwell_ms)").alias("avg_dwell_ms")))
+
+
+def page_dwell_dropped(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SECONDS,
+                       hot_rows: int | None = None) -> DataFrame:
+    """(event_id, page_id): the steps that ``page_avg_dwell`` leaves out, since a time did not parse."""
+    return (page_dwell_rows(visits, slice_seconds, hot_rows).where(F.col("dwell_ms").isNull())
+            .select("event_id", "page_id"))

@@ -1,19 +1,20 @@
 """Adjacent steps inside a time-ordered session.
 
 The reference groups each session into memory, sorts it and zips it with its
-tail. Here the next action is a ``lead`` over a window, and a session is cut
-into time slices so that no single task has to hold a whole session:
-
-1. ``lead`` over ``(session_id, slice)`` ordered by ``(action_time, tie)`` gives
-   every step whose two actions fall into the same slice.
-2. Each slice's first and last row (at most two rows per slice) go through a
-   second ``lead`` over ``session_id``; a slice's last row followed by the next
-   slice's first row is the step that crosses the slice border.
-
-Both are exact: every action appears once with its successor. A session with
-a third of all rows is spread over its slices; only the border rows (two per
-slice, so bounded by the session's time span, not its row count) meet in one
-task.
+tail. Here the next action is a ``lead`` over a window on ``session_id``: one
+shuffle and one sort of the rows. Only a session with more than ``hot_rows``
+actions, which would be too much for one task, goes another way:
+
+1. Its actions are cut into slices by a leading part of the time string, and a
+   slice with more than ``hot_rows`` actions again by the whole string and by
+   ranges of tie values. A leading part never decreases in string order, whatever
+   the string holds, so every group is a contiguous run of the session.
+2. ``lead`` inside each group gives every step within it; the first and last row
+   of each group go through a second ``lead`` over ``session_id``, which gives
+   the steps that cross a border.
+
+Both ways order by the time string and the tie key, and times are parsed for the
+dwell time alone, so a session's steps are the same whichever way it takes.
 """
 
 from __future__ import annotations
@@ -22,68 +23,65 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpath.functions import floor_div, parse_time_ms
+from clickpath.session import new_work_dir
+from clickpath.sources.tables import broadcast_if_small
 
 DEFAULT_SLICE_SECONDS = 3600
+DEFAULT_SUB_TIE_ROWS = 1 << 20
 
+# A session (and a slice) with more actions than this is split.
+DEFAULT_HOT_ROWS = 1_000_000
 
-DEFAULT_SUB_TIE_ROWS = 1 << 20
-# With hot_rows at least this, the hot list has at most rows / 1M entries
-# (pigeonhole): about 1M keys for 10^12 actions, safe to broadcast.
-BROADCAST_MIN_HOT_ROWS = 1_000_000
+# Length of the part of ``yyyy-MM-dd HH:mm:ss`` that stays the same for so many seconds.
+_PREFIXES = ((86_400, 10), (3_600, 13), (60, 16), (0, 19))
 
 
-def _split_hot_slices(rows: DataFrame, hot_rows: int, sub_tie_rows: int) -> DataFrame:
-    """Add sub-group keys that split every (session, slice) above ``hot_rows``.
+def _groups_above(rows: DataFrame, keys: list[str], limit: int) -> DataFrame | None:
+    """The key values with more than ``limit`` rows as columns ``_hot_<key>``, stored so
+    that their real size is known; None if there are none."""
+    spark = rows.sparkSession
+    big = (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(limit))
+           .select(*(F.col(k).alias(f"_hot_{k}") for k in keys), F.lit(True).alias("_hot")))
+    if big.isEmpty():
+        return None
+    path = new_work_dir(spark, "hot-groups") + "/data"
+    big.write.parquet(path)
+    return broadcast_if_small(spark.read.schema(big.schema).parquet(path))
 
-    A hot slice is cut by second and by ranges of ``sub_tie_rows`` tie values;
-    under the (time, tie) order those keys are non-decreasing, so each sub-group
-    is a contiguous run and the border stitch stays exact. The hot list has at
-    most ``rows / hot_rows`` entries (pigeonhole): it is broadcast when that
-    bound is small, else the planner picks the join (AQE may still broadcast).
-    """
-    hot = (rows.groupBy("session_id", "_slice").agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > F.lit(hot_rows))
-           .select("session_id", "_slice", F.lit(True).alias("_hot")))
-    if hot_rows >= BROADCAST_MIN_HOT_ROWS:
-        hot = F.broadcast(hot)
-    flagged = rows.join(hot, ["session_id", "_slice"], "left")
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    return flagged.select(
-        *rows.columns,
-        F.when(is_hot, floor_div(F.col("t_ms"), 1000)).alias("_sub_t"),
-        F.when(is_hot, floor_div(F.col("_tie"), sub_tie_rows)).alias("_sub_k"))
 
+def _is_hot(keys: list[str]) -> F.Column:
+    found = F.lit(True)
+    for k in keys:
+        found = found & F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
+    return found
 
-def session_successors(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SECONDS,
-                       tie_col: str | None = None, hot_rows: int | None = None,
-                       sub_tie_rows: int = DEFAULT_SUB_TIE_ROWS) -> DataFrame:
-    """Every action of a session with the action that follows it, exactly once.
 
-    Output: ``session_id, event_id, page_from, page_to, t_from_ms, t_to_ms,
-    has_next`` (``event_id`` is the tie key of the action; ``page_to`` and
-    ``t_to_ms`` are null and ``has_next`` false for a session's last action).
-    Order within a session is ``action_time`` then the tie key (``event_id`` if
-    present, else ``page_id``); the reference left equal seconds in arbitrary
-    order.
+def _step(next_page: F.Column, next_t: F.Column, has_next: F.Column) -> list[F.Column]:
+    return [F.col("session_id"), F.col("_tie").alias("event_id"), F.col("page_id").alias("page_from"),
+            next_page.alias("page_to"), F.col("t_ms").alias("t_from_ms"), next_t.alias("t_to_ms"),
+            has_next.alias("has_next")]
 
-    ``hot_rows`` (off by default; costs one extra pass) also splits any single
-    (session, slice) with more rows, down to groups of at most ``sub_tie_rows``
-    actions when the tie key is unique: no group of any size lands in one task.
-    """
-    tie = tie_col or ("event_id" if "event_id" in visits.columns else "page_id")
-    t_ms = parse_time_ms(F.col("action_time"))
-    rows = visits.select("session_id", "action_time", F.col(tie).alias("_tie"),
-                         F.col("page_id"), t_ms.alias("t_ms"))
-    rows = rows.withColumn("_slice", floor_div(F.col("t_ms"), 1000 * slice_seconds))
+
+def _by_session(rows: DataFrame) -> DataFrame:
+    w = Window.partitionBy("session_id").orderBy("action_time", "_tie")
+    return rows.select(*_step(F.lead("page_id").over(w), F.lead("t_ms").over(w),
+                              F.lead(F.lit(True)).over(w).isNotNull()))
+
+
+def _by_slices(rows: DataFrame, slice_seconds: int, hot_rows: int, sub_tie_rows: int) -> DataFrame:
+    prefix = next(n for least, n in _PREFIXES if slice_seconds >= least)
+    rows = rows.withColumn("_slice", F.substring("action_time", 1, prefix))
     groups = ["session_id", "_slice"]
-    if hot_rows is not None:
-        groups += ["_sub_t", "_sub_k"]
+    hot = _groups_above(rows, groups, hot_rows)
+    if hot is not None:
+        rows = rows.join(hot, _is_hot(groups), "left").select(
+            *rows.columns, F.when(F.col("_hot"), F.col("action_time")).alias("_sub_t"),
+            F.when(F.col("_hot"), floor_div(F.col("_tie"), sub_tie_rows)).alias("_sub_k"))
+        groups = [*groups, "_sub_t", "_sub_k"]
         # Shuffle on all group keys: a shuffle join on (session, slice) would
         # otherwise satisfy the window and keep each hot slice in one task.
-        # After a broadcast join this is the window's own (only) shuffle.
-        rows = _split_hot_slices(rows, hot_rows, sub_tie_rows).repartition(*groups)
+        rows = rows.repartition(*groups)
     order = [F.col("action_time"), F.col("_tie")]
-
     w_slice = Window.partitionBy(*groups).orderBy(*order)
     marked = rows.select(
         "*",
@@ -92,26 +90,44 @@ def session_successors(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SEC
         F.lead(F.lit(True)).over(w_slice).isNull().alias("_last"),
         (F.row_number().over(w_slice) == 1).alias("_first"),
     )
-    # not last in its slice: the successor is in the same slice
-    inner = marked.where(~F.col("_last")).select(
-        "session_id", F.col("_tie").alias("event_id"), F.col("page_id").alias("page_from"),
-        F.col("_next_page").alias("page_to"), F.col("t_ms").alias("t_from_ms"),
-        F.col("_next_t").alias("t_to_ms"), F.lit(True).alias("has_next"))
-
-    # last in its slice: the successor is the next slice's first row, if any
+    inner = marked.where(~F.col("_last")).select(*_step(F.col("_next_page"), F.col("_next_t"), F.lit(True)))
     w_session = Window.partitionBy("session_id").orderBy(*order)
     borders = (marked.where(F.col("_first") | F.col("_last"))
                .select("session_id", "action_time", "_tie", "page_id", "t_ms", "_last"))
-    tails = (borders.select(
-        "*",
-        F.lead("page_id").over(w_session).alias("_next_page"),
-        F.lead("t_ms").over(w_session).alias("_next_t"),
-        F.lead(F.lit(True)).over(w_session).isNotNull().alias("has_next"))
-        .where(F.col("_last"))
-        .select("session_id", F.col("_tie").alias("event_id"), F.col("page_id").alias("page_from"),
-                F.col("_next_page").alias("page_to"), F.col("t_ms").alias("t_from_ms"),
-                F.col("_next_t").alias("t_to_ms"), "has_next"))
-    return inner.unionByName(tails)
+    tails = borders.select(
+        "*", F.lead("page_id").over(w_session).alias("_next_page"), F.lead("t_ms").over(w_session).alias("_next_t"),
+        F.lead(F.lit(True)).over(w_session).isNotNull().alias("_more")).where(F.col("_last"))
+    return inner.unionByName(tails.select(*_step(F.col("_next_page"), F.col("_next_t"), F.col("_more"))))
+
+
+def session_successors(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SECONDS,
+                       tie_col: str | None = None, hot_rows: int | None = None,
+                       sub_tie_rows: int = DEFAULT_SUB_TIE_ROWS) -> DataFrame:
+    """Every action of a session with the action that follows it, exactly once.
+
+    Output: ``session_id, event_id, page_from, page_to, t_from_ms, t_to_ms,
+    has_next`` (``event_id`` is the tie key of the action; ``page_to`` and
+    ``t_to_ms`` are null and ``has_next`` false for a session's last action).
+    Order within a session is the string ``action_time`` then the tie key
+    (``event_id`` if present, else ``page_id``); the reference left equal
+    seconds in arbitrary order. A time that does not parse takes its place by
+    its string, a null time comes first; both have a null ``t_..._ms``.
+
+    A session with more than ``hot_rows`` actions (one narrow counting pass
+    finds them) is cut by ``slice_seconds``, rounded down to a day, an hour, a
+    minute or a second, and further where a slice is as large, down to
+    ``sub_tie_rows`` tie values of one time string.
+    """
+    tie = tie_col or ("event_id" if "event_id" in visits.columns else "page_id")
+    hot_rows = DEFAULT_HOT_ROWS if hot_rows is None else hot_rows
+    rows = visits.select("session_id", "action_time", F.col(tie).alias("_tie"), "page_id",
+                         parse_time_ms(F.col("action_time")).alias("t_ms"))
+    hot = _groups_above(visits.select("session_id"), ["session_id"], hot_rows)
+    if hot is None:
+        return _by_session(rows)
+    cold = rows.join(hot, _is_hot(["session_id"]), "left_anti")
+    heavy = rows.join(hot, _is_hot(["session_id"]), "left_semi")
+    return _by_session(cold).unionByName(_by_slices(heavy, slice_seconds, hot_rows, sub_tie_rows))
 
 
 def session_steps(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SECONDS,

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpath import operators as O
-from clickpath.functions import (DATE_FMT, TIME_FMT, floor_10s_text, floor_seconds, format_time,
+from clickpath.functions import (DATE_FMT, TIME_FMT, floor_10s_text, floor_seconds, format_date, format_time,
                                  is_not_empty, java_split, json_field, parse_time_ms, substring0)
 from clickpath.plans.params import PARAMS
 from clickpath.sources import (ensure_parallelism, format_ad_log, load_ad_clicks, load_visits,
@@ -123,6 +123,26 @@ def page_avg_dwell(spark, d):
     return O.page_avg_dwell(_visits(spark, d))
 
 
+def _bad_times(visits):
+    """Visits whose times are damaged by a pure expression: a part don't parse, a part are null."""
+    damaged = (F.when(F.col("event_id") % 5 == 0, F.concat(F.substring("action_time", 1, 18), F.lit("x")))
+               .when(F.col("event_id") % 7 == 0, F.lit(None)).otherwise(F.col("action_time")))
+    return visits.withColumn("action_time", damaged)
+
+
+def page_transitions_bad_times(spark, d):
+    return O.page_transition_counts(_bad_times(_visits(spark, d)))
+
+
+def page_transitions_bad_times_split(spark, d):
+    """The same with every session split (same result)."""
+    return O.page_transition_counts(_bad_times(_visits(spark, d)), hot_rows=PARAMS["split_hot_rows"])
+
+
+def page_dwell_dropped(spark, d):
+    return O.page_dwell_dropped(_bad_times(_visits(spark, d)))
+
+
 def flow_pairs(spark, d):
     v = _visits(spark, d).where(F.col("order_category_ids").isNotNull())
     pairs = v.select("event_id", F.posexplode(
@@ -138,6 +158,26 @@ def fn_split_explode(spark, d):
                     .alias("pos", "category_id")).withColumn("pos", F.col("pos").cast("bigint"))
 
 
+def str_blank_lines(spark, d):
+    """F2 over lines that hold both outcomes: each text gets blank lines behind it."""
+    docs = ensure_parallelism(read_table(spark, d, "documents").select("text"))
+    lines = docs.select(F.explode(F.split(F.concat("text", F.lit("\n \t\n")), "\n")).alias("line"))
+    return lines.groupBy(is_not_empty(F.col("line")).alias("not_empty")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def fn_split_empty_ids(spark, d):
+    """X5 over id lists with empty ids inside and at the end."""
+    v = _visits(spark, d).where(F.col("order_category_ids").isNotNull())
+    ids = F.when(F.col("event_id") % 3 == 0, F.lit(",,")).otherwise(
+        F.concat(F.lit(",,"), F.col("order_category_ids"), F.lit(",,7,,")))
+    return v.select("event_id", F.posexplode(java_split(ids, ",")).alias("pos", "category_id")).withColumn(
+        "pos", F.col("pos").cast("bigint"))
+
+
+def fn_format_date(spark, d):
+    return read_table(spark, d, "events").select("event_id", format_date(F.col("ts").cast("timestamp")).alias("day"))
+
+
 def fn_format_time(spark, d):
     return _clicks(spark, d).select("event_id",
                                     format_time(F.col("ts_ms"), TIME_FMT).alias("time_str"),
@@ -201,6 +241,14 @@ def ad_blacklist(spark, d):
     return O.blacklist(_clicks(spark, d), PARAMS["threshold"])
 
 
+def ad_blacklist_default(spark, d):
+    """R4 at the default threshold: 45 % of all clicks are given to one user and ad."""
+    heavy = F.col("event_id") % 100 < 45
+    clicks = _clicks(spark, d).withColumns({"user_id": F.when(heavy, F.lit(0)).otherwise(F.col("user_id")).cast("bigint"),
+                                            "ad_id": F.when(heavy, F.lit(1)).otherwise(F.col("ad_id")).cast("bigint")})
+    return O.blacklist(clicks)
+
+
 def ad_clicks_kept(spark, d):
     clicks = _clicks(spark, d)
     return O.clicks_kept(clicks, O.blacklist(clicks, PARAMS["threshold"])).select(
@@ -233,6 +281,13 @@ BATCH_QUERIES: dict[str, Query] = {
     "page_flow_conversion": page_flow_conversion,
     "page_flow_conversion_dated": page_flow_conversion_dated,
     "page_flow_conversion_split": page_flow_conversion_split,
+    "page_transitions_bad_times": page_transitions_bad_times,
+    "page_transitions_bad_times_split": page_transitions_bad_times_split,
+    "page_dwell_dropped": page_dwell_dropped,
+    "str_blank_lines": str_blank_lines,
+    "fn_split_empty_ids": fn_split_empty_ids,
+    "fn_format_date": fn_format_date,
+    "ad_blacklist_default": ad_blacklist_default,
     "page_dwell_rows": page_dwell_rows,
     "page_avg_dwell": page_avg_dwell,
     "flow_pairs": flow_pairs,

@@ -96,6 +96,18 @@ CLICKS_TOP10 = """clicks_top10 AS (
 T_MS = "(epoch_us(strptime({c}, '%Y-%m-%d %H:%M:%S')) // 1000)"
 
 
+T_TRY = "epoch_us(try_strptime({c}, '%Y-%m-%d %H:%M:%S'))"
+
+# Adjacent steps of visits with damaged times, in order of the time string (null first).
+BAD_STEPS = """steps AS (SELECT * FROM (
+    SELECT event_id, page_id AS page_from, action_time AS t_from, lead(page_id) OVER w AS page_to,
+           lead(action_time) OVER w AS t_to, lead(1) OVER w AS has_next
+    FROM (SELECT * REPLACE (CASE WHEN event_id % 5 = 0 THEN substr(action_time, 1, 18) || 'x'
+                                 WHEN event_id % 7 = 0 THEN NULL ELSE action_time END AS action_time) FROM visits)
+    WINDOW w AS (PARTITION BY session_id ORDER BY action_time NULLS FIRST, event_id))
+  WHERE has_next IS NOT NULL)"""
+
+
 def _steps(src: str = "visits") -> str:
     t = T_MS.format(c="action_time")
     return f"""steps AS (
@@ -134,16 +146,16 @@ TOP3_JSON = """SELECT date, area,
 FROM top3 GROUP BY date, area"""
 
 
-def _blacklist(batch_expr: str = "batch") -> str:
+def _blacklist(batch_expr: str = "batch", clicks: str = "ad_clicks", threshold: int = THRESHOLD) -> str:
     return f"""per_batch AS (SELECT date, ad_id, user_id, batch, count(*) AS c
-              FROM (SELECT date, ad_id, user_id, {batch_expr} AS batch FROM ad_clicks)
+              FROM (SELECT date, ad_id, user_id, {batch_expr} AS batch FROM {clicks})
               GROUP BY date, ad_id, user_id, batch),
 running AS (SELECT user_id, batch,
                    sum(c) OVER (PARTITION BY date, ad_id, user_id ORDER BY batch
                                 RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running
             FROM per_batch),
 blacklist AS (SELECT user_id, CAST(min(batch) AS BIGINT) AS first_batch FROM running
-              WHERE running >= {THRESHOLD} GROUP BY user_id)"""
+              WHERE running >= {threshold} GROUP BY user_id)"""
 
 
 TREND = """SELECT b * 10 + 10 * i AS window_end, b * 10 AS bucket, count(*) AS n
@@ -251,6 +263,21 @@ def oracle_sql() -> dict[str, str]:
         "ad_user_daily": f"{a} SELECT date, ad_id, user_id, count(*) AS n FROM ad_clicks "
                          "GROUP BY date, ad_id, user_id",
         "ad_blacklist": f"{a}, {_blacklist()} SELECT * FROM blacklist",
+        "ad_blacklist_default": f"""{a}, heavy AS (SELECT * REPLACE (CASE WHEN event_id % 100 < 45 THEN 0 ELSE user_id END AS user_id,
+                   CASE WHEN event_id % 100 < 45 THEN 1 ELSE ad_id END AS ad_id) FROM ad_clicks),
+            {_blacklist(clicks="heavy", threshold=100)} SELECT * FROM blacklist""",
+        "page_transitions_bad_times": f"{v}, {BAD_STEPS} SELECT page_from, page_to, count(*) AS n FROM steps GROUP BY ALL",
+        "page_transitions_bad_times_split": f"{v}, {BAD_STEPS} SELECT page_from, page_to, count(*) AS n FROM steps GROUP BY ALL",
+        "page_dwell_dropped": f"""{v}, {BAD_STEPS} SELECT event_id, page_from AS page_id FROM steps
+            WHERE {T_TRY.format(c='t_to')} - {T_TRY.format(c='t_from')} IS NULL""",
+        "str_blank_lines": r"""SELECT NOT regexp_matches(line, '^[\x00-\x20]*$') AS not_empty, count(*) AS n
+            FROM (SELECT unnest(string_split(text || chr(10) || ' ' || chr(9) || chr(10), chr(10))) AS line FROM documents)
+            GROUP BY 1""",
+        "fn_split_empty_ids": f"""{v} SELECT event_id, unnest(range(len(ids))) AS pos, unnest(ids) AS category_id
+            FROM (SELECT event_id, {_jsplit('raw', ',')} AS ids FROM (SELECT event_id,
+                  CASE WHEN event_id % 3 = 0 THEN ',,' ELSE ',,' || order_category_ids || ',,7,,' END AS raw
+                  FROM visits WHERE order_category_ids IS NOT NULL))""",
+        "fn_format_date": "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events",
         "ad_clicks_kept": f"""{a}, {_blacklist()} SELECT c.event_id, c.user_id, c.batch
             FROM ad_clicks c LEFT JOIN blacklist b ON c.user_id = b.user_id
             WHERE b.user_id IS NULL OR c.batch <= b.first_batch""",

@@ -24,36 +24,6 @@ VISIT_ACTION = T.StructType([
     T.StructField("city_id", T.LongType()),
 ])
 
-USER_INFO = T.StructType([
-    T.StructField("user_id", T.LongType()),
-    T.StructField("username", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("age", T.IntegerType()),
-    T.StructField("professional", T.StringType()),
-    T.StructField("gender", T.StringType()),
-])
-
-PRODUCT_INFO = T.StructType([
-    T.StructField("product_id", T.LongType()),
-    T.StructField("product_name", T.StringType()),
-    T.StructField("extend_info", T.StringType()),
-])
-
-CITY_INFO = T.StructType([
-    T.StructField("city_id", T.LongType()),
-    T.StructField("city_name", T.StringType()),
-    T.StructField("area", T.StringType()),
-])
-
-# A parsed ad-click log line: "<epoch ms> <area> <city> <user id> <ad id>".
-AD_CLICK = T.StructType([
-    T.StructField("ts_ms", T.LongType()),
-    T.StructField("area", T.StringType()),
-    T.StructField("city", T.StringType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("ad_id", T.LongType()),
-])
-
 CATEGORY_TOP10 = T.StructType([
     T.StructField("task_id", T.StringType()),
     T.StructField("category_id", T.StringType()),
