@@ -92,7 +92,7 @@ def main(argv: list[str] | None = None) -> None:
         if option not in takes:
             _parser().error(f"the {args.job} job has no option --{option}")
     query, job = R.start_stream_job(spark, args.job, lines, args.out, trigger, **options)
-    query.awaitTermination()
+    job.await_all(query)
     if args.once:
         job.result().show(100, truncate=False)
 

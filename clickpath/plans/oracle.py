@@ -277,6 +277,11 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT event_id, {_jsplit('raw', ',')} AS ids FROM (SELECT event_id,
                   CASE WHEN event_id % 3 = 0 THEN ',,' ELSE ',,' || order_category_ids || ',,7,,' END AS raw
                   FROM visits WHERE order_category_ids IS NOT NULL))""",
+        "stream_rejects": f"""{al}, {LINES} SELECT job, substr(line, 1, 15) AS value, count(*) AS n
+            FROM lines, (SELECT unnest(['r5', 'r6', 'r7', 'a11']) AS job) WHERE event_id % 7 = 0 GROUP BY ALL""",
+        "stream_trend_latest": f"""{a}, b AS (SELECT ts_ms // 10000 * 10 AS bucket, count(*) AS n FROM ad_clicks GROUP BY 1)
+            SELECT row_number() OVER (ORDER BY bucket) AS pos, bucket, n FROM b
+            WHERE bucket > (SELECT max(bucket) FROM b) - 60""",
         "fn_format_date": "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events",
         "ad_clicks_kept": f"""{a}, {_blacklist()} SELECT c.event_id, c.user_id, c.batch
             FROM ad_clicks c LEFT JOIN blacklist b ON c.user_id = b.user_id

@@ -16,18 +16,18 @@ from clickpath.plans.params import PARAMS
 from clickpath.session import new_work_dir
 from clickpath.sources import read_table
 from clickpath.streaming import jobs as J
-from clickpath.streaming.replay import replay
+from clickpath.streaming.replay import replay_by, run_by
 
 
-def _ad_parts(spark, d):
-    lines = _lines(spark, d).withColumn("_span", floor_div(F.col("ts_ms"), PARAMS["stream_file_ms"]))
-    spans = [r[0] for r in lines.select("_span").distinct().orderBy("_span").collect()]
-    return [lines.where(F.col("_span") == F.lit(s)).select("value") for s in spans]
+def _spans(spark, d):
+    """The ad-log lines with the number of their file span."""
+    lines = _lines(spark, d)
+    return lines.select("event_id", "value", floor_div(F.col("ts_ms"), PARAMS["stream_file_ms"]).alias("_span"))
 
 
 def _run_ads(spark, d, make_job, name):
     work = new_work_dir(spark, name)
-    return replay(spark, _ad_parts(spark, d), make_job(spark, f"{work}/job"), work)
+    return replay_by(spark, _spans(spark, d), "_span", make_job(spark, f"{work}/job"), work)
 
 
 def stream_area_city_ad_daily(spark, d):
@@ -51,13 +51,37 @@ def stream_ad_blacklist(spark, d):
                     "stream-blacklist")
 
 
+def _damaged(spark, d):
+    """The lines with every seventh cut short, so that it does not parse."""
+    bad = F.substring("value", 1, 15)
+    return _spans(spark, d).withColumn("value", F.when(F.col("event_id") % 7 == 0, bad).otherwise(F.col("value")))
+
+
+def stream_rejects(spark, d):
+    """Lines that each ad-log job keeps because its parser cannot use them."""
+    out = None
+    for name, make in (("r5", J.AreaCityAdDailyJob), ("r6", J.AreaTopAdsJob), ("r7", J.ClickTrendJob), ("a11", J.AdUserDailyJob)):
+        work = new_work_dir(spark, f"stream-rejects-{name}")
+        job = make(spark, f"{work}/job")
+        run_by(spark, _damaged(spark, d), "_span", job, work)
+        kept = job.rejects.read().groupBy("value").agg(F.count(F.lit(1)).alias("n")).withColumn("job", F.lit(name)).select("job", "value", "n")
+        out = kept if out is None else out.union(kept)
+    return out
+
+
+def stream_trend_latest(spark, d):
+    """The last minute of the click trend, in order."""
+    work = new_work_dir(spark, "stream-latest")
+    job = J.ClickTrendJob(spark, f"{work}/job")
+    run_by(spark, _spans(spark, d), "_span", job, work)
+    return job.latest()
+
+
 def stream_word_count(spark, d):
     work = new_work_dir(spark, "stream-words")
     docs = read_table(spark, d, "documents")
     lines = docs.select("lang", F.explode(F.split(F.col("text"), "\n")).alias("value"))
-    langs = [r[0] for r in docs.select("lang").distinct().orderBy("lang").collect()]
-    parts = [lines.where(F.col("lang").eqNullSafe(F.lit(lang))).select("value") for lang in langs]
-    return replay(spark, parts, J.WordCountJob(spark, f"{work}/job"), work)
+    return replay_by(spark, lines, "lang", J.WordCountJob(spark, f"{work}/job"), work)
 
 
 STREAM_QUERIES = {
@@ -66,5 +90,7 @@ STREAM_QUERIES = {
     "stream_area_top3_ads": stream_area_top3_ads,
     "stream_ad_trend_10s": stream_ad_trend_10s,
     "stream_ad_blacklist": stream_ad_blacklist,
+    "stream_rejects": stream_rejects,
+    "stream_trend_latest": stream_trend_latest,
     "stream_word_count": stream_word_count,
 }

@@ -13,7 +13,7 @@ tests use ``availableNow``.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -53,6 +53,15 @@ class _Job:
         """The streaming part before the per-batch sink."""
         return lines
 
+    # Jobs that parse in the streaming plan cannot reach the raw lines in their
+    # batches: a second query over the same source keeps what the parser drops.
+    rejects: KeyedLog | None = None
+    rejects_apart = False
+    reject_query: StreamingQuery | None = None
+
+    def _keep_rejects(self, batch: DataFrame, batch_id: int) -> None:
+        self.rejects.write(reject_ad_log(batch), batch_id)
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         raise NotImplementedError
 
@@ -64,7 +73,18 @@ class _Job:
                   .trigger(**(trigger or FIVE_SECONDS)))
         if name:
             writer = writer.queryName(name)
-        return writer.start()
+        query = writer.start()
+        if self.rejects_apart and self.rejects is not None:
+            self.reject_query = (lines.writeStream.foreachBatch(self._keep_rejects)
+                                 .option("checkpointLocation", f"{self.checkpoint}_rejects")
+                                 .trigger(**(trigger or FIVE_SECONDS)).start())
+        return query
+
+    def await_all(self, query: StreamingQuery) -> None:
+        """Wait for the job's query and, if it has one, the query of its rejects."""
+        for q in (query, self.reject_query):
+            if q is not None:
+                q.awaitTermination()
 
 
 def daily(clicks: DataFrame, watermark: str | None) -> tuple[DataFrame, F.Column]:
@@ -118,10 +138,12 @@ class AdUserDailyJob(_Job):
     (see ``daily``)."""
 
     output_mode = "update"
+    rejects_apart = True
 
-    def __init__(self, spark, out_dir, watermark: str | None = None):
+    def __init__(self, spark, out_dir, watermark: str | None = None, keep_rejects: bool = True):
         super().__init__(spark, out_dir)
         self.watermark = watermark
+        self.rejects = self._rejects() if keep_rejects else None
         self.counts = ReplaceLog(spark, f"{self.out_dir}/counts",
                                  "date string, ad_id bigint, user_id bigint, n bigint",
                                  ["date", "ad_id", "user_id"])
@@ -150,10 +172,13 @@ class AreaTopAdsJob(_Job):
     """
 
     output_mode = "update"
+    rejects_apart = True
 
     def __init__(self, spark, out_dir, k: int = O.ads.TOP_ADS, compact_every: int | None = 100,
-                 watermark: str | None = None, exclude_users: DataFrame | None = None):
+                 watermark: str | None = None, exclude_users: DataFrame | None = None,
+                 keep_rejects: bool = True):
         super().__init__(spark, out_dir, compact_every)
+        self.rejects = self._rejects() if keep_rejects else None
         self.k, self.watermark, self.exclude_users = k, watermark, exclude_users
         self.counts = ReplaceLog(spark, f"{self.out_dir}/counts",
                                  "date string, area string, ad_id bigint, n bigint",
@@ -172,7 +197,7 @@ class AreaTopAdsJob(_Job):
         touched = self.counts.read_batch(batch_id).select("date", "area")
         current = self.counts.latest(only=touched)
         self.top.write(O.area_top_ads_json(O.area_top_ads(current, self.k)), batch_id)
-        self._maybe_compact(batch_id, self.counts)
+        self._maybe_compact(batch_id, self.counts, self.top)
 
     def result(self) -> DataFrame:
         return self.top.latest()
@@ -187,11 +212,13 @@ class ClickTrendJob(_Job):
     """
 
     output_mode = "update"
+    rejects_apart = True
 
     def __init__(self, spark, out_dir, window_s: int = O.ads.TREND_WINDOW_S,
                  slide_s: int = O.ads.TREND_SLIDE_S, watermark: str | None = None,
-                 exclude_users: DataFrame | None = None):
+                 exclude_users: DataFrame | None = None, keep_rejects: bool = True):
         super().__init__(spark, out_dir)
+        self.rejects = self._rejects() if keep_rejects else None
         self.window_s, self.slide_s, self.watermark = window_s, slide_s, watermark
         self.exclude_users = exclude_users
         self.buckets = ReplaceLog(spark, f"{self.out_dir}/buckets", "bucket bigint, n bigint",
@@ -212,6 +239,16 @@ class ClickTrendJob(_Job):
     def result(self, ordered: bool = False) -> DataFrame:
         return O.ads.trend_windows(self.buckets.latest(), self.window_s, self.slide_s, ordered)
 
+    def latest(self) -> DataFrame:
+        """The current window: (pos, bucket, n) of the last ``window_s`` seconds up to the
+        newest bucket, in order of time; buckets without a click are absent, as in the reference."""
+        slots = self.window_s // self.slide_s
+        newest = self.buckets.latest().agg(F.max("bucket").alias("newest"))
+        now = self.buckets.latest().join(F.broadcast(newest), F.col("bucket") > F.col("newest") - self.window_s)
+        order = Window.orderBy("bucket")   # at most window_s / slide_s rows
+        return (now.select("bucket", "n").withColumn("pos", F.row_number().over(order).cast("bigint"))
+                .where(F.col("pos") <= slots).select("pos", "bucket", "n"))
+
 
 class BlacklistJob(_Job):
     """Per batch, drop clicks of listed users (J2), add the batch's per
