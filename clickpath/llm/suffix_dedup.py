@@ -4,10 +4,10 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts somewhere
 else in the corpus. Equal strings become neighbours when suffixes are sorted to
 that depth, and the sort is done one bucket at a time:
 
-1.  Each string of LENGTH bytes (a *window*) is given to an *anchor*, the place in
-    it with the lowest hash of GRAM bytes. Equal windows have equal anchors, so the
-    anchor's hash is the window's bucket. Windows in a row that share an anchor are
-    a *run*; runs in buckets of their own cannot repeat.
+1.  The bucket of a string of LENGTH bytes (a *window*) is the lowest hash of GRAM
+    bytes in it, its *anchor*, so equal windows have equal buckets. Windows in a row
+    of one bucket are a *run*, however often the anchor recurs in them; a run alone
+    in its bucket cannot repeat unless its anchor recurs.
 2.  Runs with equal text repeat as a whole; one of them stands for all in its bucket.
 3.  What is left of a bucket is sorted in one task: suffixes by their first COVER
     bytes, longer ties by ranks of the suffixes at a difference cover modulo COVER,
@@ -44,7 +44,6 @@ SPAN = 1 << 20
 SORT_BYTES = 1 << 20
 BUCKET_RUNS = 20_000
 
-_POSITION = np.uint64((1 << 24) - 1)
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
 
@@ -59,41 +58,41 @@ def _gram_hashes(b: np.ndarray) -> np.ndarray:
     return g ^ g >> np.uint64(32)
 
 
-def runs(text: bytes, length: int = LENGTH) -> Iterator[tuple[int, int, int]]:
-    """(anchor hash, first window, number of windows) of each run, in order."""
+def runs(text: bytes, length: int = LENGTH) -> Iterator[tuple[int, int, int, bool]]:
+    """(anchor hash, first window, number of windows, whether the anchor recurs) of each run, in order."""
     for at in range(0, len(text) - length + 1, SPAN):
         part = np.frombuffer(text, np.uint8, min(len(text), at + SPAN + length - 1) - at, at)
-        grams = _gram_hashes(part)
-        low = (grams & ~_POSITION) | np.arange(len(grams), dtype=np.uint64)
+        low = grams = _gram_hashes(part)
         inside, width = length - GRAM + 1, 1
         while 2 * width <= inside:
             low = np.minimum(low[:-width], low[width:])
             width *= 2
         if width < inside:
             low = np.minimum(low[:width - inside], low[inside - width:])
-        anchor = (low & _POSITION).astype(np.int64)
-        starts = np.concatenate([[0], np.flatnonzero(np.diff(anchor)) + 1])
-        sizes = np.diff(np.append(starts, len(anchor)))
-        yield from zip(grams[anchor[starts]].view(np.int64).tolist(), (starts + at).tolist(), sizes.tolist())
+        starts = np.concatenate([[0], np.flatnonzero(low[1:] != low[:-1]) + 1])
+        sizes = np.diff(np.append(starts, len(low)))
+        ends = starts + sizes + inside - 1
+        recurs = [np.count_nonzero(grams[a:b] == v) > 1 for a, b, v in zip(starts.tolist(), ends.tolist(), low[starts])]
+        yield from zip(low[starts].view(np.int64).tolist(), (starts + at).tolist(), sizes.tolist(), recurs)
 
 
 def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-RUN_SCHEMA = "key long, same long, doc_id long, h long, start int, n int"
+RUN_SCHEMA = "key long, same long, doc_id long, h long, start int, n int, recurs boolean"
 
 
 def _runs(length: int):
-    kinds = [pa.int64()] * 4 + [pa.int32()] * 2
+    kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.bool_()]
     names = [x.split()[0] for x in RUN_SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in common.text_batches(batches):
-            rows = [(key, _signed(xxhash.xxh3_64_intdigest(text[start:start + n - 1 + length])), doc_id, h, start, n)
+            rows = [(key, _signed(xxhash.xxh3_64_intdigest(text[start:start + n - 1 + length])), doc_id, h, start, n, recurs)
                     for doc_id, h, text in zip(batch.column("doc_id").to_pylist(), batch.column("h").to_pylist(), texts)
-                    for key, start, n in runs(text, length)]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows) if rows else [[]] * 6, kinds)], names=names)
+                    for key, start, n, recurs in runs(text, length)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows) if rows else [[]] * 7, kinds)], names=names)
     return run
 
 
@@ -302,13 +301,15 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, bucket_runs: int = BU
     keyed = _keyed(docs)
     long_enough = keyed.filter(F.octet_length("text") >= length)
     everything = common.materialise(long_enough.mapInArrow(_runs(length), RUN_SCHEMA), "runs")
-    # Buckets with more than one run; "mixed" ones hold runs of different text.
-    buckets = everything.groupBy("key").agg(F.count(F.lit(1)).alias("total"), (F.min("same") != F.max("same")).alias("mixed"))
+    # Buckets that may hold a window twice: those of more than one run, or of a run in which the
+    # anchor recurs. "mixed" ones need a look at the text: their runs differ, or repeat inside.
+    buckets = everything.groupBy("key").agg(
+        F.count(F.lit(1)).alias("total"), ((F.min("same") != F.max("same")) | F.max("recurs")).alias("mixed"))
     # Stored, so that the join reads plain shuffles on both sides and a hot bucket's runs can be split.
-    buckets = common.materialise(buckets.filter("total > 1").select("key", "mixed"), "shared-buckets")
+    buckets = common.materialise(buckets.filter("total > 1 OR mixed").select("key", "mixed"), "shared-buckets")
     shared = common.materialise(everything.join(buckets, "key"), "shared-runs")
     common.discard(everything)
-    # A bucket of one text repeats as a whole; only mixed buckets need a look at the texts.
+    # Runs of one text repeat as a whole; only mixed buckets need a look at the texts.
     stop = (F.col("start") + F.col("n") - 1 + length).alias("stop")
     alike, mixed_runs = shared.filter("NOT mixed"), shared.filter("mixed")
     texts = mixed_runs.groupBy("key", "same").agg(
