@@ -3,7 +3,8 @@
 Documents are written in ascending doc_id order as *frames*. A frame is a
 self-contained byte string: its documents' ids and lengths, an index of block
 starts, and blocks of ``BLOCK`` token ids. A block stores its minimum, a bit
-width chosen at a percentile of the differences to it, the low bits of every
+width chosen at a percentile of the differences to it and rounded up to whole
+bytes (packing by single bits cost more time than it saved space), the low bits of every
 difference at that width, and a list of exceptions for the differences that
 need more bits.
 
@@ -14,7 +15,7 @@ need more bits.
     block   minimum u32, width u8, exceptions u16, packed low bits (width x BLOCK / 8),
             position u16 of each exception, full difference u32 of each exception
 
-All numbers are little-endian; packed bits run from the highest bit down. The
+All numbers are little-endian; packed values run from the highest byte down. The
 last block is filled up with its minimum. Frames are committed by Spark's own
 Parquet writer (one row a frame: part, seq, n_ids, frame), so any store that
 Spark writes will do and a lost executor leaves no half-written file.
@@ -66,13 +67,12 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
     diff = full - low[:, None]
     at = int(PERCENTILE * (BLOCK - 1))
     chosen = np.partition(diff, at, axis=1)[:, at].astype(np.uint64)
-    width = np.ceil(np.log2(chosen.astype(np.float64) + 1)).astype(np.int64)
+    width = 8 * np.ceil(np.log2(chosen.astype(np.float64) + 1) / 8).astype(np.int64)
     over = (diff.astype(np.uint64) >> width[:, None].astype(np.uint64)) != 0
     blocks: list[bytes] = [b""] * n
     for w in np.unique(width):
         rows = np.flatnonzero(width == w)
-        bits = np.unpackbits(diff[rows].astype(">u4").view(np.uint8).reshape(-1, BLOCK, 4), axis=2)[:, :, 32 - w:]
-        packed = np.packbits(bits.reshape(len(rows), -1), axis=1)
+        packed = diff[rows].astype(">u4").view(np.uint8).reshape(-1, BLOCK, 4)[:, :, 4 - w // 8:]
         for k, row in enumerate(rows):
             where = np.flatnonzero(over[row])
             blocks[row] = b"".join((BLOCK_HEADER.pack(int(low[row]), int(w), len(where)), packed[k].tobytes(),
@@ -91,9 +91,9 @@ def decode_blocks(payload: bytes, starts: np.ndarray, n_ids: int) -> np.ndarray:
     for w, rows in by_width.items():
         size = w * BLOCK // 8
         packed = np.frombuffer(b"".join(payload[(a := int(starts[k]) + BLOCK_HEADER.size):a + size] for k in rows), np.uint8)
-        bits = np.zeros((len(rows), BLOCK, 32), np.uint8)
-        bits[:, :, 32 - w:] = np.unpackbits(packed).reshape(len(rows), BLOCK, w)
-        out[rows] = np.packbits(bits, axis=2).view(">u4")[:, :, 0]
+        value = np.zeros((len(rows), BLOCK, 4), np.uint8)
+        value[:, :, 4 - w // 8:] = packed.reshape(len(rows), BLOCK, w // 8)
+        out[rows] = value.view(">u4")[:, :, 0]
     for k, (low, w, n_over) in enumerate(heads):
         if n_over:
             at = int(starts[k]) + BLOCK_HEADER.size + w * BLOCK // 8
