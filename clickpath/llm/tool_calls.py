@@ -57,33 +57,54 @@ def argument_errors(tool: Column, arguments: Column, schemas: Schemas) -> Column
 
 
 def levels(calls: DataFrame) -> DataFrame:
-    """(key, level) of each call (key, turn, after: array of keys) that can be put in order.
+    """(key, level, late) of each call (key, turn, after: array of keys) that can be put in order.
 
-    A wait for a call of an earlier turn is met by the order of turns. Among the
-    calls of one turn, level 0 waits for none of them; any other is one above the
-    highest it waits for. A call that waits for a later turn, stands on a cycle, or
-    is behind such a call in its turn has no row. One round per level of the deepest turn; each is stored, so
-    no round depends on the ones before it.
+    Level 0 waits for no known call; any other is one above the highest it waits
+    for, of whatever turn. Calls on a cycle, or behind one, have no row. ``late``
+    calls wait, if only by way of others, for a call of a later turn.
+
+    Chains of calls that wait for one call each are shortened by doubling, so they take as
+    many rounds as the logarithm of their length; then one round places all calls with several
+    waits whose own are placed. Every round is stored, so none depends on the ones before it.
     """
     nodes = calls.groupBy("key").agg(F.min("turn").alias("turn"), F.flatten(F.collect_set("after")).alias("after"))
     nodes = common.materialise(nodes, "call-nodes")
-    edges = nodes.select("key", "turn", F.explode(F.array_distinct("after")).alias("dep")).join(
-        nodes.select(F.col("key").alias("dep"), F.col("turn").alias("dep_turn")), "dep")
-    edges = edges.filter(~F.coalesce(F.col("dep_turn") < F.col("turn"), F.lit(False)))
-    edges = common.materialise(edges.withColumn("met", F.coalesce(F.col("dep_turn") == F.col("turn"), F.lit(False))), "call-edges")
-    waits = edges.groupBy("key").agg(F.count(F.lit(1)).alias("waits"))
-    edges = edges.filter("met").select("key", "dep")
-    placed = nodes.select("key").join(waits.select("key"), "key", "left_anti").withColumn("level", F.lit(0))
+    edges = nodes.select("key", F.explode(F.array_distinct("after")).alias("to")).join(
+        nodes.select(F.col("key").alias("to"), F.col("turn").alias("reach")), "to")
+    edges = common.materialise(edges, "call-edges")
+    waits = common.materialise(edges.groupBy("key").agg(F.count(F.lit(1)).alias("waits")), "call-waits")
+    # The call that each call with one wait leads to, in so many steps, and the latest turn on the way.
+    chains = edges.join(waits.filter("waits = 1"), "key").select("key", "to", F.lit(1).alias("steps"), "reach")
+    chains, unfinished = common.materialise(chains, "call-chains"), None
+    while True:
+        beyond = chains.select(F.col("key").alias("to"), F.col("to").alias("end"), F.col("steps").alias("more"), F.col("reach").alias("reach_on"))
+        chains = common.materialise(chains.join(beyond, "to", "left").select(
+            "key", F.coalesce("end", "to").alias("to"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
+            F.greatest("reach", "reach_on").alias("reach"), F.col("end").isNotNull().alias("endless")), "call-chains")
+        # A round ends some chain unless those that are left run into a cycle.
+        was, unfinished = unfinished, chains.filter("endless").count()
+        if unfinished in (0, was):
+            break
+    ends = chains.select(F.col("key").alias("to"), F.col("to").alias("end"), F.col("steps").alias("more"), F.col("reach").alias("reach_on"), "endless")
+    forks = edges.join(waits.filter("waits > 1"), "key").join(ends, "to", "left").filter(~F.coalesce("endless", F.lit(False)))
+    forks = common.materialise(forks.select(
+        "key", "waits", F.coalesce("end", "to").alias("to"), (F.coalesce("more", F.lit(0)) + 1).alias("steps"),
+        F.greatest("reach", "reach_on").alias("reach")), "call-forks")
+    placed = nodes.join(waits, "key", "left_anti").select("key", F.lit(0).alias("level"), F.lit(None).cast("long").alias("reach"))
     placed = common.materialise(placed, "call-levels")
-    level = 0
     while True:
-        done = edges.join(placed.withColumnRenamed("key", "dep"), "dep").groupBy("key").agg(
-            F.count(F.lit(1)).alias("done"), F.max("level").alias("top"))
-        ready = done.join(waits, "key").filter((F.col("done") == F.col("waits")) & (F.col("top") == level))
-        new = common.materialise(ready.select("key", (F.col("top") + 1).alias("level")), "new-levels")
+        at = placed.select(F.col("key").alias("to"), "level", F.col("reach").alias("reach_on"))
+        done = forks.join(at, "to").groupBy("key", "waits").agg(
+            F.count(F.lit(1)).alias("done"), F.max(F.col("level") + F.col("steps")).alias("level"), F.max(F.greatest("reach", "reach_on")).alias("reach"))
+        ready = done.filter("done = waits").join(placed.select("key"), "key", "left_anti")
+        new = common.materialise(ready.select("key", "level", "reach"), "new-levels")
         if new.isEmpty():
-            return placed
-        placed, level = common.materialise(placed.union(new), "call-levels"), level + 1
+            break
+        placed = common.materialise(placed.union(new), "call-levels")
+    chained = chains.filter("NOT endless").join(at, "to").select(
+        "key", (F.col("level") + F.col("steps")).alias("level"), F.greatest("reach", "reach_on").alias("reach"))
+    return placed.union(chained).join(nodes.select("key", "turn"), "key").select(
+        "key", "level", F.coalesce(F.col("reach") > F.col("turn"), F.lit(False)).alias("late"))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
@@ -92,11 +113,12 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     ``calls``: conv_id, turn, call_id, tool, arguments (JSON text), after (array of
     call_ids of the same conversation, or null). ``results``: conv_id, turn,
     call_id, content. Returns conv_id, call_id, turn, result_turn, level, status,
-    errors, n_calls, n_results, line. The order of work is (turn, level, call_id).
+    errors, n_calls, n_results, line. The order of work is (level, turn, call_id).
 
     status is, the first that holds: ``orphan result`` (no call), ``no id`` (null
-    call_id; never linked), ``out of order`` (waits for a later turn, for itself,
-    or for such a call of its turn), ``duplicate id`` (another call with the id comes first by turn, then
+    call_id; never linked), ``out of order`` (waits, if only by way of others, for itself
+    or for a call that does, and so has no level; or for a call of a later turn, which
+    has a level above that call's), ``duplicate id`` (another call with the id comes first by turn, then
     arguments), ``invalid arguments``, ``no result``, ``early result`` (its turn
     isn't after the call's), ``ok``. Of several results the first by turn, then
     content, is linked; n_results counts them all. An identifier in ``after`` that
@@ -121,7 +143,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     rows = rows.withColumn("call_errors_unknown", ~F.coalesce(F.col("tool").isin(*schemas), F.lit(False)))
     rows = rows.withColumn("errors", argument_errors(F.col("tool"), F.col("arguments"), schemas))
     same = F.struct("turn", "arguments").eqNullSafe(F.col("lead"))
-    rows = rows.withColumn("status", F.when(F.col("key").isNull(), "no id").when(F.col("level").isNull(), "out of order")
+    rows = rows.withColumn("status", F.when(F.col("key").isNull(), "no id").when(F.col("level").isNull() | F.col("late"), "out of order")
                            .when(~same, "duplicate id").when(F.size("errors") > 0, "invalid arguments")
                            .when(F.col("has_result").isNull(), "no result").when(F.col("result.turn") <= F.col("turn"), "early result").otherwise("ok"))
     orphans = first_result.join(lead.select("key"), "key", "left_anti").select(

@@ -395,6 +395,19 @@ def test_tool_calls(spark):
     assert tool_calls.link(c.limit(0), r.limit(0), tool_calls.SCHEMAS).count() == 0
 
 
+def test_calls_are_ordered_across_turns(spark):
+    waits = {("A", 1): ["B"], ("B", 1): ["A"], ("C", 3): ["A"], ("D", 4): ["C", "r"], ("r", 0): None, ("s", 2): ["r"], ("t", 4): ["s", "r"],
+             ("early", 5): ["last"], ("last", 9): ["t"], ("beside", 5): ["early", "r"], ("after", 10): ["early"]}
+    waits |= {(f"n{i}", 20 + i): [f"n{i - 1}"] if i else ["t", "s"] for i in range(40)}
+    c = spark.createDataFrame([(1, t, k, "rewrite", '{"text":"t"}', a) for (k, t), a in waits.items()],
+                              "conv_id long, turn long, call_id string, tool string, arguments string, after array<string>")
+    r = spark.createDataFrame([(1, 99, k, "R") for k, _ in waits], "conv_id long, turn long, call_id string, content string")
+    got = {x.call_id: (x.level, x.status) for x in tool_calls.link(c, r, tool_calls.SCHEMAS).collect()}
+    late, never = "out of order", (None, "out of order")
+    assert got == {"A": never, "B": never, "C": never, "D": never, "r": (0, "ok"), "s": (1, "ok"), "t": (2, "ok"), "last": (3, "ok"), "early": (4, late),
+                   "beside": (5, late), "after": (5, "ok"), **{f"n{i}": (3 + i, "ok") for i in range(40)}}
+
+
 def test_pipeline_stages_on_awkward_rows(spark, tmp_path):
     assert [n for n, _ in pipeline.STAGES] == ["quality classifier", "SimHash near-dedup", "suffix-array dedup", "benchmark decontamination", "packing"]
     for name, rows in (("full", AWKWARD), ("empty", [])):
