@@ -34,17 +34,24 @@ CACHE_PIECE_CHARS = 64
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit integers.
 
-    Strings that look like special tokens are ordinary text. Empty text has no ids.
+    With ``added_tokens`` the ids are those of the library's ``encode`` without special
+    tokens around the text: a string that the file lists as an added token has that
+    token's id. Without, special tokens' strings are ordinary text. Empty text has no ids.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added_tokens: bool = False) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = not added_tokens
         split = spec.get("pre_tokenizer") or {}
         self._by_piece = (spec.get("normalizer") is None and split.get("type") == "ByteLevel"
                           and split.get("use_regex", True) and not split.get("add_prefix_space", True))
+        added = [t for t in spec.get("added_tokens") or () if added_tokens or not t.get("special")]
+        self._by_piece &= not any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip"))
+        self._added = {t["content"]: array("I", [t["id"]]).tobytes() for t in added}
+        # Of tokens that begin at one place the longest counts.
+        self._at_added = regex.compile("(" + "|".join(map(regex.escape, sorted(self._added, key=len, reverse=True))) + ")").split
         self._split = regex.compile(BYTE_LEVEL_SPLIT).findall
         self._new: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
@@ -52,6 +59,13 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if not self._by_piece:
             return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if any(t in text for t in self._added):
+            # Every second part is an added token; what lies between is split on its own.
+            return b"".join(self._added[x] if k % 2 else self._plain(x) for k, x in enumerate(self._at_added(text)))
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
+        """The ids of a text without added tokens."""
         pieces = self._split(text)
         try:
             return b"".join(map(self._new.__getitem__, pieces))
@@ -87,8 +101,8 @@ class Encoder:
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder for each tokenizer file and Python worker."""
-    return Encoder(path)
+    """One encoder for each tokenizer file and Python worker, which knows the file's added tokens."""
+    return Encoder(path, added_tokens=True)
 
 
 def default_tokenizer() -> str:

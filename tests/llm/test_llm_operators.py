@@ -60,6 +60,19 @@ def test_encoder_equals_the_library():
         assert [np.frombuffer(enc.encode(x), "<u4").tolist() for x in texts] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_added_tokens_have_their_ids(spark, tmp_path):
+    path = tokens.default_tokenizer()
+    plain, enc = tokens.Tokenizer.from_file(path), tokens.encoder(path)
+    texts = [x for _, x in TEXTS] + ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x  <|endoftext|>'s\n\n <|endoftext|", "<|endoftext|>\n  y"]
+    want = [plain.encode(x, add_special_tokens=False).ids for x in texts]
+    assert [np.frombuffer(enc.encode(x), "<u4").tolist() for x in texts] == want and want[-4] == [64, 220, 50256, 275]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    token_files.write(common.configure(spark) and df, str(tmp_path / "ids"))
+    rows = token_files.read(spark, str(tmp_path / "ids")).collect()
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in rows} == {i: [*x, token_files.END_ID] for i, x in enumerate(want)}
+    assert {r.doc_id: r.doc_tokens for r in packing.pack(df).collect()} == {i: len(x) + 1 for i, x in enumerate(want)}
+
+
 def test_encoder_cache_generations(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_PIECES", 5)
     enc, whole = tokens.Encoder(tokens.default_tokenizer()), tokens.Encoder(tokens.default_tokenizer())
