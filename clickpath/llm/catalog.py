@@ -37,7 +37,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(read(spark, sf_dir, "documents"), shards=sharding.SHARDS)
+    return sharding.shard(read(spark, sf_dir, "documents"), shards=sharding.SHARDS, alone=True)
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Equal texts form one group and stay together. The tree splits the groups again
 and again at the weighted median of the dimension that is widest in a node, until
-each leaf holds the target bytes; leaves are the shards. Medians are found by
+each leaf holds the target bytes; leaves are the shards. A group that fills a shard
+can get one of its own first, so that it takes no part in the halving. Medians are found by
 counting: each round sums the weights of a fixed number of bins for all nodes of
 a level at once, keeps the bin that the median falls into, and bins it anew, so
 the driver sees only bin totals and, at the end, a bounded number of rows.
@@ -147,26 +148,58 @@ def assign(groups: DataFrame, shards: int) -> DataFrame:
     return placed.join(F.broadcast(numbers), "node")
 
 
-def shard(docs: DataFrame, target_bytes: int | None = None, shards: int | None = None) -> DataFrame:
+def _alone(groups: DataFrame, shards: int, total: int) -> list[str]:
+    """The digests of the groups that get a shard of their own, the heaviest first.
+
+    These are the groups of at least an equal part of the bytes that are left for
+    the shards that are left, until there is none or one shard is left.
+    """
+    found: list[str] = []
+    least = None
+    while len(found) < shards - 1:
+        left = shards - len(found)
+        target = -(-total // left)
+        heavy = groups.filter(F.col("weight") >= target)
+        if least is not None:  # those above are found already
+            heavy = heavy.filter(F.col("weight") < least)
+        rows = heavy.orderBy(F.desc("weight"), "tie", "digest").limit(left - 1).select("digest", "weight").collect()  # fewer rows than shards
+        if not rows:
+            break
+        found += [r["digest"] for r in rows]
+        total, least = total - sum(r["weight"] for r in rows), target
+    return found
+
+
+def shard(docs: DataFrame, target_bytes: int | None = None, shards: int | None = None, alone: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
     Give the target bytes of a leaf, or the number of shards (their target is an
     equal part of all bytes); a node of k targets' bytes is split at the fraction
-    (k // 2) / k of its weight. ``size`` is the text's UTF-8 bytes plus one, so a
+    (k // 2) / k of its weight. With ``alone``, each group of at least the target bytes
+    first gets a shard of its own, numbered after the tree's, and the rest is split into
+    the other shards with the target that is left. Without, such a group keeps the shares
+    of its side of the tree, so shards beside it may be empty or uneven. ``size`` is the text's UTF-8 bytes plus one, so a
     null text weighs 1; null and empty texts are equal. The law is ``bytes``:
-    sizes are near equal, as near as whole groups of equal texts allow (a group
-    larger than a shard fills it alone). ``slot`` numbers a shard's rows from 0 in
+    sizes are near equal, with ``alone`` as near as whole groups of equal texts
+    and cuts along one dimension at a time allow. ``slot`` numbers a shard's rows from 0 in
     order of an MD5 of the id. ``grown_shard`` is null under this law. Rows that
     repeat are kept; a null doc_id, source or lang is a value like any other, and
     a table without source or lang is split on the rest. An empty table gives no rows.
     """
     rows = common.materialise(_documents(docs), "shard-rows")
     groups = common.materialise(_groups(rows), "shard-groups")
+    total = groups.agg(F.sum("weight")).first()[0] or 1
     if shards is None:
-        total = groups.agg(F.sum("weight")).first()[0] or 1
         shards = max(1, -(-total // (target_bytes or total)))
-    placed = assign(groups, shards)
-    numbered = common.materialise(rows.join(placed.select("digest", "shard"), "digest").select(
+    own = _alone(groups, shards, total) if alone else []
+    if own:
+        first = shards - len(own)
+        table = groups.sparkSession.createDataFrame([(d, first + k) for k, d in enumerate(own)], "digest string, shard int")
+        rest = groups.join(F.broadcast(table), "digest", "left_anti")
+        placed = assign(rest, first).select("digest", "shard").union(table)
+    else:
+        placed = assign(groups, shards).select("digest", "shard")
+    numbered = common.materialise(rows.join(placed, "digest").select(
         "doc_id", "size", "text_crc32", "shard", "digest"), "sharded")
     return common.gapless(numbered, ["shard"], ["doc_id", "digest"], "slot").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -290,6 +290,32 @@ def test_sharding(docs, nothing, fetched, bins, monkeypatch):
     assert sharding.shard(nothing, shards=4).count() == 0
 
 
+def test_a_hot_group_leaves_the_other_shards_even(spark, tmp_path):
+    rows = [(i, hashlib.md5(str(i).encode()).hexdigest() * 3, "en", f"s{i % 7}") for i in range(1000)]
+    rows += [(1000 + i, "the same text " * 35, "en", "hot") for i in range(97 * 500 // 491)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    size, hot = collections.Counter(), set()
+    for r in catalog.op5_sharding(spark, str(tmp_path)).collect():
+        size[r.shard] += r.size
+        if r.doc_id >= 1000:
+            hot.add(r.shard)
+    total = sum(size.values())
+    assert 0.3 < sum(len(x[1]) + 1 for x in rows[1000:]) / total < 0.36 and sorted(size) == list(range(8)) and len(hot) == 1
+    rest = [size[s] for s in range(8) if s not in hot]
+    assert size[hot.pop()] == sum(len(x[1]) + 1 for x in rows[1000:]) and max(rest) - min(rest) <= 0.05 * total / 8
+
+
+def test_groups_alone_use_up_the_shards(spark, docs, nothing):
+    assert sharding.shard(nothing, shards=4, alone=True).count() == 0
+    few = spark.createDataFrame([(i, str(i) * (10 ** i)) for i in range(4)] * 2, "doc_id long, text string")
+    for shards in (1, 2, 4, 6):
+        of = collections.defaultdict(set)
+        for r in sharding.shard(few, shards=shards, alone=True).collect():
+            of[r.doc_id].add(r.shard)
+        assert all(len(x) == 1 for x in of.values()) and len(set.union(*of.values())) == min(shards, 4)
+        assert set.union(*of.values()) <= set(range(shards))
+
+
 def test_target_bytes_choose_the_number_of_shards(docs):
     total = sum(len(x.encode()) + 1 for _, x in TEXTS)
     assert sharding.shard(docs, target_bytes=total).select("shard").distinct().count() == 1
