@@ -15,13 +15,15 @@ that depth, and the sort is done one bucket at a time:
     suffixes meet the cover at one common distance below COVER, so a tie takes one
     look at two ranks. Only the suffixes that share a leading byte are held as keys
     at a time.
-4.  A bucket of more runs than ``BUCKET_RUNS`` is not given to one task: its
-    windows are counted by their hash over the cluster.
+4.  A bucket of more runs than ``BUCKET_RUNS``, or more bytes than ``BUCKET_BYTES``, is
+    not given to one task: its windows are counted by their hash over the cluster, each
+    once for a run it repeats in.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,9 +42,10 @@ COVER = 64
 # Bytes of a text whose anchors are found at once.
 SPAN = 1 << 20
 
-# Bytes of small buckets that are sorted together, and runs that one task takes of one bucket.
+# Bytes of small buckets that are sorted together, and runs and their bytes that one task takes of one bucket.
 SORT_BYTES = 1 << 20
 BUCKET_RUNS = 20_000
+BUCKET_BYTES = 16 << 20
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
@@ -273,16 +276,29 @@ def _sorted_buckets(length: int):
     return run
 
 
+WINDOW_SCHEMA = "w binary, n int, doc_id long, h long, start int, stop int"
+
+
 def _window_hashes(length: int):
-    names = ["w", "doc_id", "h", "start"]
+    """Each distinct window of a run with its hash, its count in the run and its first place.
+
+    Stretches of windows that the run itself holds more than once have rows without a hash.
+    """
+    kinds = [pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    names = [x.split()[0] for x in WINDOW_SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc_id, h, start, snippet in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "h", "start", "snippet"))):
-                n = len(snippet) - length + 1
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([xxhash.xxh3_128_digest(snippet[k:k + length]) for k in range(n)], pa.binary()), pa.array([doc_id] * n, pa.int64()),
-                    pa.array([h] * n, pa.int64()), pa.array(range(start, start + n), pa.int32())], names=names)
+                found = [xxhash.xxh3_128_digest(snippet[k:k + length]) for k in range(len(snippet) - length + 1)]
+                count, first = Counter(found), {}
+                for k, w in enumerate(found):
+                    first.setdefault(w, k)
+                rows = [(w, n, doc_id, h, start + first[w], start + first[w] + length) for w, n in count.items()]
+                if len(count) < len(found):
+                    twice = np.fromiter((count[w] > 1 for w in found), bool, len(found))
+                    rows += [(None, None, doc_id, h, start + a, start + b + length) for a, b in zip(*(x.tolist() for x in _ranges(twice)))]
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=names)
     return run
 
 
@@ -318,7 +334,8 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, bucket_runs: int = BU
     again = mixed_runs.join(mixed.filter("many").select("key", "same"), ["key", "same"], "left_semi")
     whole = alike.select("doc_id", "h", "start", stop).union(again.select("doc_id", "h", "start", stop))
     # One run of each text in a mixed bucket, with its bytes.
-    sizes = mixed.groupBy("key").agg((F.count(F.lit(1)) > bucket_runs).alias("hot"))
+    n_bytes = F.sum((F.col("one.n") - 1 + length).cast("long"))
+    sizes = mixed.groupBy("key").agg(((F.count(F.lit(1)) > bucket_runs) | (n_bytes > BUCKET_BYTES)).alias("hot"))
     wanted = mixed.join(sizes, "key").groupBy(F.col("one.doc_id").alias("doc_id"), F.col("one.h").alias("h")).agg(
         F.collect_list(F.struct("key", "many", "hot", F.col("one.start").alias("start"), F.col("one.n").alias("n"))).alias("wanted"))
     # Rows that repeat are fetched each, which changes nothing: all their runs are known to repeat.
@@ -326,9 +343,10 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, bucket_runs: int = BU
     snippets = common.materialise(fetched.mapInArrow(_snippets(length), SNIPPET_SCHEMA), "snippets")
     dealt = snippets.filter("NOT hot").repartition(common.shuffle_partitions(spark), "key").sortWithinPartitions("key")
     sorted_ = dealt.mapInArrow(_sorted_buckets(length), RANGE_SCHEMA)
-    windows = snippets.filter("hot").mapInArrow(_window_hashes(length), "w binary, doc_id long, h long, start int")
-    common_windows = windows.groupBy("w").count().filter("count > 1").select("w")
-    counted = windows.join(common_windows, "w", "left_semi").select("doc_id", "h", "start", (F.col("start") + length).alias("stop"))
+    windows = snippets.filter("hot").mapInArrow(_window_hashes(length), WINDOW_SCHEMA)
+    hashed = windows.filter("w IS NOT NULL")
+    common_windows = hashed.groupBy("w").agg(F.sum("n").alias("n")).filter("n > 1").select("w")
+    counted = hashed.join(common_windows, "w", "left_semi").union(windows.filter("w IS NULL")).select("doc_id", "h", "start", "stop")
     return whole.union(sorted_).union(counted)
 
 

@@ -211,6 +211,35 @@ def test_suffix_dedup(docs, nothing, bucket_runs, monkeypatch):
     assert suffix_dedup.dedup(nothing).count() == 0
 
 
+def test_a_bucket_of_many_bytes_is_not_sorted_in_one_task(spark, monkeypatch):
+    texts = ["ab" * (300 + 450 * i) + f" end {i}" for i in range(8)] + ["x" * 900 + BASE, "y" + "x" * 1300, BASE[:700]]
+    df = common.configure(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {}
+    for i, (t, marks) in enumerate(zip(texts, repeated_by_hand(texts, 400))):
+        gone = np.zeros(len(t), bool)
+        for k in np.flatnonzero(marks):
+            gone[k:k + 400] = True
+        want[i] = "".join(c for c, g in zip(t, gone) if not g).encode()
+    sort = suffix_dedup._sorted_buckets
+
+    def bounded(length):
+        inner = sort(length)
+
+        def run(batches):
+            def checked():
+                size = {}
+                for b in batches:
+                    for key, x in zip(b.column("key").to_pylist(), b.column("snippet").to_pylist()):
+                        size[key] = size.get(key, 0) + len(x)
+                    assert max(size.values(), default=0) <= 2000
+                    yield b
+            return inner(checked())
+        return run
+    monkeypatch.setattr(suffix_dedup, "_sorted_buckets", bounded)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 2000, raising=False)
+    assert {r.doc_id: bytes(r.kept) for r in suffix_dedup.dedup(df).collect()} == want
+
+
 def test_cleaned_keeps_rows_and_columns(docs):
     out = suffix_dedup.cleaned(docs)
     assert out.columns == docs.columns and out.count() == len(AWKWARD)
