@@ -114,6 +114,15 @@ def test_blocks_round_trip(ids):
     assert (token_files.decode_blocks(b"".join(blocks), starts, len(a)) == a).all()
 
 
+def test_block_widths_are_bits_and_rare_ids_exceptions():
+    ids = np.arange(token_files.BLOCK, dtype=np.uint32) % 700
+    ids[::50] = 50_000
+    block, = token_files.encode_blocks(ids)
+    _, width, exceptions = token_files.BLOCK_HEADER.unpack_from(block)
+    assert (width, exceptions) == (10, len(ids[::50])) and len(block) == token_files.BLOCK_HEADER.size + 128 * width + 6 * exceptions
+    assert (token_files.decode_blocks(block, np.array([0, len(block)]), len(ids)) == ids).all()
+
+
 def test_token_files(spark, docs, nothing, tmp_path, monkeypatch):
     token_files.write(docs, str(tmp_path / "ids"))
     rows = sorted(token_files.read(spark, str(tmp_path / "ids")).collect(), key=lambda r: r.start)
