@@ -6,12 +6,15 @@ several centroids, found by clustering a bounded sample of its texts, since one
 language holds texts of unlike kinds. A text gets the language of the centroid
 with the highest cosine; it is marked as rejected if that cosine is below what
 nearly all of the language's own sample reaches. Document frequencies are counted
-over all texts that may be learned from.
+over all texts that may be learned from. Languages are sampled and clustered on the
+executors, one group for each; the model, CENTROIDS vectors of 16 KB for each
+language, is all that comes to the driver.
 """
 
 from __future__ import annotations
 
 import functools
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,15 +25,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpath.llm import common
+from clickpath.sources.tables import broadcast_if_small
 
 DIMENSIONS = 4096
 CENTROIDS = 3
 ROUNDS = 12
 SEED = 7
 
-# The clustering sample: at most so many texts of each language, of so many languages.
+# The clustering sample: at most so many texts of each language.
 SAMPLE_TEXTS = 300
-MAX_LANGUAGES = 200
+
+# Largest table of sampled ids that is broadcast, in bytes of its stored files.
+BROADCAST_BYTES = 16 << 20
 
 # A text is rejected below this quantile of its language's own sample.
 REJECT_QUANTILE = 0.002
@@ -52,24 +58,35 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
+def _add(found: np.ndarray, before: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Count the n-grams that end in ``new``, which follows the (at most two) letters ``before``; the last two of both."""
+    c, t = np.concatenate([before, new]), len(before)
+    one, c2, c3 = new[new != 0] * SPREAD[0], c[t - 1:], c[max(0, t - 2):]
+    two = (c2[:-1] * SPREAD[1] + c2[1:] * SPREAD[0])[(c2[:-1] + c2[1:]) != 0]
+    three = (c3[:-2] * SPREAD[2] + c3[1:-1] * SPREAD[1] + c3[2:] * SPREAD[0])[c3[1:-1] != 0]
+    grams = np.concatenate([one, two + np.uint64(1), three + np.uint64(2)]) & np.uint64(0xFFFFFFFF)
+    grams = (grams * SPREAD[1] >> np.uint64(17)) % np.uint64(DIMENSIONS)
+    found += np.bincount(grams.astype(np.int64), minlength=DIMENSIONS)
+    return c[-2:]
+
+
 def counts(text: str | None) -> np.ndarray | None:
-    """Counts of the hashed n-grams of a whole text; None if it has no letter."""
-    found = None
-    text = text or ""
-    for k in range(0, max(1, len(text)), CHARS):
-        points = np.frombuffer(text[max(0, k - 2):k + CHARS].lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    """Counts of the hashed n-grams of a whole text; None if it has no letter.
+
+    Letters and single gaps (0) form one sequence with a gap at both ends. It is read
+    in stretches that carry the last two letters over, so every n-gram counts once.
+    """
+    text, found, lettered = (text or "").lower(), np.zeros(DIMENSIONS, np.int64), False
+    before, after_letter = np.zeros(1, np.uint64), True
+    for k in range(0, len(text), CHARS):
+        points = np.frombuffer(text[k:k + CHARS].encode("utf-32-le", "surrogatepass"), "<u4")
         letter = _letters()[points]
-        if not letter.any():
-            continue
-        c = np.where(letter, points, 0).astype(np.uint64)
-        c = np.concatenate([[0], c[letter | np.concatenate([[True], letter[:-1]])], [0]]).astype(np.uint64)
-        one = c[c != 0] * SPREAD[0]
-        two = (c[:-1] * SPREAD[1] + c[1:] * SPREAD[0])[(c[:-1] + c[1:]) != 0]
-        three = (c[:-2] * SPREAD[2] + c[1:-1] * SPREAD[1] + c[2:] * SPREAD[0])[c[1:-1] != 0]
-        grams = np.concatenate([one, two + np.uint64(1), three + np.uint64(2)]) & np.uint64(0xFFFFFFFF)
-        grams = (grams * SPREAD[1] >> np.uint64(17)) % np.uint64(DIMENSIONS)
-        n = np.bincount(grams.astype(np.int64), minlength=DIMENSIONS)
-        found = n if found is None else found + n
+        kept = letter | np.concatenate([[after_letter], letter[:-1]])
+        before = _add(found, before, np.where(letter, points, 0)[kept].astype(np.uint64))
+        after_letter, lettered = letter[-1], lettered or letter.any()
+    if not lettered:
+        return None
+    _add(found, before, np.zeros(1, np.uint64))
     return found
 
 
@@ -131,43 +148,55 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     yield pa.RecordBatch.from_arrays([pa.array([-1, *at.tolist()], pa.int32()), pa.array([texts, *df[at].tolist()], pa.int64())], names=["dim", "n"])
 
 
+def _sample(rows: DataFrame) -> DataFrame:
+    """At most SAMPLE_TEXTS rows (lang, text) of each language, drawn by a hash of doc_id.
+
+    Ranking sees ids only, and each task keeps no more than the sample of a language, so a
+    language of most rows is no hot group. Rows that share an id are ranked again by their text.
+    """
+    draw = F.xxhash64("doc_id").alias("draw")
+    ranked = Window.partitionBy("lang").orderBy("draw", "doc_id")
+    ids = rows.select("lang", "doc_id", draw).withColumn("k", F.row_number().over(ranked)).filter(F.col("k") <= SAMPLE_TEXTS)
+    ids = common.materialise(ids.select(F.col("lang").alias("l"), F.col("doc_id").alias("d")), "language-sample")
+    texts = rows.join(broadcast_if_small(ids, BROADCAST_BYTES), (F.col("lang") == F.col("l")) & F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
+    ranked = Window.partitionBy("lang").orderBy("h", "doc_id")
+    return texts.withColumn("h", F.xxhash64("text")).withColumn("k", F.row_number().over(ranked)).filter(
+        F.col("k") <= SAMPLE_TEXTS).select("lang", "text")
+
+
+def _clustered(model: Centroids):
+    """The centroids of one language, and the cosine below which a text is rejected."""
+    def run(found: pd.DataFrame) -> pd.DataFrame:
+        vectors = []
+        for packed in sorted(map(bytes, found["packed"])):
+            m, n = len(packed) // 6, np.zeros(DIMENSIONS)
+            n[np.frombuffer(packed, "<u2", m)] = np.frombuffer(packed, "<u4", m, 2 * m)
+            vectors.append(model.vector(n))
+        lang, vectors = found["lang"].iloc[0], np.stack(vectors)
+        own = _cluster(vectors, np.random.default_rng([SEED, zlib.crc32(lang.encode())]))
+        least = np.quantile((vectors @ own.T).max(axis=1), REJECT_QUANTILE)
+        return pd.DataFrame({"lang": lang, "k": range(len(own)), "least": least, "point": [p.astype("<f4").tobytes() for p in own]})
+    return run
+
+
 def fit(docs: DataFrame) -> Centroids:
     """Centroids from the rows outside the held-out fold that have a lang.
 
-    Document frequencies cover all such rows; at most SAMPLE_TEXTS vectors of
-    each language come to the driver. Texts without a letter teach nothing.
+    Document frequencies cover all such rows, the clustering a sample of SAMPLE_TEXTS rows
+    of each language, of however many languages. Texts without a letter teach nothing.
     """
     rows = docs.filter(F.col("lang").isNotNull() & ~common.held_out("doc_id", FOLDS, FOLD)).select("doc_id", "lang", "text")
-    sizes = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     df = {r["dim"]: r["n"] for r in rows.select("text").mapInArrow(_document_counts, "dim int, n long")
           .groupBy("dim").agg(F.sum("n").alias("n")).collect()}  # at most DIMENSIONS + 1 rows
     idf = np.log((1 + df.get(-1, 0)) / (1 + np.array([df.get(d, 0) for d in range(DIMENSIONS)]))) + 1
     model = Centroids(idf, [], np.zeros((0, DIMENSIONS)), np.zeros(0))
-    if not sizes:
-        return model
-    draw = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 30))
-    share = F.coalesce(*(F.when(F.col("lang") == r["lang"], F.lit(min(1 << 30, (3 * SAMPLE_TEXTS << 29) // r["count"]))) for r in sizes))
-    first = Window.partitionBy("lang").orderBy("draw", "doc_id")
-    some = rows.withColumn("draw", draw).filter(F.col("draw") < share)  # about 1.5 times the sample, so the window is small
-    some = some.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= SAMPLE_TEXTS)
-    found = some.select("lang", "text").mapInArrow(_sparse_counts, "lang string, packed binary").collect()
-    rng = np.random.default_rng(SEED)
-    points, least = [], []
-    for lang in sorted({r["lang"] for r in found}):
-        vectors = []
-        for packed in sorted(bytes(r["packed"]) for r in found if r["lang"] == lang):
-            m, n = len(packed) // 6, np.zeros(DIMENSIONS)
-            n[np.frombuffer(packed, "<u2", m)] = np.frombuffer(packed, "<u4", m, 2 * m)
-            vectors.append(model.vector(n))
-        vectors = np.stack(vectors)
-        own = _cluster(vectors, rng)
-        floor = np.quantile((vectors @ own.T).max(axis=1), REJECT_QUANTILE)
-        points.append(own)
-        least += [floor] * len(own)
-        model.languages += [lang] * len(own)
-    model.points, model.least = np.concatenate(points).astype(np.float32), np.array(least)
+    vectors = _sample(rows).mapInArrow(_sparse_counts, "lang string, packed binary")
+    found = vectors.groupBy("lang").applyInPandas(_clustered(model), "lang string, k int, least double, point binary").collect()
+    found = sorted(found, key=lambda r: (r["lang"], r["k"]))
+    model.languages = [r["lang"] for r in found]
+    if found:
+        model.points = np.stack([np.frombuffer(bytes(r["point"]), "<f4") for r in found])
+        model.least = np.array([r["least"] for r in found])
     model.idf = idf.astype(np.float32)
     return model
 
