@@ -34,8 +34,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickpath.llm import common
+from clickpath.sources.tables import broadcast_if_small
 
 LENGTH = 400
+
+# For passages given in words: a window of PASSAGE_LENGTH bytes fits into PASSAGE_WORDS
+# words of three bytes on average and the blanks between them.
+PASSAGE_WORDS = 51
+PASSAGE_LENGTH = 200
+
 GRAM = 32
 COVER = 64
 
@@ -47,6 +54,10 @@ SORT_BYTES = 1 << 20
 BUCKET_RUNS = 20_000
 BUCKET_BYTES = 16 << 20
 
+# Rows of window hashes in one Arrow batch, and the largest table of hot buckets that is broadcast.
+WINDOW_ROWS = 1 << 15
+BROADCAST_BYTES = 16 << 20
+
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
 
@@ -298,7 +309,8 @@ def _window_hashes(length: int):
                 if len(count) < len(found):
                     twice = np.fromiter((count[w] > 1 for w in found), bool, len(found))
                     rows += [(None, None, doc_id, h, start + a, start + b + length) for a, b in zip(*(x.tolist() for x in _ranges(twice)))]
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=names)
+                for at in range(0, len(rows), WINDOW_ROWS):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows[at:at + WINDOW_ROWS]), kinds)], names=names)
     return run
 
 
@@ -335,8 +347,11 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, bucket_runs: int = BU
     whole = alike.select("doc_id", "h", "start", stop).union(again.select("doc_id", "h", "start", stop))
     # One run of each text in a mixed bucket, with its bytes.
     n_bytes = F.sum((F.col("one.n") - 1 + length).cast("long"))
-    sizes = mixed.groupBy("key").agg(((F.count(F.lit(1)) > bucket_runs) | (n_bytes > BUCKET_BYTES)).alias("hot"))
-    wanted = mixed.join(sizes, "key").groupBy(F.col("one.doc_id").alias("doc_id"), F.col("one.h").alias("h")).agg(
+    hot = mixed.groupBy("key").agg(F.count(F.lit(1)).alias("n_runs"), n_bytes.alias("n_bytes")).filter(
+        (F.col("n_runs") > bucket_runs) | (F.col("n_bytes") > BUCKET_BYTES))
+    hot = common.materialise(hot.select("key", F.lit(True).alias("hot")), "hot-buckets")
+    marked = mixed.join(broadcast_if_small(hot, BROADCAST_BYTES), "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    wanted = marked.groupBy(F.col("one.doc_id").alias("doc_id"), F.col("one.h").alias("h")).agg(
         F.collect_list(F.struct("key", "many", "hot", F.col("one.start").alias("start"), F.col("one.n").alias("n"))).alias("wanted"))
     # Rows that repeat are fetched each, which changes nothing: all their runs are known to repeat.
     fetched = long_enough.alias("d").join(wanted.alias("w"), _same_document("d", "w")).select("d.doc_id", "d.h", "d.text", "w.wanted")
@@ -405,12 +420,20 @@ def dedup(docs: DataFrame, length: int = LENGTH, with_kept: bool = True) -> Data
     return marked.select("d.doc_id", "d.text", "r.ranges").mapInArrow(_cut(with_kept), OUT_SCHEMA)
 
 
-def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def _whole_words(raw: bytes, start: int, stop: int) -> int:
+    """How many words (runs of bytes other than white space) lie in raw[start:stop] from end to end."""
+    n = len(raw[start:stop].split())
+    cut_first = start > 0 and not raw[start - 1:start].isspace() and not raw[start:start + 1].isspace()
+    cut_last = stop < len(raw) and not raw[stop - 1:stop].isspace() and not raw[stop:stop + 1].isspace()
+    return max(0, n - cut_first - cut_last)
+
+
+def cleaned(docs: DataFrame, length: int = LENGTH, min_words: int = 0) -> DataFrame:
     """``docs`` with the repeated bytes cut out of text; all columns are kept.
 
-    Where a cut splits a character, its remaining bytes are dropped too, so the
-    text stays valid. A row whose text is all repeated stays with an empty text; a
-    null text stays null.
+    Only maximal repeated stretches that hold ``min_words`` whole words are cut. Where a cut
+    splits a character, its remaining bytes are dropped too, so the text stays valid. A row
+    whose text is all repeated stays with an empty text; a null text stays null.
     """
     owner, h, ranges = (common.fresh(docs, n) for n in ("range_owner", "range_h", "ranges"))
     found = _collected(repeated_ranges(docs, length)).toDF(owner, h, ranges)
@@ -420,9 +443,11 @@ def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         for texts, lists in batches:
             out = []
             for text, spans in zip(texts, lists):
-                if text is not None:
+                if text is not None and spans is not None:
                     raw, at, parts = text.encode(), 0, []
                     for start, stop in _merged(spans):
+                        if min_words and _whole_words(raw, start, stop) < min_words:
+                            continue
                         parts.append(raw[at:start].decode("utf-8", "ignore"))
                         at = stop
                     text = "".join(parts) + raw[at:].decode("utf-8", "ignore")
