@@ -39,8 +39,9 @@ def _pieces(path: str, end_id: int, longest: int, with_ids: bool):
         enc, end = encoder(path), end_id.to_bytes(4, "little")
         for batch in batches:
             rows: list[list] = [[] for _ in names]
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = enc.encode(text or "") + end
+            texts = [x or "" for x in batch.column("text").to_pylist()]
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), enc.encode_all(texts)):
+                ids += end
                 start = 0
                 for length in piece_lengths(len(ids) // 4, longest):
                     piece = ids[4 * start:4 * (start + length)]

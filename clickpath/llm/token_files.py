@@ -52,6 +52,37 @@ FRAME_SCHEMA = "part int, seq int, n_ids long, frame binary"
 DOC_SCHEMA = "part int, doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
 
 
+def _packed(values: np.ndarray, width: int) -> np.ndarray:
+    """Rows of BLOCK values as rows of big-endian words, ``width`` bits of each value, highest bit first.
+
+    64 values fill ``width`` words; the n-th of every 64 is shifted to its place in all rows at once.
+    """
+    n = values.shape[0]
+    of = np.ascontiguousarray(values.astype(np.uint64).reshape(n * BLOCK // 64, 64).T) & np.uint64((1 << width) - 1)
+    words = np.zeros((width, n * BLOCK // 64), np.uint64)
+    for k in range(64 if width else 0):
+        word, bit = divmod(k * width, 64)
+        spare = 64 - bit - width
+        if spare >= 0:
+            words[word] |= of[k] << np.uint64(spare)
+        else:  # the low bits go to the next word
+            words[word] |= of[k] >> np.uint64(-spare)
+            words[word + 1] |= of[k] << np.uint64(64 + spare)
+    return words.T.reshape(n, -1).astype(">u8")
+
+
+def _unpacked(words: np.ndarray, width: int) -> np.ndarray:
+    """The values of ``_packed``; ``words`` has a row for each block."""
+    n, mask = words.shape[0], np.uint64((1 << width) - 1)
+    of = np.ascontiguousarray(words.astype(np.uint64).reshape(n * BLOCK // 64, width).T)
+    out = np.zeros((64, n * BLOCK // 64), np.uint64)
+    for k in range(64 if width else 0):
+        word, bit = divmod(k * width, 64)
+        spare = 64 - bit - width
+        out[k] = of[word] >> np.uint64(spare) if spare >= 0 else of[word] << np.uint64(-spare) | of[word + 1] >> np.uint64(64 + spare)
+    return (out & mask).T.reshape(n, BLOCK).astype(np.uint32)
+
+
 def encode_blocks(ids: np.ndarray) -> list[bytes]:
     """Blocks of a u32 array, all of ``BLOCK`` values."""
     if not len(ids):
@@ -65,18 +96,17 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
     low = full.min(axis=1)
     diff = full - low[:, None]
     at = int(PERCENTILE * (BLOCK - 1))
-    chosen = np.partition(diff, at, axis=1)[:, at].astype(np.uint64)
+    chosen = np.partition(diff, at, axis=1)[:, at]
     width = np.ceil(np.log2(chosen.astype(np.float64) + 1)).astype(np.int64)
-    over = (diff.astype(np.uint64) >> width[:, None].astype(np.uint64)) != 0
+    over = diff.astype(np.uint64) >> width[:, None].astype(np.uint64) != 0
+    rows, places = np.nonzero(over)
+    cuts, places, rest = np.searchsorted(rows, np.arange(n + 1)), places.astype("<u2"), diff[over].astype("<u4")
     blocks: list[bytes] = [b""] * n
     for w in np.unique(width):
-        rows = np.flatnonzero(width == w)
-        bits = np.unpackbits(diff[rows].astype(">u4").view(np.uint8).reshape(-1, BLOCK, 4), axis=2)[:, :, 32 - w:]
-        packed = np.packbits(bits.reshape(len(rows), -1), axis=1)
-        for k, row in enumerate(rows):
-            where = np.flatnonzero(over[row])
-            blocks[row] = b"".join((BLOCK_HEADER.pack(int(low[row]), int(w), len(where)), packed[k].tobytes(),
-                                    where.astype("<u2").tobytes(), diff[row][where].astype("<u4").tobytes()))
+        of = np.flatnonzero(width == w)
+        for row, words in zip(of.tolist(), _packed(diff[of], int(w))):
+            a, b = cuts[row], cuts[row + 1]
+            blocks[row] = b"".join((BLOCK_HEADER.pack(int(low[row]), int(w), int(b - a)), words.tobytes(), places[a:b].tobytes(), rest[a:b].tobytes()))
     return blocks
 
 
@@ -90,10 +120,8 @@ def decode_blocks(payload: bytes, starts: np.ndarray, n_ids: int) -> np.ndarray:
         by_width.setdefault(w, []).append(k)
     for w, rows in by_width.items():
         size = w * BLOCK // 8
-        packed = np.frombuffer(b"".join(payload[(a := int(starts[k]) + BLOCK_HEADER.size):a + size] for k in rows), np.uint8)
-        bits = np.zeros((len(rows), BLOCK, 32), np.uint8)
-        bits[:, :, 32 - w:] = np.unpackbits(packed).reshape(len(rows), BLOCK, w)
-        out[rows] = np.packbits(bits, axis=2).view(">u4")[:, :, 0]
+        packed = b"".join(payload[(a := int(starts[k]) + BLOCK_HEADER.size):a + size] for k in rows)
+        out[rows] = _unpacked(np.frombuffer(packed, ">u8").reshape(len(rows), -1), w)
     for k, (low, w, n_over) in enumerate(heads):
         if n_over:
             at = int(starts[k]) + BLOCK_HEADER.size + w * BLOCK // 8
@@ -139,8 +167,9 @@ def _frames(path: str, end_id: int):
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([size], pa.int64()),
                                                pa.array([encode_frame(docs, before)], pa.binary())], names=["part", "seq", "n_ids", "frame"])
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                docs.append((doc_id, enc.encode(text or "") + end))
+            texts = [x or "" for x in batch.column("text").to_pylist()]
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), enc.encode_all(texts)):
+                docs.append((doc_id, ids + end))
                 size += len(docs[-1][1]) // 4
                 if size >= FRAME_IDS:
                     yield flush()
