@@ -29,9 +29,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut out the byte strings that repeat; a document left without text stays as an empty one."""
+    """Cut out passages of over 50 words that repeat; a document left without text stays as an empty one."""
     common.configure(spark)
-    cut = suffix_dedup.cleaned(docs)
+    cut = suffix_dedup.cleaned(docs, suffix_dedup.PASSAGE_LENGTH, suffix_dedup.PASSAGE_WORDS)
     return cut.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")) if "n_chars" in docs.columns else cut
 
 
@@ -41,9 +41,9 @@ def benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut every document's token ids into sequences of power-of-two lengths."""
+    """Cut every document's token ids into sequences of power-of-two lengths, the ids included."""
     common.configure(spark)
-    return packing.pack(docs, with_ids=False).drop("ids")
+    return packing.pack(docs)
 
 
 STAGES = [
