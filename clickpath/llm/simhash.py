@@ -3,10 +3,13 @@
 Texts become 64-bit fingerprints: a bit is 1 if it is set in over half of the
 hashes of a text's word shingles, repeats included. All distinct fingerprints
 are then compared exactly, tile against tile, with exclusive-or and bit counts.
-Tiles hold fingerprints of one population count, and two fingerprints within
-the radius differ in population count by no more than the radius, so only tiles
-of near counts meet. Inside a pair of tiles the same bound on the four 16-bit
-parts skips most blocks.
+
+Two fingerprints within the radius differ, in the population counts of their four
+16-bit parts, by no more than the radius altogether. So tiles are cut by ranges of these
+four counts (a k-d tree over the cells of equal counts), and what can be told from the
+counts is never compared: pairs of groups of tiles before anything is dealt out, then pairs of
+tiles, then pairs of blocks in them. A tile travels as one row of bytes, once to each pair of
+groups that its group takes part in.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickpath.llm import common
@@ -27,13 +30,14 @@ SHINGLE_WORDS = 4
 MAX_BITS = 4
 HASH_SEED = 42
 
-# Fingerprints in one tile, at most about so many.
-TILE = 1 << 17
+# Fingerprints in one tile, at most about so many, and tiles whose fingerprints a task holds.
+TILE = 1 << 13
+GROUP_TILES = 64
 
 # Largest table of kept rows that is broadcast, in bytes of its stored files.
 BROADCAST_BYTES = 16 << 20
 
-# Rows of a block inside a tile, and shingles whose bits are counted at once.
+# Fingerprints of a block inside a tile, and shingles whose bits are counted at once.
 BLOCK = 512
 COUNTED = 1 << 15
 
@@ -76,8 +80,14 @@ def fingerprints(docs: DataFrame, words_in: int = SHINGLE_WORDS) -> DataFrame:
 class _Forest:
     """Union-find over numpy arrays; the root of a tree is its smallest index."""
 
-    def __init__(self, n: int) -> None:
-        self.parent = np.arange(n)
+    def __init__(self) -> None:
+        self.parent = np.zeros(0, np.int64)
+
+    def grow(self, n: int) -> int:
+        """Take in ``n`` more members and return the first one's index."""
+        first = len(self.parent)
+        self.parent = np.concatenate([self.parent, np.arange(first, first + n)])
+        return first
 
     def roots(self, i: np.ndarray) -> np.ndarray:
         r = self.parent[i]
@@ -102,95 +112,181 @@ def _parts(fps: np.ndarray) -> np.ndarray:
     return np.bitwise_count(np.ascontiguousarray(fps).view(np.uint16).reshape(-1, 4)).astype(np.int16)
 
 
-def _boxes(parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.arange(0, len(parts), BLOCK)
-    return np.minimum.reduceat(parts, at), np.maximum.reduceat(parts, at)
+def _gap(low: np.ndarray, high: np.ndarray, lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
+    """The least difference in part counts between a box and each of many."""
+    return np.maximum(np.maximum(low - highs, lows - high), 0).sum(axis=1)
 
 
-def tile_links(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links between two tiles (or within one) of u64 fingerprints.
+class Tile:
+    """Fingerprints in blocks of near part counts, with the boxes that hold each block's counts and all."""
 
-    Comparing is exhaustive but for blocks whose part counts rule all their pairs
-    out; of the links found only a forest is returned, never a group's pairs.
-    """
-    def ordered(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        parts = _parts(x)
+    def __init__(self, fps: np.ndarray) -> None:
+        parts = _parts(fps)
         order = np.lexsort(parts.T[::-1])
-        return x[order], parts[order]
-
-    a, pa_ = ordered(left)
-    b, pb_ = (a, pa_) if right is None else ordered(right)
-    (lo_a, hi_a), (lo_b, hi_b) = _boxes(pa_), _boxes(pb_)
-    forest = _Forest(len(a) + (0 if right is None else len(b)))
-    shift = 0 if right is None else len(a)
-    for m in range(len(lo_a)):
-        gap = np.maximum(np.maximum(lo_a[m] - hi_b, lo_b - hi_a[m]), 0).sum(axis=1)
-        for n in np.flatnonzero(gap <= radius):
-            if right is None and n < m:
+        cells, first, counts = np.unique(parts[order], axis=0, return_index=True, return_counts=True)
+        blocks = []
+        for of in tile_cells(cells.astype(np.int64), counts, BLOCK):
+            members = np.concatenate([order[first[c]:first[c] + counts[c]] for c in of])
+            blocks += [members[k:k + BLOCK] for k in range(0, len(members), BLOCK)]
+        self.fps = fps[np.concatenate(blocks)]
+        self.ends = np.cumsum([0, *map(len, blocks)])
+        self.low, self.high = np.stack([parts[x].min(axis=0) for x in blocks]), np.stack([parts[x].max(axis=0) for x in blocks])
+        self.least, self.most = self.low.min(axis=0), self.high.max(axis=0)
+        self.first = 0  # its first member in a forest
+
+    def link(self, other: Tile, radius: int, forest: _Forest) -> int:
+        """Link all fingerprints of both (or of one tile with itself) within the radius; how many pairs were compared."""
+        if _gap(self.least, self.most, other.least[None], other.most[None])[0] > radius:
+            return 0
+        compared = 0
+        for m in range(len(self.low)):
+            for n in np.flatnonzero(_gap(self.low[m], self.high[m], other.low, other.high) <= radius):
+                if other is self and n < m:
+                    continue
+                a, b = self.fps[self.ends[m]:self.ends[m + 1]], other.fps[other.ends[n]:other.ends[n + 1]]
+                i, j = np.nonzero(np.bitwise_count(a[:, None] ^ b[None]) <= radius)
+                compared += len(a) * len(b)
+                if other is self and n == m:
+                    i, j = i[i < j], j[i < j]
+                forest.link(i + self.ends[m] + self.first, j + other.ends[n] + other.first)
+        return compared
+
+
+def tile_cells(cells: np.ndarray, counts: np.ndarray, tile: int) -> list[np.ndarray]:
+    """The cells (rows of four part counts) of each leaf of a k-d tree, side by side in the order of the tree.
+
+    A leaf holds at most ``tile`` fingerprints or one cell. Cuts are at the median of the widest part.
+    """
+    out, rest = [], [np.arange(len(cells))]
+    while rest:
+        of = rest.pop()
+        if len(of) <= 1 or counts[of].sum() <= tile:
+            out.append(of)
+            continue
+        part = np.ptp(cells[of], axis=0).argmax()
+        values = cells[of, part]
+        weight = np.bincount(values, counts[of])
+        upto = np.cumsum(weight)
+        cut = min(int(np.searchsorted(upto, upto[-1] / 2)), values.max() - 1)
+        cut = max(cut, values.min())
+        rest += [of[values > cut], of[values <= cut]]
+    return [x for x in out if len(x)]
+
+
+TILE_SCHEMA = "tile long, fps binary"
+
+
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The fingerprints of each tile, which come sorted by tile, as one row."""
+    def row(key: int, fps: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([np.concatenate(fps).tobytes()], pa.binary())], names=["tile", "fps"])
+
+    open_key, fps = None, []
+    for batch in batches:
+        keys, fp = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tile", "fp"))
+        cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+        for s, e in zip(cuts, cuts[1:]):
+            if s == e:
                 continue
-            near = np.bitwise_count(a[m * BLOCK:(m + 1) * BLOCK, None] ^ b[None, n * BLOCK:(n + 1) * BLOCK]) <= radius
-            if right is None and n == m:
-                np.fill_diagonal(near, False)
-            i, j = np.nonzero(near)
-            forest.link(i + m * BLOCK, j + n * BLOCK + shift)
-    everything = a if right is None else np.concatenate([a, b])
-    root = forest.roots(np.arange(len(everything)))
-    tied = np.flatnonzero(root != np.arange(len(everything)))
-    return everything[tied], everything[root[tied]]
+            if open_key is not None and keys[s] != open_key:
+                yield row(open_key, fps)
+                fps = []
+            open_key = int(keys[s])
+            fps.append(fp[s:e].copy())
+    if open_key is not None:
+        yield row(open_key, fps)
+
+
+def compared_groups(rows: Iterator[tuple[int, int, np.ndarray]], radius: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(a, b, pairs compared) for each pair of groups, whose rows (pair, side, fingerprints) follow each other.
+
+    The tiles of side 0 come first and are held; those of side 1 meet them one at a time. A pair
+    without side 1 is a group with itself. Of all links only a spanning forest is given.
+    """
+    def ended(forest: _Forest, members: list[np.ndarray], compared: int) -> tuple[np.ndarray, np.ndarray, int]:
+        everything = np.concatenate(members)
+        root = forest.roots(np.arange(len(everything)))
+        tied = np.flatnonzero(root != np.arange(len(everything)))
+        return everything[tied], everything[root[tied]], compared
+
+    pair, forest, held, members, compared = None, _Forest(), [], [], 0
+    for key, side, fps in rows:
+        if pair is not None and key != pair:
+            yield ended(forest, members, compared)
+            forest, held, members, compared = _Forest(), [], [], 0
+        pair, tile = key, Tile(fps)
+        tile.first = forest.grow(len(fps))
+        members.append(tile.fps)
+        if side != RIGHT:
+            held.append(tile)
+        if side != LEFT:
+            compared += sum(x.link(tile, radius, forest) for x in held)
+    if pair is not None:
+        yield ended(forest, members, compared)
+
+
+# How a tile takes part in a pair of groups: as one of the first, one of the second, or within one group.
+LEFT, RIGHT, WITHIN = 0, 1, 2
 
 
 def _compare(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(key: int, fps: list[np.ndarray], sides: list[np.ndarray]) -> pa.RecordBatch:
-            fp, side = np.concatenate(fps).view(np.uint64), np.concatenate(sides)
-            right = fp[side == 1]
-            a, b = tile_links(fp[side != 1], None if key < 0 else right, radius) if len(right) or key < 0 else (fp[:0], fp[:0])
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
-
-        open_key, fps, sides = None, [], []
-        for batch in batches:  # sorted by key
-            keys, fp, side = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "fp", "side"))
-            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
-            for s, e in zip(cuts, cuts[1:]):
-                if s == e:
-                    continue
-                if open_key is not None and keys[s] != open_key:
-                    yield links(open_key, fps, sides)
-                    fps, sides = [], []
-                open_key = keys[s]
-                fps.append(fp[s:e])
-                sides.append(side[s:e])
-        if open_key is not None:
-            yield links(open_key, fps, sides)
+        def rows() -> Iterator[tuple[int, int, np.ndarray]]:
+            for batch in batches:
+                for key, side, fps in zip(batch.column("pair").to_pylist(), batch.column("side").to_pylist(), batch.column("fps")):
+                    yield key, side, np.frombuffer(fps.as_py(), np.uint64)
+        for a, b, compared in compared_groups(rows(), radius):
+            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(np.zeros(len(a), np.int64))], names=["a", "b", "compared"])
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([compared], pa.int64())], names=["a", "b", "compared"])
     return run
 
 
-def links(distinct: DataFrame, radius: int = MAX_BITS, tile: int = TILE) -> DataFrame:
-    """(a, b): links between distinct fingerprints (column fp), at least a spanning forest of each component.
+def part_count(k: int) -> Column:
+    return F.bit_count(F.shiftrightunsigned("fp", 16 * k).bitwiseAND(F.lit(0xFFFF))).cast("long")
+
+
+def comparisons(distinct: DataFrame, radius: int = MAX_BITS, tile: int = TILE, group_tiles: int = GROUP_TILES) -> tuple[DataFrame, dict[str, int]]:
+    """(a, b, compared) rows: links between distinct fingerprints (column fp), at least a spanning forest of
+    each component, and the counts of pairs that were compared; and how many tiles, groups and dealt tiles there are.
 
-    A cell is a population count (65 of them); a cell with more than ``tile``
-    fingerprints is dealt out by hash to several tiles. Each fingerprint goes to
-    every pair of tiles it takes part in, and a task holds one pair at a time.
+    A cell is four part counts, so at most 17^4 rows of cell counts come to the driver, where they are
+    cut to tiles of about ``tile`` fingerprints; a cell with more is dealt to several tiles by hash.
     """
     spark = distinct.sparkSession
-    cells = distinct.groupBy(F.bit_count("fp").cast("int").alias("ones")).count()
-    n_tiles = {r["ones"]: -(-r["count"] // tile) for r in cells.collect()}  # at most 65 rows
-    # How a row of each cell meets the tiles of each near cell: at most 65 x (2 radius + 1) rows.
-    meets = [(p, n_tiles[p], q, n_tiles[q]) for p in n_tiles for q in n_tiles if abs(p - q) <= radius]
-    plan = spark.createDataFrame(meets, "ones int, own int, other int, others long")
-    rows = distinct.select("fp", F.bit_count("fp").cast("int").alias("ones")).join(F.broadcast(plan), "ones")
-    rows = rows.withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("own")))
-    rows = rows.withColumn("theirs", F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1)))
-    first = F.struct(F.col("ones").cast("long").alias("ones"), F.col("mine").alias("tile"))
-    second = F.struct(F.col("other").cast("long").alias("ones"), F.col("theirs").alias("tile"))
-    low, high = F.least(first, second), F.greatest(first, second)
-    # 7 bits for each cell, 24 for each tile number; negative for a tile with itself
-    key = ((low["ones"] * 128 + high["ones"]) * (1 << 24) + low["tile"]) * (1 << 24) + high["tile"]
-    keyed = rows.select(
-        F.when(first == second, -key - 1).otherwise(key).alias("key"), "fp",
-        F.when(first > second, 1).otherwise(0).cast("byte").alias("side"))
-    dealt = keyed.repartition(common.shuffle_partitions(spark), "key").sortWithinPartitions("key")
-    return dealt.mapInArrow(_compare(radius), "a long, b long").distinct()
+    rows = distinct.select("fp", sum((part_count(k) * 17 ** k for k in range(1, 4)), part_count(0)).alias("cell"))
+    found = sorted((r["cell"], r["count"]) for r in rows.groupBy("cell").count().collect())
+    codes, counts = np.array([c for c, _ in found], np.int64), np.array([n for _, n in found], np.int64)
+    cells = np.stack([codes // 17 ** k % 17 for k in range(4)], axis=1) if found else np.zeros((0, 4), np.int64)
+    first, boxes, places = 0, [], []
+    for of in tile_cells(cells, counts, tile):
+        n = max(1, -(-int(counts[of].sum()) // tile)) if len(of) == 1 else 1
+        places += [(int(codes[c]), first, n) for c in of]
+        boxes += [(cells[of].min(axis=0), cells[of].max(axis=0))] * n
+        first += n
+    starts = range(0, len(boxes), group_tiles)
+    low = np.array([np.min([x for x, _ in boxes[k:k + group_tiles]], axis=0) for k in starts]).reshape(-1, 4)
+    high = np.array([np.max([x for _, x in boxes[k:k + group_tiles]], axis=0) for k in starts]).reshape(-1, 4)
+    meets = []
+    for g in range(len(low)):
+        for h in (np.flatnonzero(_gap(low[g], high[g], low[g:], high[g:]) <= radius) + g).tolist():
+            pair = g * len(low) + h
+            meets += [(g, pair, WITHIN)] if g == h else [(g, pair, LEFT), (h, pair, RIGHT)]
+    place = spark.createDataFrame(places, "cell long, first long, n long")  # a row for each cell
+    parts = common.shuffle_partitions(spark)
+    tiled = rows.join(F.broadcast(place), "cell").select("fp", (F.col("first") + F.pmod(F.xxhash64("fp"), F.col("n"))).alias("tile"))
+    tiles = common.materialise(tiled.repartition(parts, "tile").sortWithinPartitions("tile").mapInArrow(_tiles, TILE_SCHEMA), "simhash-tiles")
+    plan = spark.createDataFrame(meets, "group long, pair long, side int")
+    dealt = tiles.withColumn("group", F.floor(F.col("tile") / group_tiles)).join(broadcast_if_small(plan, BROADCAST_BYTES), "group").select("pair", "side", "tile", "fps")
+    spread = dealt.repartition(parts, "pair").sortWithinPartitions("pair", "side", "tile").select("pair", "side", "fps")
+    out = spread.mapInArrow(_compare(radius), "a long, b long, compared long")
+    sizes = np.bincount(np.arange(len(boxes)) // group_tiles, minlength=len(low)) if boxes else np.zeros(0, int)
+    return out, {"tiles": len(boxes), "groups": len(low), "dealt": int(sum(sizes[g] for g, _, _ in meets))}
+
+
+def links(distinct: DataFrame, radius: int = MAX_BITS, tile: int = TILE, group_tiles: int = GROUP_TILES) -> DataFrame:
+    """(a, b): links between distinct fingerprints (column fp), at least a spanning forest of each component."""
+    found, _ = comparisons(distinct, radius, tile, group_tiles)
+    return found.filter(F.col("a").isNotNull()).select("a", "b").distinct()
 
 
 def components(docs: DataFrame, words_in: int = SHINGLE_WORDS, radius: int = MAX_BITS, tile: int = TILE) -> DataFrame:
