@@ -5,13 +5,14 @@ and again at the weighted median of the dimension that is widest in a node, unti
 each leaf holds the target bytes; leaves are the shards. A group that fills a shard
 can get one of its own first, so that it takes no part in the halving. Medians are found by
 counting: each round sums the weights of a fixed number of bins for all nodes of
-a level at once, keeps the bin that the median falls into, and bins it anew, so
-the driver sees only bin totals and, at the end, a bounded number of rows.
+a level at once, keeps the bin that the median falls into, and bins it anew. The
+driver sees one row for each node of a level, and levels are stored, so neither grows with
+the documents.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickpath.llm import common
@@ -21,8 +22,8 @@ SHARDS = 8
 # Bins of a node in one counting round.
 BINS = 1024
 
-# A median is finished on the driver once its bin holds so many groups or fewer.
-FETCHED = 2000
+# A median is finished group by group once its bin holds so many or fewer.
+FINISHED = 2000
 
 # Metadata of a group, in order of preference where two are equally wide.
 DIMENSIONS = ["n_bytes", "source_code", "lang_code", "first_id"]
@@ -69,15 +70,18 @@ def _medians(groups: DataFrame, nodes: list[dict]) -> list[dict]:
 
     In order of (value, tie) a group goes below the split while twice the weight
     up to and with it, less its own, is within twice the share of the weight that
-    the lower child is to hold: the cut nearest to that share.
+    the lower child is to hold: the cut nearest to that share. Bins and groups are summed up
+    on the executors; one row for each node comes back.
     """
     spark: SparkSession = groups.sparkSession
+    exact = lambda c: (F.col(c) if isinstance(c, str) else c).cast("decimal(38,0)")
+    goal = exact("total") * F.floor(F.col("shares") / 2).cast("decimal(10,0)")
 
     def in_range(of: list[dict]) -> DataFrame:
         """The groups of some nodes whose key x lies in the node's range."""
-        table = spark.createDataFrame([(n["node"], n["dim"], n["key"], n["low"], n["high"], n.get("at")) for n in of],
-                                      "node long, dim string, key string, low long, high long, at long")
-        rows = groups.join(F.broadcast(table), "node")
+        table = spark.createDataFrame([(n["node"], n["dim"], n["key"], n["low"], n["high"], n.get("at"), n["before"], n["weight"], n["shares"]) for n in of],
+                                      "node long, dim string, key string, low long, high long, at long, before long, total long, shares long")
+        rows = groups.join(F.broadcast(table), "node")  # a row for each node of a level, fewer than shards
         rows = rows.withColumn("value", F.coalesce(*(F.when(F.col("dim") == d, F.col(d)) for d in DIMENSIONS)))
         rows = rows.withColumn("x", F.when(F.col("key") == "value", F.col("value")).otherwise(F.col("tie")))
         return rows.filter(F.col("x").between(F.col("low"), F.col("high")) & (F.col("at").isNull() | (F.col("value") == F.col("at"))))
@@ -86,36 +90,31 @@ def _medians(groups: DataFrame, nodes: list[dict]) -> list[dict]:
     done = []
     while todo:
         step = F.floor((F.col("high") - F.col("low")) / BINS).cast("long") + 1
-        bins = in_range(todo).groupBy("node", ((F.col("x") - F.col("low")) / step).cast("long").alias("bin")).agg(
+        bins = in_range(todo).groupBy("node", "before", "total", "shares", ((F.col("x") - F.col("low")) / step).cast("long").alias("bin")).agg(
             F.sum("weight").alias("w"), F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-        found: dict[int, list] = {}
-        for r in bins.collect():  # at most nodes x BINS rows
-            found.setdefault(r["node"], []).append(r)
+        by_bin = Window.partitionBy("node").orderBy("bin")  # at most BINS rows
+        summed = bins.withColumn("upto", F.col("before") + F.sum("w").over(by_bin))
+        # The first bin that reaches the goal, or else the last.
+        reached = exact("upto") * exact("shares") >= goal
+        chosen = summed.groupBy("node").agg(F.coalesce(
+            F.min(F.when(reached, F.struct("bin", "w", "n", "lo", "hi", "upto"))), F.max(F.struct("bin", "w", "n", "lo", "hi", "upto"))).alias("b"))
+        found = {r["node"]: r["b"] for r in chosen.collect()}
         small = []
         for n in todo:
-            goal = n["weight"] * (n["shares"] // 2)
-            for r in sorted(found[n["node"]], key=lambda r: r["bin"]):
-                last = r
-                if (n["before"] + r["w"]) * n["shares"] >= goal:
-                    break
-                n["before"] += r["w"]
-            else:
-                n["before"] -= last["w"]
-            n |= {"low": last["lo"], "high": last["hi"]}
-            if last["n"] <= FETCHED:
+            last = found[n["node"]]
+            n |= {"low": last["lo"], "high": last["hi"], "before": last["upto"] - last["w"]}
+            if last["n"] <= FINISHED:
                 small.append(n)
             elif n["key"] == "value" and last["lo"] == last["hi"]:
                 n |= {"key": "tie", "at": last["lo"], "low": 0, "high": (1 << 60) - 1}
         if small:
-            fetched: dict[int, list] = {}
-            for r in in_range(small).select("node", "value", "tie", "weight").collect():  # at most nodes x FETCHED rows
-                fetched.setdefault(r["node"], []).append((r["value"], r["tie"], r["weight"]))
+            in_order = Window.partitionBy("node").orderBy("value", "tie")  # at most FINISHED rows
+            rows = in_range(small).withColumn("upto", F.col("before") + F.sum("weight").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+            below = exact(F.col("upto") * 2 - F.col("weight")) * exact("shares") <= goal * 2
+            cuts = {r["node"]: r["cut"] for r in rows.filter(below).groupBy("node").agg(F.max(F.struct("value", "tie")).alias("cut")).collect()}
             for n in small:
-                cum, (value, tie) = n["before"], (n["low"] - 1, 0) if n["key"] == "value" else (n["at"], n["low"] - 1)
-                for v, t, w in sorted(fetched[n["node"]]):
-                    if (2 * cum + w) * n["shares"] > 2 * n["weight"] * (n["shares"] // 2):
-                        break
-                    cum, value, tie = cum + w, v, t
+                none = (n["low"] - 1, 0) if n["key"] == "value" else (n["at"], n["low"] - 1)
+                value, tie = cuts.get(n["node"], none)
                 done.append(n | {"value": value, "tie": tie})
         todo = [n for n in todo if n not in small]
     return done
@@ -141,7 +140,7 @@ def assign(groups: DataFrame, shards: int) -> DataFrame:
                 dim = max(DIMENSIONS, key=lambda d: ((r[f"max_{d}"] - r[f"min_{d}"]) / whole[d], -DIMENSIONS.index(d)))
                 nodes.append({"node": r["node"], "dim": dim, "shares": open_nodes[r["node"]], "weight": r["weight"],
                               "least": r[f"min_{dim}"], "most": r[f"max_{dim}"]})
-        placed = _descend(placed, _medians(placed, nodes))
+        placed = common.materialise(_descend(placed, _medians(placed, nodes)), "shard-level")
         open_nodes = {c: k for n, s in open_nodes.items() for c, k in ((2 * n, s // 2), (2 * n + 1, s - s // 2))}
     numbers = groups.sparkSession.createDataFrame(
         [(n, i) for i, n in enumerate(sorted(leaves, key=lambda n: bin(n)[2:]))], "node long, shard int")
@@ -170,12 +169,12 @@ def _alone(groups: DataFrame, shards: int, total: int) -> list[str]:
     return found
 
 
-def shard(docs: DataFrame, target_bytes: int | None = None, shards: int | None = None, alone: bool = False) -> DataFrame:
+def shard(docs: DataFrame, target_bytes: int | None = None, shards: int | None = None, alone: bool = True) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
     Give the target bytes of a leaf, or the number of shards (their target is an
     equal part of all bytes); a node of k targets' bytes is split at the fraction
-    (k // 2) / k of its weight. With ``alone``, each group of at least the target bytes
+    (k // 2) / k of its weight. With ``alone``, as by default, each group of at least the target bytes
     first gets a shard of its own, numbered after the tree's, and the rest is split into
     the other shards with the target that is left. Without, such a group keeps the shares
     of its side of the tree, so shards beside it may be empty or uneven. ``size`` is the text's UTF-8 bytes plus one, so a
