@@ -31,13 +31,13 @@ _OTHERS = sorted(set(range(256)).difference(_PRINTABLE))
 BYTE_SYMBOLS = "".join(chr(256 + _OTHERS.index(b)) if b in _OTHERS else chr(b) for b in range(256))
 
 # Pieces in each of the two generations of the cache.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 160_000
 
 # Longest piece that is remembered, in characters.
 CACHE_PIECE_CHARS = 64
 
 # Characters that are cut into pieces at once.
-CHARS_AT_ONCE = 1 << 20
+CHARS_AT_ONCE = 1 << 19
 
 # Classes of characters in the split pattern.
 LETTER, NUMBER, OTHER, SPACE, EDGE = range(5)
