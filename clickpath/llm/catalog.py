@@ -10,8 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickpath.llm import decontaminate, language, packing, quality, sharding, simhash, suffix_dedup, token_files, tool_calls, weighted_minhash
-from clickpath.llm.common import read
+from clickpath.llm import (decontaminate, filter_audit, language, packing, prefix_trie, quality, sharding, simhash, suffix_dedup, token_files,
+                           tool_calls, warc, weighted_minhash)
+from clickpath.llm.common import materialise, read
 from clickpath.session import new_work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,7 +38,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(read(spark, sf_dir, "documents"), shards=sharding.SHARDS, alone=True)
+    return sharding.shard(read(spark, sf_dir, "documents"), shards=sharding.SHARDS)
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +64,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_work_dir(spark, "warc") + "/archives"
+    warc.write(read(spark, sf_dir, "pages"), path)
+    return warc.captures(materialise(warc.read(spark, path, with_payload=False), "warc-records"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.shared_prefixes(read(spark, sf_dir, "conversations"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(spark, f"{sf_dir.rstrip('/')}/documents.parquet", read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -74,8 +89,15 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_token_files": op9_token_files,
     "op10_simhash": op10_simhash,
+    "op11_warc": op11_warc,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_decontaminate": decontaminate.oracle_sql(),
+    "op7_tool_calls": tool_calls.oracle_sql(),
+    "op11_warc": warc.oracle_sql(),
+    "op12_prefix_trie": prefix_trie.oracle_sql(),
+    "op13_filter_audit": filter_audit.oracle_sql(),
 }

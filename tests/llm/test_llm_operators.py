@@ -315,11 +315,11 @@ def plain_tree(rows, shards):
     return {x[0]: i for i, leaf in enumerate(leaves) for x in leaf}
 
 
-@pytest.mark.parametrize("fetched, bins", [(sharding.FETCHED, sharding.BINS), (1, 2)])
-def test_sharding(docs, nothing, fetched, bins, monkeypatch):
-    monkeypatch.setattr(sharding, "FETCHED", fetched)
+@pytest.mark.parametrize("finished, bins", [(sharding.FINISHED, sharding.BINS), (1, 2)])
+def test_sharding(docs, nothing, finished, bins, monkeypatch):
+    monkeypatch.setattr(sharding, "FINISHED", finished)
     monkeypatch.setattr(sharding, "BINS", bins)
-    rows = sharding.shard(docs, shards=4).collect()
+    rows = sharding.shard(docs, shards=4, alone=False).collect()
     tree = plain_tree([(r[0], r[1] or "", r[2], r[3]) for r in AWKWARD], 4)
     want = collections.Counter((i, len(x.encode()) + 1, zlib.crc32(x.encode()), tree[hashlib.md5(x.encode()).hexdigest()]) for i, x in TEXTS)
     assert collections.Counter((r.doc_id, r.size, r.text_crc32, r.shard) for r in rows) == want
@@ -343,6 +343,15 @@ def test_a_hot_group_leaves_the_other_shards_even(spark, tmp_path):
     assert size[hot.pop()] == sum(len(x[1]) + 1 for x in rows[1000:]) and max(rest) - min(rest) <= 0.05 * total / 8
 
 
+def test_thousands_of_leaves(spark):
+    rows = [(i, f"text {i} " + "x" * (i * 7 % 90)) for i in range(6000)]
+    docs = common.configure(spark).createDataFrame(rows, "doc_id long, text string").repartition(4)
+    size = collections.Counter()
+    for r in sharding.shard(docs, shards=5000).collect():
+        size[r.shard] += r.size
+    assert set(size) <= set(range(5000)) and len(size) > 4000 and sum(size.values()) == sum(len(t) + 1 for _, t in rows)
+
+
 def test_groups_alone_use_up_the_shards(spark, docs, nothing):
     assert sharding.shard(nothing, shards=4, alone=True).count() == 0
     few = spark.createDataFrame([(i, str(i) * (10 ** i)) for i in range(4)] * 2, "doc_id long, text string")
@@ -438,13 +447,32 @@ def test_language_accuracy_and_awkward_rows(spark, docs, nothing):
 
 
 def test_long_text_counts_are_those_of_the_whole(monkeypatch):
-    text = "Straße été naïve " * 50
-    whole = language.counts(text)
-    monkeypatch.setattr(language, "CHARS", 64)
-    assert abs(language.counts(text).sum() - whole.sum()) < 0.2 * whole.sum()
+    texts = ["Straße été naïve " * 50, "  12 a", "x" * 200, "ab " * 63 + "...." * 40 + "c", "é\u0301İΣ ς" * 30]
+    whole = [language.counts(t) for t in texts]
+    for chars in (1, 2, 3, 64):
+        monkeypatch.setattr(language, "CHARS", chars)
+        assert all((language.counts(t) == w).all() for t, w in zip(texts, whole))
     assert language.counts(None) is None and language.counts("12 ?!") is None
 
 
+def test_any_number_of_languages(spark):
+    letters = [chr(0x4E00 + k) for k in range(300)]
+    rows = [(3 * k + j, f"{c} {c}{c} {c}{j}", f"lang{k}") for k, c in enumerate(letters) for j in range(3)]
+    docs = common.configure(spark).createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert len(set(model.languages)) > 250
+    known = [r for r in language.identify(docs, model).collect() if r.lang in model.languages]
+    assert sum(r.lang_pred == r.lang for r in known) / len(known) > 0.9  # hashed n-grams may collide
+
+
+def test_a_language_of_most_rows_gives_a_bounded_sample(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_TEXTS", 20)
+    rows = [(k if k % 3 else None, f"a b c {k}", "en" if k % 10 else "de") for k in range(600)]
+    docs = common.configure(spark).createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    got = collections.Counter(r.lang for r in language._sample(docs).collect())
+    assert got == {"en": 20, "de": 20}
+
+
 def test_tool_calls(spark):
     calls = [(1, 0, "a", "answer", '{"query":"q","limit":3}', None), (1, 0, "b", "rewrite", '{"text":"t", "style":"s"}', ["a"]),
              (1, 0, "c", "rewrite", '{"text":"t"}', ["b", "a"]), (1, 2, "d", "answer", '{"limit":"3"}', ["c", "zzz"]), (1, 3, "e", "browse", "{}", None),
