@@ -15,4 +15,6 @@ PARAMS = {
     "split_hot_rows": 1,
     # staged stream input: one file per 6 days of event time
     "stream_file_ms": 6 * 86400 * 1000,
+    # stream_trend_arrival: seconds between the arrivals of two staged batches
+    "arrival_step_s": 25,
 }

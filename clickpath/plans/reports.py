@@ -84,7 +84,8 @@ STREAM_JOBS = {
     "blacklist": J.BlacklistJob,            # R4 / R4'
     "area_city_ad_daily": J.AreaCityAdDailyJob,  # R5
     "area_top3_ads": J.AreaTopAdsJob,       # R6
-    "ad_trend": J.ClickTrendJob,            # R7
+    "ad_trend": J.ClickTrendJob,            # R7, by time of the click
+    "ad_trend_arrival": J.ArrivalTrendJob,  # R7, by time of arrival
     "ad_user_daily": J.AdUserDailyJob,      # A11 running counts
     "word_count": J.WordCountJob,           # R9
 }

@@ -77,6 +77,12 @@ def stream_trend_latest(spark, d):
     return job.latest()
 
 
+def stream_trend_arrival(spark, d):
+    """The trend by time of arrival: staged batches arrive ``arrival_step_s`` seconds apart."""
+    return _run_ads(spark, d, lambda s, o: J.ArrivalTrendJob(s, o, arrival=lambda b: b * PARAMS["arrival_step_s"]),
+                    "stream-arrival")
+
+
 def stream_word_count(spark, d):
     work = new_work_dir(spark, "stream-words")
     docs = read_table(spark, d, "documents")
@@ -92,5 +98,6 @@ STREAM_QUERIES = {
     "stream_ad_blacklist": stream_ad_blacklist,
     "stream_rejects": stream_rejects,
     "stream_trend_latest": stream_trend_latest,
+    "stream_trend_arrival": stream_trend_arrival,
     "stream_word_count": stream_word_count,
 }

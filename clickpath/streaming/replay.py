@@ -29,10 +29,10 @@ def replay(spark: SparkSession, parts: Sequence[DataFrame], job, work_dir: str)
 
 
 def _finish(job, query, i: int) -> None:
-    job.await_all(query)
-    for q in (query, job.reject_query):
-        if q is not None and q.exception() is not None:
-            raise RuntimeError(f"streaming batch {i} failed: {q.exception()}")
+    try:
+        job.await_all(query)
+    except Exception as failure:
+        raise RuntimeError(f"streaming batch {i} failed: {failure}") from failure
 
 
 def run_by(spark: SparkSession, rows: DataFrame, key: str, job, work_dir: str) -> None:
