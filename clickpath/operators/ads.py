@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpath.functions import floor_div, ranked_map_json
+from clickpath.operators import sketch
 from clickpath.operators.topk import top_k_per_group
 
 # Fixed values (the reference's defaults): blacklist threshold of 100 clicks per
@@ -35,6 +36,20 @@ def area_city_ad_daily(clicks: DataFrame, exclude_users: DataFrame | None = None
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def area_rollup(clicks: DataFrame, exclude_users: DataFrame | None = None) -> DataFrame:
+    """(date, area, city, ad_id, all_cities, n): the rows of R5 and, with a null city and
+    ``all_cities`` true, those that R6 ranks (A9, F10, A10), from one pass.
+
+    Grouping sets: clicks are read once, both levels are counted per task, and one
+    shuffle brings the counts together.
+    """
+    keys = ["date", "area", "city", "ad_id"]
+    totals = [k for k in keys if k != "city"]
+    return (exclude(clicks, exclude_users).groupingSets([keys, totals], *keys)
+            .agg((F.grouping("city") == 1).alias("all_cities"), F.count(F.lit(1)).alias("n"))
+            .select(*keys, "all_cities", "n"))
+
+
 def area_ad_daily(daily: DataFrame) -> DataFrame:
     """(date, area, ad_id, n) from the per-city counts: city dropped from the key."""
     return (daily.groupBy("date", "area", "ad_id")
@@ -85,13 +100,27 @@ def blacklist(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
             .groupBy("user_id").agg(F.min("batch").cast("bigint").alias("first_batch")))
 
 
-def clicks_kept(clicks: DataFrame, listed: DataFrame, batch_col: str = "batch") -> DataFrame:
+def clicks_kept(clicks: DataFrame, listed: DataFrame, batch_col: str = "batch",
+                sketch_words: int | None = None) -> DataFrame:
     """Clicks that pass the blacklist filter: the user is unlisted, or the click's
-    batch is not after the user's listing batch (J2)."""
+    batch is not after the user's listing batch (J2).
+
+    With ``sketch_words`` a sketch of the list of that size is asked first
+    (``operators.sketch``, whose ``words_for`` gives the size for a number of users): clicks
+    it rules out pass where they are, and only the others are shuffled to meet the list.
+    ``listed`` is then read twice and should be stored.
+    """
     fb = F.col("first_batch")
-    return (clicks.join(listed.select("user_id", "first_batch"), "user_id", "left")
-            .where(fb.isNull() | (F.col(batch_col) <= fb))
-            .drop("first_batch"))
+
+    def verified(rows: DataFrame) -> DataFrame:
+        return (rows.join(listed.select("user_id", "first_batch"), "user_id", "left")
+                .where(fb.isNull() | (F.col(batch_col) <= fb)).select(*clicks.columns))
+
+    if not sketch_words:
+        return verified(clicks)
+    bits = sketch.packed(sketch.build(listed, "user_id", sketch_words), sketch_words)
+    maybe = sketch.might_hold(F.col("user_id"), bits, sketch_words)
+    return clicks.where(~maybe).unionByName(verified(clicks.where(maybe)))
 
 
 def click_trend(clicks: DataFrame, window_s: int = TREND_WINDOW_S,

@@ -1,9 +1,7 @@
-"""Row filters and predicates."""
+"""Row filters and predicates."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,13 +44,3 @@ def action_kind() -> Column:
     return (F.when(has_click(), F.lit("click"))
             .when(F.col("order_category_ids").isNotNull(), F.lit("order"))
             .when(F.col("pay_category_ids").isNotNull(), F.lit("pay")))
-
-
-def in_values(col: str, values: Iterable) -> Column:
-    """Membership in a literal list."""
-    return F.col(col).isin(list(values))
-
-
-def at_least(col: str, threshold: int) -> Column:
-    """Inclusive threshold."""
-    return F.col(col) >= F.lit(threshold)

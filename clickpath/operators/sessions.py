@@ -23,8 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpath.functions import floor_div, parse_time_ms
-from clickpath.session import new_work_dir
-from clickpath.sources.tables import broadcast_if_small
+from clickpath.sources.tables import broadcast_if_small, stored
 
 DEFAULT_SLICE_SECONDS = 3600
 DEFAULT_SUB_TIE_ROWS = 1 << 20
@@ -37,16 +36,13 @@ _PREFIXES = ((86_400, 10), (3_600, 13), (60, 16), (0, 19))
 
 
 def _groups_above(rows: DataFrame, keys: list[str], limit: int) -> DataFrame | None:
-    """The key values with more than ``limit`` rows as columns ``_hot_<key>``, stored so
-    that their real size is known; None if there are none."""
-    spark = rows.sparkSession
+    """The key values with more than ``limit`` rows as columns ``_hot_<key>``; None if there
+    are none. Counted once: the list is stored, and both decisions, whether there is any and
+    whether it can be broadcast, are taken from what was stored."""
     big = (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(limit))
            .select(*(F.col(k).alias(f"_hot_{k}") for k in keys), F.lit(True).alias("_hot")))
-    if big.isEmpty():
-        return None
-    path = new_work_dir(spark, "hot-groups") + "/data"
-    big.write.parquet(path)
-    return broadcast_if_small(spark.read.schema(big.schema).parquet(path))
+    big = stored(big, "hot-groups")
+    return None if big.isEmpty() else broadcast_if_small(big)
 
 
 def _is_hot(keys: list[str]) -> F.Column:
@@ -68,19 +64,26 @@ def _by_session(rows: DataFrame) -> DataFrame:
                               F.lead(F.lit(True)).over(w).isNotNull()))
 
 
-def _by_slices(rows: DataFrame, slice_seconds: int, hot_rows: int, sub_tie_rows: int) -> DataFrame:
+def _by_slices(rows: DataFrame, hot: DataFrame, slice_seconds: int, hot_rows: int, sub_tie_rows: int) -> DataFrame:
+    """Successors where the sessions in ``hot`` are cut to slices; all others are one slice.
+
+    Rows are shuffled once, by slice. The borders of a hot session's slices are then
+    stitched; they are read from the same shuffle.
+    """
     prefix = next(n for least, n in _PREFIXES if slice_seconds >= least)
-    rows = rows.withColumn("_slice", F.substring("action_time", 1, prefix))
+    rows = rows.join(hot, _is_hot(["session_id"]), "left").select(
+        *rows.columns, F.col("_hot").isNotNull().alias("_cut"),
+        F.when(F.col("_hot"), F.substring("action_time", 1, prefix)).alias("_slice"))
     groups = ["session_id", "_slice"]
-    hot = _groups_above(rows, groups, hot_rows)
-    if hot is not None:
-        rows = rows.join(hot, _is_hot(groups), "left").select(
+    large = _groups_above(rows.where("_cut"), groups, hot_rows)
+    if large is not None:
+        rows = rows.join(large, F.col("_cut") & _is_hot(groups), "left").select(
             *rows.columns, F.when(F.col("_hot"), F.col("action_time")).alias("_sub_t"),
             F.when(F.col("_hot"), floor_div(F.col("_tie"), sub_tie_rows)).alias("_sub_k"))
         groups = [*groups, "_sub_t", "_sub_k"]
-        # Shuffle on all group keys: a shuffle join on (session, slice) would
-        # otherwise satisfy the window and keep each hot slice in one task.
-        rows = rows.repartition(*groups)
+    # Shuffle on all group keys: a shuffle join on fewer would otherwise satisfy
+    # the window and keep each hot session or slice in one task.
+    rows = rows.repartition(*groups)
     order = [F.col("action_time"), F.col("_tie")]
     w_slice = Window.partitionBy(*groups).orderBy(*order)
     marked = rows.select(
@@ -90,9 +93,10 @@ def _by_slices(rows: DataFrame, slice_seconds: int, hot_rows: int, sub_tie_rows:
         F.lead(F.lit(True)).over(w_slice).isNull().alias("_last"),
         (F.row_number().over(w_slice) == 1).alias("_first"),
     )
-    inner = marked.where(~F.col("_last")).select(*_step(F.col("_next_page"), F.col("_next_t"), F.lit(True)))
+    inner = marked.where(~F.col("_last") | ~F.col("_cut")).select(
+        *_step(F.col("_next_page"), F.col("_next_t"), ~F.col("_last")))
     w_session = Window.partitionBy("session_id").orderBy(*order)
-    borders = (marked.where(F.col("_first") | F.col("_last"))
+    borders = (marked.where(F.col("_cut") & (F.col("_first") | F.col("_last")))
                .select("session_id", "action_time", "_tie", "page_id", "t_ms", "_last"))
     tails = borders.select(
         "*", F.lead("page_id").over(w_session).alias("_next_page"), F.lead("t_ms").over(w_session).alias("_next_t"),
@@ -125,9 +129,7 @@ def session_successors(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SEC
     hot = _groups_above(visits.select("session_id"), ["session_id"], hot_rows)
     if hot is None:
         return _by_session(rows)
-    cold = rows.join(hot, _is_hot(["session_id"]), "left_anti")
-    heavy = rows.join(hot, _is_hot(["session_id"]), "left_semi")
-    return _by_session(cold).unionByName(_by_slices(heavy, slice_seconds, hot_rows, sub_tie_rows))
+    return _by_slices(rows, hot, slice_seconds, hot_rows, sub_tie_rows)
 
 
 def session_steps(visits: DataFrame, slice_seconds: int = DEFAULT_SLICE_SECONDS,

@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpath import operators as O
-from clickpath.functions import (DATE_FMT, TIME_FMT, floor_10s_text, floor_seconds, format_date, format_time,
-                                 is_not_empty, java_split, json_field, parse_time_ms, substring0)
+from clickpath.functions import (DATE_FMT, TIME_FMT, concat_key, floor_10s_text, floor_seconds, format_date, format_time,
+                                 is_not_empty, java_split, json_field, parse_time_lenient_ms, parse_time_ms,
+                                 substring0)
 from clickpath.plans.params import PARAMS
 from clickpath.sources import (ensure_parallelism, format_ad_log, load_ad_clicks, load_visits,
                                parse_ad_log, read_table)
+from clickpath.sources.tables import BROADCAST_MAX_BYTES, broadcast_if_small, plan_size_bytes, rows_to_frame, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,7 +47,7 @@ def visit_preview(spark, d):
 
 def visit_date_range(spark, d):
     lo, hi = PARAMS["date_range"]
-    return O.date_range(_visits(spark, d), lo, hi).select("event_id", "date")
+    return O.date_range(load_visits(spark, d, lo, hi), lo, hi).select("event_id", "date")
 
 
 def str_is_not_empty(spark, d):
@@ -106,7 +108,7 @@ def page_flow_conversion(spark, d):
 
 def page_flow_conversion_dated(spark, d):
     lo, hi = PARAMS["flow_date_range"]
-    return O.page_flow_conversion(O.date_range(_visits(spark, d), lo, hi), PARAMS["flow"])
+    return O.page_flow_conversion(O.date_range(load_visits(spark, d, lo, hi), lo, hi), PARAMS["flow"])
 
 
 def page_flow_conversion_split(spark, d):
@@ -189,6 +191,16 @@ def fn_parse_time(spark, d):
                                     parse_time_ms(F.col("action_time")).alias("action_ms"))
 
 
+def fn_parse_lenient(spark, d):
+    """X3 with a lenient calendar, over times whose fields are moved out of their ranges; a part is no time at all."""
+    t = F.col("action_time")
+    part = lambda at, n, add: (F.substring(t, at, n).cast("int") + add).cast("string")
+    moved = F.concat(F.substring(t, 1, 5), part(6, 2, 11), F.lit("-"), part(9, 2, 40), F.lit(" "),
+                     part(12, 2, 30), F.lit(":"), part(15, 2, 70), F.lit(": "), part(18, 2, 100), F.lit(" and more"))
+    times = F.when(F.col("event_id") % 5 == 0, F.lit("no time")).when(F.col("event_id") % 5 == 1, t).otherwise(moved)
+    return _visits(spark, d).select("event_id", parse_time_lenient_ms(times).alias("action_ms"))
+
+
 def fn_floor_10s(spark, d):
     return _clicks(spark, d).select(
         "event_id", floor_10s_text(format_time(F.col("ts_ms"))).alias("bucket_time"),
@@ -250,11 +262,39 @@ def ad_blacklist_default(spark, d):
 
 
 def ad_clicks_kept(spark, d):
+    """J2 with the list stored once: broadcast if it is small, else behind a sketch of it."""
+    clicks = _clicks(spark, d)
+    listed = stored(O.blacklist(clicks, PARAMS["threshold"]), "blacklist")
+    small = plan_size_bytes(listed) <= BROADCAST_MAX_BYTES
+    words = None if small else O.sketch.words_for(listed.count())
+    return O.clicks_kept(clicks, broadcast_if_small(listed), sketch_words=words).select("event_id", "user_id", "batch")
+
+
+def ad_clicks_kept_sketch(spark, d):
+    """The same, always behind the sketch: only the clicks it does not rule out meet the list."""
     clicks = _clicks(spark, d)
-    return O.clicks_kept(clicks, O.blacklist(clicks, PARAMS["threshold"])).select(
+    listed = stored(O.blacklist(clicks, PARAMS["threshold"]), "blacklist")
+    return O.clicks_kept(clicks, listed, sketch_words=O.sketch.words_for(listed.count())).select(
         "event_id", "user_id", "batch")
 
 
+def ad_key_counts(spark, d):
+    """counts under the reference's joined key, ``date_area_city_ad``."""
+    key = concat_key("_", F.col("date"), F.col("area"), F.col("city"), F.col("ad_id"))
+    return _clicks(spark, d).groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def page_views_by_step(spark, d):
+    """The target flow as local rows, joined to the views of each of its pages."""
+    steps = rows_to_frame(spark, list(enumerate(PARAMS["flow"])), "step bigint, page_id bigint")
+    views = O.page_view_counts(_visits(spark, d), PARAMS["flow"])
+    return views.join(F.broadcast(steps), "page_id").select("step", "page_id", "views")
+
+
+def area_rollup(spark, d):
+    return O.area_rollup(_clicks(spark, d))
+
+
 def ad_trend_10s(spark, d):
     return O.click_trend(_clicks(spark, d))
 
@@ -306,6 +346,11 @@ BATCH_QUERIES: dict[str, Query] = {
     "ad_user_daily": ad_user_daily,
     "ad_blacklist": ad_blacklist,
     "ad_clicks_kept": ad_clicks_kept,
+    "ad_clicks_kept_sketch": ad_clicks_kept_sketch,
+    "area_rollup": area_rollup,
+    "ad_key_counts": ad_key_counts,
+    "page_views_by_step": page_views_by_step,
+    "fn_parse_lenient": fn_parse_lenient,
     "ad_trend_10s": ad_trend_10s,
     "word_count": word_count,
 }

@@ -282,10 +282,32 @@ def oracle_sql() -> dict[str, str]:
         "stream_trend_latest": f"""{a}, b AS (SELECT ts_ms // 10000 * 10 AS bucket, count(*) AS n FROM ad_clicks GROUP BY 1)
             SELECT row_number() OVER (ORDER BY bucket) AS pos, bucket, n FROM b
             WHERE bucket > (SELECT max(bucket) FROM b) - 60""",
+        "stream_trend_arrival": f"""{a}, spans AS (SELECT span, (row_number() OVER (ORDER BY span) - 1) * {PARAMS['arrival_step_s']} // 10 AS slot
+                FROM (SELECT DISTINCT ts_ms // {PARAMS['stream_file_ms']} AS span FROM ad_clicks)),
+            c AS (SELECT slot, ts_ms // 10000 * 10 AS bucket, count(*) AS n FROM ad_clicks
+                  JOIN spans ON span = ts_ms // {PARAMS['stream_file_ms']} GROUP BY ALL)
+            SELECT (s.slot + 1) * 10 AS window_end, c.bucket, sum(c.n)::BIGINT AS n
+            FROM (SELECT DISTINCT slot FROM spans) s JOIN c ON c.slot > s.slot - 6 AND c.slot <= s.slot GROUP BY ALL""",
         "fn_format_date": "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events",
         "ad_clicks_kept": f"""{a}, {_blacklist()} SELECT c.event_id, c.user_id, c.batch
             FROM ad_clicks c LEFT JOIN blacklist b ON c.user_id = b.user_id
             WHERE b.user_id IS NULL OR c.batch <= b.first_batch""",
+        "ad_clicks_kept_sketch": f"""{a}, {_blacklist()} SELECT c.event_id, c.user_id, c.batch
+            FROM ad_clicks c LEFT JOIN blacklist b ON c.user_id = b.user_id
+            WHERE b.user_id IS NULL OR c.batch <= b.first_batch""",
+        "ad_key_counts": f"{a} SELECT concat_ws('_', date, area, city, ad_id) AS key, count(*) AS n FROM ad_clicks GROUP BY 1",
+        "page_views_by_step": f"""{v} SELECT s.step, s.page_id, count(*) AS views FROM visits
+            JOIN (SELECT unnest(range({len(FLOW)})) AS step, unnest([{FLOW_LIST}]) AS page_id) s USING (page_id) GROUP BY 1, 2""",
+        "area_rollup": f"""{a} SELECT date, area, city, ad_id, grouping(city) = 1 AS all_cities, count(*) AS n
+            FROM ad_clicks GROUP BY GROUPING SETS ((date, area, city, ad_id), (date, area, ad_id))""",
+        "fn_parse_lenient": f"""{v}, t AS (SELECT event_id, strptime(action_time, '%Y-%m-%d %H:%M:%S') AS t FROM visits)
+            SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 5 = 1 THEN epoch_ms(t) ELSE
+                epoch_ms(make_date(year(t) + (month(t) + 10) // 12, (month(t) + 10) % 12 + 1, 1)
+                         + to_days((day(t) + 39)::INT) + to_hours(hour(t) + 30) + to_minutes(minute(t) + 70) + to_seconds(second(t) + 100))
+                END AS action_ms FROM t""",
+        "table_atomic_replace": f"""{v} SELECT 'before' AS reader, date, count(*) AS n FROM visits WHERE page_id <= 5 GROUP BY date
+            UNION ALL SELECT 'after', date, count(*) FROM visits GROUP BY date""",
+        "page_flow_bucketed": f"{v}, {_flow_conversion('visits')}",
         "ad_trend_10s": f"{a} {TREND}",
         "word_count": WORDS,
         # sinks: each must read back exactly what its source query computes

@@ -15,7 +15,7 @@ from clickpath.functions import floor_div
 from clickpath.plans.catalog import _clicks, _lines, _visits
 from clickpath.plans.params import PARAMS
 from clickpath.session import new_work_dir
-from clickpath.sinks import IncrementLog, ReplaceLog, SetLog, overwrite_table
+from clickpath.sinks import IncrementLog, ReplaceLog, SetLog, overwrite_table, publish, read_published, write_bucketed
 from clickpath.sources import parse_ad_log, publish_lines
 
 
@@ -29,6 +29,27 @@ def table_overwrite_roundtrip(spark, d):
     return spark.table(name).select(*visits.columns)
 
 
+def table_atomic_replace(spark, d):
+    """A reader opened before a replacement sees the rows of before, one opened after it the new ones."""
+    path = new_work_dir(spark, "published") + "/visits"
+    visits = _visits(spark, d)
+    publish(visits.where("page_id <= 5"), path, partition_by=["date"])
+    before = read_published(spark, path)
+    publish(visits, path, partition_by=["date"])
+    after = read_published(spark, path)
+    by_day = [df.groupBy(F.col("date").cast("string").alias("date")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("reader"), "date", "n")
+              for name, df in (("before", before), ("after", after))]
+    return by_day[0].union(by_day[1])
+
+
+def page_flow_bucketed(spark, d):
+    """R3 over visits stored in buckets of sessions: no shuffle of visit rows."""
+    name = f"clickpath_bucketed_{uuid.uuid4().hex[:8]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_bucketed(_visits(spark, d), name, "session_id", ["action_time"], buckets, path=f"{new_work_dir(spark, 'bucketed')}/{name}")
+    return O.page_flow_conversion(spark.table(name), PARAMS["flow"])
+
+
 def ad_log_publish_roundtrip(spark, d):
     """S7 + S4 + S5: publish log lines as text files, read them back, parse."""
     work = new_work_dir(spark, "publish")
@@ -79,6 +100,8 @@ def sink_hash_set(spark, d):
 
 ROUNDTRIP_QUERIES = {
     "table_overwrite_roundtrip": table_overwrite_roundtrip,
+    "table_atomic_replace": table_atomic_replace,
+    "page_flow_bucketed": page_flow_bucketed,
     "ad_log_publish_roundtrip": ad_log_publish_roundtrip,
     "sink_set_add": sink_set_add,
     "sink_hash_increment": sink_hash_increment,

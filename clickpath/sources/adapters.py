@@ -9,6 +9,8 @@ Pure column expressions, so Spark and the SQL oracle see the same rows:
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from clickpath.functions import DATE_FMT, TIME_FMT
@@ -24,6 +26,8 @@ N_NATIONS = 25        # nation = user_id % 25
 N_ADS = 6             # ad_id = k % 6 + 1
 BATCH_MS = 5000       # batch = ts_ms div 5000 (5 s micro-batch)
 
+_DAY = re.compile(r"[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|1[0-9]|2[0-8])")  # days that every month has
+
 
 # Both mappings are written as SQL expressions: one projection is one JVM call,
 # where the equivalent Column-by-Column build costs hundreds of round trips per
@@ -63,8 +67,16 @@ VISIT_EXPRS = [
 ]
 
 
-def visits_from_events(events: DataFrame) -> DataFrame:
-    """``events`` -> visit actions (FIXTURES.md section 3)."""
+def visits_from_events(events: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """``events`` -> visit actions (FIXTURES.md section 3).
+
+    ``start`` and ``end`` (``yyyy-MM-dd``, inclusive) bound the days on ``ts`` itself, so
+    that the range reaches the scan; a bound that isn't such a date is not used.
+    """
+    kind = dict(events.dtypes)["ts"]
+    for bound, test in ((start, "ts >= CAST('{0}' AS {1})"), (end, "ts < CAST(date_add(DATE'{0}', 1) AS {1})")):
+        if bound is not None and _DAY.fullmatch(bound):
+            events = events.where(test.format(bound, kind))
     return (events.selectExpr("event_id", "user_id", "event_type",
                               "CAST(ts AS TIMESTAMP) AS ts", f"{_K} AS k")
             .selectExpr(*VISIT_EXPRS))
@@ -92,8 +104,8 @@ def ad_clicks_from_events(events: DataFrame, nation: DataFrame, region: DataFram
     )
 
 
-def load_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return visits_from_events(read_table(spark, sf_dir, "events"))
+def load_visits(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    return visits_from_events(read_table(spark, sf_dir, "events"), start, end)
 
 
 def load_ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:

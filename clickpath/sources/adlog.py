@@ -62,9 +62,14 @@ def format_ad_log(clicks: DataFrame) -> F.Column:
 
 
 def publish_lines(lines: DataFrame, path: str, value_col: str = "value") -> None:
-    """Write lines as text files (the batch stand-in for producing to a topic, S7).
+    """Write lines as text files (the batch stand-in for producing to a topic, S7)."""
+    lines.select(F.col(value_col).alias("value")).write.mode("overwrite").text(path)
+
 
-    With a Kafka connector on the classpath use
-    ``lines.selectExpr("value").write.format("kafka")`` instead.
+def publish_kafka(lines: DataFrame, bootstrap_servers: str, topic: str, value_col: str = "value") -> None:
+    """Produce lines to a Kafka topic, one record each.
+
+    Needs the Spark Kafka connector on the classpath; untested here, where there is none.
     """
-    lines.select(F.col(value_col).alias("value")).write.mode("overwrite").text(path)
+    (lines.select(F.col(value_col).cast("string").alias("value")).write.format("kafka")
+     .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic).save())

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpath import schema as S
+from clickpath.session import new_work_dir
 
 # Largest side we broadcast on a planner-size check (plan statistics, no job run).
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
@@ -60,6 +61,13 @@ def read_visit_actions(spark: SparkSession, source: str) -> DataFrame:
     return S.conform(df, S.VISIT_ACTION, keep_extra=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A frame written to the shared work folder and read again, so that its real size is known."""
+    path = new_work_dir(df.sparkSession, name) + "/data"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def rows_to_frame(spark: SparkSession, rows, schema) -> DataFrame:
     """A small local collection as a DataFrame (S8); for fixtures and parameters only."""
     return spark.createDataFrame(rows, schema)
