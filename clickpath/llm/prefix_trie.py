@@ -243,7 +243,8 @@ def _blocks(segment: int):
 
 
 def subtree_sums(nodes: DataFrame, names: list[str]) -> DataFrame:
-    """``nodes`` (key, parent, and the numbers ``names``) as (key, names): each summed over the node's subtree.
+    """``nodes`` (key, parent, and the numbers ``names``) of a tree with the root ROOT as (key, names): each
+    summed over the node's subtree.
 
     As many rounds as the logarithm of the depth, each stored. Sums are combined before they
     are shuffled, so a node of very many children is no hot group.
@@ -252,7 +253,10 @@ def subtree_sums(nodes: DataFrame, names: list[str]) -> DataFrame:
     while not acc.filter(F.col("up").isNotNull()).isEmpty():
         below = acc.filter(F.col("up").isNotNull()).groupBy(F.col("up").alias("key")).agg(*(F.sum(n).alias(n + "_below") for n in names))
         beyond = acc.select(F.col("key").alias("up"), F.col("up").alias("beyond"))
-        jumped = acc.join(beyond, "up", "left").select("key", F.col("beyond").alias("up"), *names)
+        # Nodes that stand below the root, or have nothing left to jump to, are very many and need no join.
+        far = F.col("up").isNotNull() & (F.col("up") != F.lit(ROOT))
+        jumped = acc.filter(far).join(beyond, "up").select("key", F.col("beyond").alias("up"), *names).union(
+            acc.filter(~far).select("key", F.lit(None).cast("binary").alias("up"), *names))
         acc = common.materialise(jumped.join(below, "key", "left").select(
             "key", "up", *((F.col(n) + F.coalesce(n + "_below", F.lit(0))).alias(n) for n in names)), "subtrees")
     return acc.select("key", *names)
@@ -332,8 +336,14 @@ def trie(turns: DataFrame, ids: DataFrame, segment: int = SEGMENT) -> DataFrame:
     ended = found.filter(F.col("parent").isNull()).select("key", "conv_id")
     turnless = ids.join(ended.select("conv_id"), "conv_id", "left_anti").select(F.lit(ROOT).alias("key"), "conv_id")
     hashed = ends(common.materialise(ended.union(turnless), "trie-ends"))
-    above = nodes.select(F.col("key").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
-    return nodes.join(above, "parent", "left").join(sums, "key").join(hashed, "key", "left").select(
+    # The root is the parent of very many nodes, so it meets them as a single broadcast row.
+    above = nodes.filter(F.col("key") != F.lit(ROOT)).select(F.col("key").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
+    first = F.col("parent") == F.lit(ROOT)
+    deeper = nodes.filter(F.col("parent").isNotNull() & ~first).join(above, "parent").select(*nodes.columns, "parent_conv_id")
+    top = nodes.filter(first).join(F.broadcast(root.select(F.lit(ROOT).alias("parent"), F.col("conv_id").alias("parent_conv_id"))), "parent")
+    placed = deeper.union(top.select(*nodes.columns, "parent_conv_id")).union(
+        nodes.filter(F.col("parent").isNull()).withColumn("parent_conv_id", F.lit(None).cast("long")))
+    return placed.join(sums, "key").join(hashed, "key", "left").select(
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
         F.coalesce("ends_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("ends_sha256"))
 
