@@ -14,6 +14,7 @@ groups that its group takes part in.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ SHINGLE_WORDS = 4
 MAX_BITS = 4
 HASH_SEED = 42
 
-# Fingerprints in one tile, at most about so many, and tiles whose fingerprints a task holds.
+# Fingerprints in one tile, at most about so many, and tiles whose fingerprints a task holds at most.
 TILE = 1 << 13
 GROUP_TILES = 64
 
@@ -263,6 +264,9 @@ def comparisons(distinct: DataFrame, radius: int = MAX_BITS, tile: int = TILE, g
         places += [(int(codes[c]), first, n) for c in of]
         boxes += [(cells[of].min(axis=0), cells[of].max(axis=0))] * n
         first += n
+    parts = common.shuffle_partitions(spark)
+    # Smaller groups where there are few tiles, so that their pairs keep all tasks busy.
+    group_tiles = max(1, min(group_tiles, -(-len(boxes) // (2 * math.isqrt(parts) + 1))))
     starts = range(0, len(boxes), group_tiles)
     low = np.array([np.min([x for x, _ in boxes[k:k + group_tiles]], axis=0) for k in starts]).reshape(-1, 4)
     high = np.array([np.max([x for _, x in boxes[k:k + group_tiles]], axis=0) for k in starts]).reshape(-1, 4)
@@ -272,7 +276,6 @@ def comparisons(distinct: DataFrame, radius: int = MAX_BITS, tile: int = TILE, g
             pair = g * len(low) + h
             meets += [(g, pair, WITHIN)] if g == h else [(g, pair, LEFT), (h, pair, RIGHT)]
     place = spark.createDataFrame(places, "cell long, first long, n long")  # a row for each cell
-    parts = common.shuffle_partitions(spark)
     tiled = rows.join(F.broadcast(place), "cell").select("fp", (F.col("first") + F.pmod(F.xxhash64("fp"), F.col("n"))).alias("tile"))
     tiles = common.materialise(tiled.repartition(parts, "tile").sortWithinPartitions("tile").mapInArrow(_tiles, TILE_SCHEMA), "simhash-tiles")
     plan = spark.createDataFrame(meets, "group long, pair long, side int")
@@ -299,7 +302,9 @@ def components(docs: DataFrame, words_in: int = SHINGLE_WORDS, radius: int = MAX
     tied = members.join(lowest, "root").select(F.col("node").alias("fp"), "root", "component_id")
     ids = distinct.join(tied, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
-    return prints.join(ids, "fp").select("doc_id", "h", "fp", "root", "component_id")
+    # Stored, so that a fingerprint of very many rows meets a plain shuffle that can be split.
+    ids = common.materialise(ids, "simhash-ids")
+    return prints.join(broadcast_if_small(ids, BROADCAST_BYTES), "fp").select("doc_id", "h", "fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, words_in: int = SHINGLE_WORDS, radius: int = MAX_BITS, tile: int = TILE) -> DataFrame:
