@@ -269,8 +269,9 @@ def test_simhash_tiles_deal_less_than_all_pairs(spark):
         links = {tuple(sorted((at[r.a], at[r.b]))) for r in rows if r.a is not None}
         assert links <= want and components_of(links) == components_of(want)
         compared = sum(r.compared for r in rows if r.a is None)
+        assert size["groups"] == 1 or size["dealt"] <= size["tiles"] * (size["groups"] + 1)
         if tile == 64:
-            assert size["tiles"] > 40 and compared < 0.75 * len(every) ** 2 / 2
+            assert size["groups"] > 1 and size["tiles"] > 40 and compared < 0.75 * len(every) ** 2 / 2
 
 
 def components_of(links):

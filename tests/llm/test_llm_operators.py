@@ -4,6 +4,7 @@ import collections
 import hashlib
 import json
 import os
+import random
 import re
 import zlib
 
@@ -60,6 +61,18 @@ def test_encoder_equals_the_library():
         assert [np.frombuffer(enc.encode(x), "<u4").tolist() for x in texts] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_pieces_equal_the_librarys_on_any_white_space_and_quotes(monkeypatch):
+    plain, enc = tokens.Tokenizer.from_file(tokens.default_tokenizer()), tokens.encoder(tokens.default_tokenizer())
+    rng, parts = random.Random(3), [" ", " ", "\n", "\t", "a", "B", ".", "'s", "'", "ll", "re", "ü", "9", "漢", "\x1c", "\xa0", "\u3000", "\r", "<|endoftext|>", "foo", "\u0301", "  ", "😀"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(4000)]
+    want = [plain.encode(x, add_special_tokens=False).ids for x in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode_all(texts)] == want
+    monkeypatch.setattr(tokens, "CHARS_AT_ONCE", 40)  # texts of several stretches
+    for k in range(0, len(texts), 40):
+        whole = "".join(texts[k:k + 40])
+        assert np.frombuffer(enc.encode(whole), "<u4").tolist() == plain.encode(whole, add_special_tokens=False).ids
+
+
 def test_added_tokens_have_their_ids(spark, tmp_path):
     path = tokens.default_tokenizer()
     plain, enc = tokens.Tokenizer.from_file(path), tokens.encoder(path)
@@ -393,6 +406,19 @@ def test_collision_rate_is_the_generalised_jaccard_similarity(spark):
     assert near[0] == near[1] and abs(near[0] - want) < 0.04
 
 
+def test_likeness_at_the_samples_in_use(spark):
+    """32 samples: the error of a likeness stays near its standard error, without bias."""
+    rng, texts = random.Random(4), []
+    for _ in range(60):
+        texts.append(" ".join(f"w{rng.randrange(120)}" for _ in range(rng.randint(60, 200))))
+    df = common.configure(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    off = []
+    for r in weighted_minhash.fingerprints(df).collect():
+        a, b = (collections.Counter(texts[i].split()) for i in (r.doc_id, (r.doc_id - 1) % len(texts)))
+        off.append(r.near_next - sum((a & b).values()) / sum((a | b).values()))
+    assert np.sqrt(np.mean(np.square(off))) < 0.11 and abs(np.mean(off)) < 0.04
+
+
 def test_quality_accuracy_and_awkward_rows(spark, docs, nothing):
     labels = common.read(spark, SF.replace("0.001", "0.01"), "labels")
     corpus = common.read(spark, SF.replace("0.001", "0.01"), "documents")
@@ -513,6 +539,90 @@ def test_calls_are_ordered_across_turns(spark):
                    "beside": (5, late), "after": (5, "ok"), **{f"n{i}": (3 + i, "ok") for i in range(40)}}
 
 
+def test_a_ladder_of_calls_takes_few_rounds(spark, monkeypatch):
+    """Each call waits for the three before it; the frames stored grow with the logarithm of the length only."""
+    stored, keep = [], common.materialise
+    monkeypatch.setattr(common, "materialise", lambda df, name: stored.append(name) or keep(df, name))
+    frames = []
+    for n in (16, 256):
+        stored.clear()
+        rows = [(f"c{i:04d}", i, [f"c{j:04d}" for j in range(max(0, i - 3), i)]) for i in range(n)] + [("x", 5, ["y"]), ("y", 6, ["x", "c0001"]), ("z", 7, ["x", "y"])]
+        got = {r.key: (r.level, r.late) for r in tool_calls.levels(spark.createDataFrame(rows, "key string, turn long, after array<string>")).collect()}
+        assert got == {f"c{i:04d}": (i, False) for i in range(n)}
+        frames.append(len(stored))
+    assert frames[1] <= frames[0] + 6
+
+
+def test_needless_waits_change_no_level(spark):
+    rng = random.Random(7)
+    for _ in range(3):
+        n = 24
+        waits = {i: [j for j in rng.sample(range(n), rng.randrange(4)) if j < i or rng.random() < 0.1] for i in range(n)}
+        level = {}
+        for _ in range(n + 1):
+            level |= {i: max((level[j] + 1 for j in w), default=0) for i, w in waits.items() if i not in level and all(j in level for j in w)}
+        rows = [(f"k{i:02d}", i, [f"k{j:02d}" for j in w]) for i, w in waits.items()]
+        got = {int(r.key[1:]): r.level for r in tool_calls.levels(spark.createDataFrame(rows, "key string, turn long, after array<string>")).collect()}
+        assert got == level
+
+
+def test_columns_of_clashing_names(spark):
+    common.configure(spark)
+    docs = spark.createDataFrame([(1, BASE, 5, 6, 7, 8, 9), (2, BASE + " x", 5, 6, 7, 8, 9)], "doc_id long, text string, fp long, cell long, tile long, root long, component_id long")
+    assert {r.component_id for r in simhash.near_duplicates(docs).collect()} <= {1, 2}
+    assert simhash.representatives(docs).columns == docs.columns
+    c = spark.createDataFrame([(1, 0, "a", "rewrite", '{"text":"t"}', ["b"], "k", 1, "e"), (1, 0, "b", "rewrite", '{"text":"t"}', None, "k", 1, "e")],
+                              "conv_id long, turn long, call_id string, tool string, arguments string, after array<string>, key string, level int, errors string")
+    r = spark.createDataFrame([(1, 1, "a", "x", "k", 4)], "conv_id long, turn long, call_id string, content string, key string, n_results int")
+    assert {x.call_id: (x.level, x.status, x.n_results) for x in tool_calls.link(c, r, tool_calls.SCHEMAS).collect()} == {"a": (1, "ok", 1), "b": (0, "no result", 0)}
+
+
+def test_one_text_of_three_million_characters(spark, tmp_path, monkeypatch):
+    rng = random.Random(11)
+    shared = "".join(rng.choice("abcdef ghij") for _ in range(600))
+    long = "".join(rng.choice(["wo", "é", " ", "rd ", "漢", ".\n", "x1 "]) for _ in range(1_900_000))
+    long = f"{long[:1000]}<{shared}>{long[1000:2_000_000]}({shared}){long[2_000_000:]}"  # matches end at the brackets
+    assert len(long) > 3_000_000
+    rows = [(1, long, "en"), (2, f"short [{shared}", "en"), (3, "zwei Wörter", "de")]
+    df = common.configure(spark).createDataFrame(rows, "doc_id long, text string, lang string")
+    plain = tokens.Tokenizer.from_file(tokens.default_tokenizer())
+    ids = {i: plain.encode(t, add_special_tokens=False).ids for i, t, _ in rows}
+    token_files.write(df, str(tmp_path / "ids"))
+    got = {r.doc_id: r.ids for r in token_files.read(spark, str(tmp_path / "ids")).collect()}
+    assert {i: np.frombuffer(x, "<u4").tolist() for i, x in got.items()} == {i: [*x, token_files.END_ID] for i, x in ids.items()}
+    pieces = sorted((r.doc_id, r.start, bytes(r.ids)) for r in packing.pack(df).collect())
+    assert {i: b"".join(x for d, _, x in pieces if d == i) for i in ids} == {i: np.array([*x, packing.END_ID], "<u4").tobytes() for i, x in ids.items()}
+    cut = {r.doc_id: bytes(r.kept) for r in suffix_dedup.dedup(df).collect()}
+    assert cut == {i: t.replace(shared, "").encode() for i, t, _ in rows}
+    net = quality.Network.new(np.random.default_rng(0))
+    assert {r.doc_id: round(r.score, 6) for r in quality.scored(df, net).collect()} == {i: round(float(quality.score(net, [t.encode()])[0]), 6) for i, t, _ in rows}
+    model = language.fit(df)
+    found = {r.doc_id: (r.lang_pred, round(r.score, 5)) for r in language.identify(df, model).collect()}
+    monkeypatch.setattr(language, "CHARS", 1 << 30)
+    assert found == {i: (model.nearest(t)[0], round(model.nearest(t)[1], 5)) for i, t, _ in rows}
+
+
+def test_passages_of_51_words_are_cut_and_shorter_ones_are_not(spark):
+    rng = random.Random(9)
+
+    def words(n, least=3):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(least, 5))) for _ in range(n))
+    passages = {n: words(n) for n in (30, 45, 50, 51, 55, 60)}
+    assert all(200 <= len(passages[n]) < 400 for n in (51, 55, 60))
+    rows = []
+    for n, p in passages.items():
+        for k in range(3):
+            rows.append((n * 10 + k, f"{words(80)} {p} {words(80)}", 0))
+    clean = [(5000 + k, words(150), 0) for k in range(20)]
+    df = common.configure(spark).createDataFrame(rows + clean + [(None, None, 0), (1, "", 0)], "doc_id long, text string, n_chars long")
+    out = {r.doc_id: r for r in pipeline.repeated_passages(spark, df, "").collect()}
+    for i, t, _ in rows:
+        n = i // 10
+        assert (passages[n] in out[i].text) == (n <= 50) and out[i].n_chars == len(out[i].text)
+        assert out[i].text == t or len(t) - len(out[i].text) - len(passages[n]) <= 4  # a blank or an equal letter at the edges
+    assert all(out[i].text == t for i, t, _ in clean) and out[None].text is None and out[1].text == ""
+
+
 def test_pipeline_stages_on_awkward_rows(spark, tmp_path):
     assert [n for n, _ in pipeline.STAGES] == ["quality classifier", "SimHash near-dedup", "suffix-array dedup", "benchmark decontamination", "packing"]
     for name, rows in (("full", AWKWARD), ("empty", [])):
@@ -534,9 +644,10 @@ def test_pipeline_stages_on_awkward_rows(spark, tmp_path):
 def test_queries_match_their_sql(spark):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "labels", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     for name, sql in catalog.ORACLE_SQL.items():
         cur = con.execute(sql)
         cols = [c[0] for c in cur.description]
-        assert collected(catalog.QUERIES[name](spark, SF).select(*cols)) == sorted(cur.fetchall(), key=repr), name
+        got, want = (collections.Counter(map(tuple, rows)) for rows in (catalog.QUERIES[name](spark, SF).select(*cols).collect(), cur.fetchall()))
+        assert got == want, name
