@@ -38,8 +38,9 @@ from clickpath.session import remove_dir
 BATCH_COL = "batch_id"
 BUCKET_COL = "_bucket"
 
-# Snapshots that compaction leaves. The second newest is what the newest batch is replayed from.
-KEEP_SNAPSHOTS = 2
+# Snapshots that compaction leaves. The second newest is what the newest batch is replayed from;
+# one more gives readers that opened the log some time.
+KEEP_SNAPSHOTS = 3
 
 
 def _schema(schema: T.StructType | str) -> T.StructType:
