@@ -185,6 +185,12 @@ STREAM_FILE_MS = PARAMS["stream_file_ms"]
 STREAM_BATCH = f"(dense_rank() OVER (ORDER BY ts_ms // {STREAM_FILE_MS}) - 1)"
 
 
+# The clicks of users who had not been listed by an earlier micro-batch.
+STREAM_KEPT = f"""kept AS (
+  SELECT c.* FROM (SELECT *, {STREAM_BATCH} AS stream_batch FROM ad_clicks) c LEFT JOIN blacklist b ON c.user_id = b.user_id
+  WHERE b.user_id IS NULL OR c.stream_batch <= b.first_batch)"""
+
+
 def oracle_sql() -> dict[str, str]:
     v = f"WITH {VISITS}"
     a = f"WITH {AD_CLICKS}"
@@ -322,6 +328,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_area_top3_ads": f"{al}, {AREA_CITY}, {AREA_AD}, {TOP3} {TOP3_JSON}",
         "stream_ad_trend_10s": f"{al} {TREND}",
         "stream_ad_blacklist": f"{al}, {_blacklist(STREAM_BATCH)} SELECT * FROM blacklist",
+        "stream_area_top3_listed": f"{al}, {_blacklist(STREAM_BATCH)}, {STREAM_KEPT}, "
+                                   f"{AREA_CITY.replace('ad_clicks', 'kept')}, {AREA_AD}, {TOP3} {TOP3_JSON}",
+        "stream_trend_listed": f"{al}, {_blacklist(STREAM_BATCH)}, {STREAM_KEPT} {TREND.replace('ad_clicks', 'kept')}",
         "stream_word_count": WORDS,
     }
     return q

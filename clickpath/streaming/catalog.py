@@ -51,6 +51,24 @@ def stream_ad_blacklist(spark, d):
                     "stream-blacklist")
 
 
+def _run_behind_list(spark, d, job_class, name):
+    """A job that asks in each batch who had been listed before it, over the same batches."""
+    work = new_work_dir(spark, f"{name}-list")
+    listing = J.BlacklistJob(spark, f"{work}/job", PARAMS["threshold"])
+    run_by(spark, _spans(spark, d), "_span", listing, work)
+    return _run_ads(spark, d, lambda s, o: job_class(s, o, exclude_users=listing.listed_before), name)
+
+
+def stream_area_top3_listed(spark, d):
+    """Top ads of each area without the clicks of users listed before."""
+    return _run_behind_list(spark, d, J.AreaTopAdsJob, "stream-top3-listed")
+
+
+def stream_trend_listed(spark, d):
+    """The click trend without the clicks of users listed before."""
+    return _run_behind_list(spark, d, J.ClickTrendJob, "stream-trend-listed")
+
+
 def _damaged(spark, d):
     """The lines with every seventh cut short, so that it does not parse."""
     bad = F.substring("value", 1, 15)
@@ -96,6 +114,8 @@ STREAM_QUERIES = {
     "stream_area_top3_ads": stream_area_top3_ads,
     "stream_ad_trend_10s": stream_ad_trend_10s,
     "stream_ad_blacklist": stream_ad_blacklist,
+    "stream_area_top3_listed": stream_area_top3_listed,
+    "stream_trend_listed": stream_trend_listed,
     "stream_rejects": stream_rejects,
     "stream_trend_latest": stream_trend_latest,
     "stream_trend_arrival": stream_trend_arrival,

@@ -9,6 +9,11 @@ overwrites itself, so results stay exact under task and driver restarts.
 Every log, that of the rejected lines too, is compacted each ``compact_every``
 batches, so a job that runs for months lists and reads a bounded number of folders.
 
+A job's ``exclude_users`` is either a DataFrame, the same for all batches, or a function
+``(clicks, batch_id) -> users`` that is asked in each batch, so that the list may grow while
+the job runs (``BlacklistJob.listed_before`` is one). A replayed batch asks again and
+replaces all that it wrote.
+
 The reference's 5-second micro-batch is ``trigger(processingTime="5 seconds")``;
 tests use ``availableNow``.
 """
@@ -35,6 +40,8 @@ FIVE_SECONDS = {"processingTime": "5 seconds"}
 COMPACT_EVERY = 100
 LOOKUP_BUCKETS = 16
 
+Exclusions = DataFrame | Callable[[DataFrame, int], DataFrame]
+
 
 class _Job:
     output_mode = "append"
@@ -62,6 +69,31 @@ class _Job:
             rejects.write(reject_ad_log(batch), batch_id)
         return parse_ad_log(batch)
 
+    exclude_users: Exclusions | None = None
+
+    def _kept(self, clicks: DataFrame, batch_id: int) -> DataFrame:
+        """A batch's clicks without those of the users who are listed now."""
+        users = self.exclude_users
+        return O.exclude(clicks, users(clicks, batch_id) if callable(users) else users)
+
+    def _add(self, log: IncrementLog, count: Callable[[DataFrame], DataFrame], batch: DataFrame, batch_id: int) -> None:
+        """Write a batch's rejects, and the counts of its kept clicks, from one copy of its lines."""
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read by both writes, and to look up its users
+        try:
+            clicks = self._parse(batch, batch_id, self.rejects)
+            log.write(count(self._kept(clicks, batch_id)), batch_id)
+        finally:
+            batch.unpersist()
+
+    def _ask_in_each_batch(self, watermark: str | None) -> bool:
+        """Whether clicks can be counted only inside a batch, since its list isn't known before."""
+        if not callable(self.exclude_users):
+            return False
+        if watermark:
+            raise ValueError("a watermark needs counts in the state store, so a list that is fixed at the start")
+        self.rejects_apart = False
+        return True
+
     def plan(self, lines: DataFrame) -> DataFrame:
         """The streaming part before the per-batch sink."""
         return lines
@@ -144,7 +176,7 @@ class AreaCityAdDailyJob(_Job):
 
     KEYS = ["date", "area", "city", "ad_id"]
 
-    def __init__(self, spark, out_dir, exclude_users: DataFrame | None = None,
+    def __init__(self, spark, out_dir, exclude_users: Exclusions | None = None,
                  keep_rejects: bool = True, compact_every: int | None = COMPACT_EVERY):
         super().__init__(spark, out_dir, compact_every)
         self.exclude_users = exclude_users
@@ -154,12 +186,7 @@ class AreaCityAdDailyJob(_Job):
         self.rejects = self._rejects() if keep_rejects else None
 
     def process(self, batch, batch_id):
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read by two writes
-        try:
-            clicks = self._parse(batch, batch_id, self.rejects)
-            self.counts.write(O.area_city_ad_daily(clicks, self.exclude_users), batch_id)
-        finally:
-            batch.unpersist()
+        self._add(self.counts, O.area_city_ad_daily, batch, batch_id)
         self._maybe_compact(batch_id, self.counts, self.rejects)
 
     def result(self) -> DataFrame:
@@ -206,35 +233,48 @@ class AreaTopAdsJob(_Job):
     in ``foreachBatch`` because a stream cannot be ranked directly. The counts are
     stored in buckets of (date, area), so a batch opens those of its groups only.
     ``watermark`` bounds the state (see ``daily``).
+
+    With a list that is asked in each batch, clicks are counted inside the batch and
+    added into a counter log of the same buckets instead (S13).
     """
 
     output_mode = "update"
     rejects_apart = True
 
     def __init__(self, spark, out_dir, k: int = O.ads.TOP_ADS, compact_every: int | None = COMPACT_EVERY,
-                 watermark: str | None = None, exclude_users: DataFrame | None = None,
+                 watermark: str | None = None, exclude_users: Exclusions | None = None,
                  keep_rejects: bool = True):
         super().__init__(spark, out_dir, compact_every)
         self.rejects = self._rejects() if keep_rejects else None
         self.k, self.watermark, self.exclude_users = k, watermark, exclude_users
-        self.counts = ReplaceLog(spark, f"{self.out_dir}/counts",
-                                 "date string, area string, ad_id bigint, n bigint",
-                                 ["date", "area", "ad_id"], LOOKUP_BUCKETS, ["date", "area"])
+        self.asks = self._ask_in_each_batch(watermark)
+        schema, keys = "date string, area string, ad_id bigint, n bigint", ["date", "area", "ad_id"]
+        buckets = {"buckets": LOOKUP_BUCKETS, "bucket_keys": ["date", "area"]}
+        self.counts = (IncrementLog(spark, f"{self.out_dir}/added", schema, keys, "n", **buckets) if self.asks
+                       else ReplaceLog(spark, f"{self.out_dir}/counts", schema, keys, **buckets))
         self.top = ReplaceLog(spark, f"{self.out_dir}/top",
                               "date string, area string, top3 string", ["date", "area"])
 
     def plan(self, lines):
+        if self.asks:
+            return lines
         parsed = O.exclude(parse_ad_log(lines), self.exclude_users)   # stream-static anti join
         clicks, day = daily(parsed, self.watermark)
-        counts = clicks.groupBy(day, "area", "ad_id").agg(F.count(F.lit(1)).alias("n"))
-        return day_string(counts, self.watermark)
+        return day_string(self._count(clicks, day), self.watermark)
+
+    @staticmethod
+    def _count(clicks, day="date"):
+        return clicks.groupBy(day, "area", "ad_id").agg(F.count(F.lit(1)).alias("n"))
 
     def process(self, batch, batch_id):
-        self.counts.write(batch, batch_id)
+        if self.asks:
+            self._add(self.counts, self._count, batch, batch_id)
+        else:
+            self.counts.write(batch, batch_id)
         touched = self.counts.read_batch(batch_id).select("date", "area")
-        current = self.counts.latest(only=touched)
+        current = self.counts.totals(only=touched) if self.asks else self.counts.latest(only=touched)
         self.top.write(O.area_top_ads_json(O.area_top_ads(current, self.k)), batch_id)
-        self._maybe_compact(batch_id, self.counts, self.top)
+        self._maybe_compact(batch_id, self.counts, self.top, self.rejects if self.asks else None)
 
     def result(self) -> DataFrame:
         return self.top.latest()
@@ -246,6 +286,8 @@ class ClickTrendJob(_Job):
 
     ``watermark`` (e.g. ``"2 minutes"``) bounds the state and drops later events;
     the default keeps every bucket, like the reference, which has no watermark.
+    With a list that is asked in each batch, clicks are counted inside the batch and
+    added into a counter log instead (S13).
     """
 
     output_mode = "update"
@@ -253,16 +295,20 @@ class ClickTrendJob(_Job):
 
     def __init__(self, spark, out_dir, window_s: int = O.ads.TREND_WINDOW_S,
                  slide_s: int = O.ads.TREND_SLIDE_S, watermark: str | None = None,
-                 exclude_users: DataFrame | None = None, keep_rejects: bool = True,
+                 exclude_users: Exclusions | None = None, keep_rejects: bool = True,
                  compact_every: int | None = COMPACT_EVERY):
         super().__init__(spark, out_dir, compact_every)
         self.rejects = self._rejects() if keep_rejects else None
         self.window_s, self.slide_s, self.watermark = window_s, slide_s, watermark
         self.exclude_users = exclude_users
-        self.buckets = ReplaceLog(spark, f"{self.out_dir}/buckets", "bucket bigint, n bigint",
-                                  ["bucket"])
+        self.asks = self._ask_in_each_batch(watermark)
+        schema, keys = "bucket bigint, n bigint", ["bucket"]
+        self.buckets = (IncrementLog(spark, f"{self.out_dir}/added", schema, keys, "n") if self.asks
+                        else ReplaceLog(spark, f"{self.out_dir}/buckets", schema, keys))
 
     def plan(self, lines):
+        if self.asks:
+            return lines
         clicks = (O.exclude(parse_ad_log(lines), self.exclude_users)   # stream-static anti join
                   .withColumn("ts", F.timestamp_millis(F.col("ts_ms"))))
         if self.watermark:
@@ -271,19 +317,30 @@ class ClickTrendJob(_Job):
                 .agg(F.count(F.lit(1)).alias("n"))
                 .select(F.unix_seconds(F.col("w.start")).alias("bucket"), "n"))
 
+    def _count(self, clicks):
+        bucket = floor_div(F.col("ts_ms"), 1000 * self.slide_s) * self.slide_s
+        return clicks.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
     def process(self, batch, batch_id):
-        self.buckets.write(batch, batch_id)
-        self._maybe_compact(batch_id, self.buckets)
+        if self.asks:
+            self._add(self.buckets, self._count, batch, batch_id)
+        else:
+            self.buckets.write(batch, batch_id)
+        self._maybe_compact(batch_id, self.buckets, self.rejects if self.asks else None)
+
+    def _counts(self) -> DataFrame:
+        """(bucket, n) as they are now."""
+        return self.buckets.totals() if self.asks else self.buckets.latest()
 
     def result(self, ordered: bool = False) -> DataFrame:
-        return O.ads.trend_windows(self.buckets.latest(), self.window_s, self.slide_s, ordered)
+        return O.ads.trend_windows(self._counts(), self.window_s, self.slide_s, ordered)
 
     def latest(self) -> DataFrame:
         """The current window: (pos, bucket, n) of the last ``window_s`` seconds up to the
         newest bucket, in order of time; buckets without a click are absent, as in the reference."""
         slots = self.window_s // self.slide_s
-        newest = self.buckets.latest().agg(F.max("bucket").alias("newest"))
-        now = self.buckets.latest().join(F.broadcast(newest), F.col("bucket") > F.col("newest") - self.window_s)
+        newest = self._counts().agg(F.max("bucket").alias("newest"))
+        now = self._counts().join(F.broadcast(newest), F.col("bucket") > F.col("newest") - self.window_s)
         order = Window.orderBy("bucket")   # at most window_s / slide_s rows
         return (now.select("bucket", "n").withColumn("pos", F.row_number().over(order).cast("bigint"))
                 .where(F.col("pos") <= slots).select("pos", "bucket", "n"))
@@ -306,7 +363,7 @@ class ArrivalTrendJob(_Job):
     """
 
     def __init__(self, spark, out_dir, window_s: int = O.ads.TREND_WINDOW_S,
-                 slide_s: int = O.ads.TREND_SLIDE_S, exclude_users: DataFrame | None = None,
+                 slide_s: int = O.ads.TREND_SLIDE_S, exclude_users: Exclusions | None = None,
                  keep_rejects: bool = True, arrival: Callable[[int], int] | None = None,
                  keep_views: int | None = None, compact_every: int | None = COMPACT_EVERY):
         super().__init__(spark, out_dir, compact_every)
@@ -334,7 +391,7 @@ class ArrivalTrendJob(_Job):
         slot, last = self._slot(batch_id)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read by two writes
         try:
-            clicks = O.exclude(self._parse(batch, batch_id, self.rejects), self.exclude_users)
+            clicks = self._kept(self._parse(batch, batch_id, self.rejects), batch_id)
             bucket = floor_div(F.col("ts_ms"), 1000 * self.slide_s) * self.slide_s
             counts = clicks.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
             own = f"{self.out_dir}/slots/slot={slot}/batch_id={batch_id}"
@@ -415,6 +472,15 @@ class BlacklistJob(_Job):
             crossed.unpersist()
         self._maybe_compact(batch_id, self.listed)
 
+    def listed_before(self, clicks: DataFrame, batch_id: int | None) -> DataFrame:
+        """(user_id): the users of ``clicks`` whom a batch before this one has listed.
+
+        Other jobs over the same batches take it as ``exclude_users``; the list as it is
+        now, for jobs with batches of their own, is that before batch ``None``. Only the
+        buckets of these users are opened.
+        """
+        return self.listed.lookup(clicks.select("user_id"), ["user_id"], before=batch_id).select("user_id")
+
     def result(self) -> DataFrame:
         """(user_id, first_batch): each listed user and the batch that listed them."""
         return (self.listed.read().groupBy("user_id")

@@ -4,6 +4,7 @@ import collections
 import pytest
 from pyspark.sql import functions as F
 
+from clickpath import operators as O
 from clickpath.session import new_work_dir
 from clickpath.sinks import IncrementLog, LineLog, ReplaceLog, SetLog, numbered_dirs
 from clickpath.sources import format_ad_log
@@ -134,3 +135,37 @@ def test_blacklist_lists_a_user_once_and_reads_only_the_list(spark):
     assert got == [(1, 1), (2, 3)]
     assert rows(job.listed.read(), "user_id", "listed_batch") == [(1, 1), (2, 3)]   # not listed again by batches 2 and 4
     assert not hasattr(job, "counts")
+
+
+@pytest.mark.parametrize("make", [J.AreaCityAdDailyJob, J.AreaTopAdsJob, J.ClickTrendJob])
+def test_a_list_that_grows_while_the_job_runs(spark, make):
+    data = [(T0 + (b * 11 + i) * 1000, "A", f"C{i % 2}", user, 1 + i % 3, b) for b in range(5) for i in range(6) for user in range(4)]
+    first = {0: 1, 2: 3, 3: 0}   # user: the batch that lists them
+    listing = J.BlacklistJob(spark, new_work_dir(spark, "t-grow-list") + "/job")
+    parts = _parts(spark, data + [(T0, "A", "C0", 9, 1, 5)])
+    bad = spark.createDataFrame([("bad line",)], "value string")
+    job = make(spark, new_work_dir(spark, "t-grow") + "/job", exclude_users=listing.listed_before, compact_every=2)
+    for b, part in enumerate(parts):   # in step: each batch of the job, then that of the list
+        lines = part.select("value").union(bad)
+        job.process(lines, b)
+        if b in (1, 4):
+            job.process(lines, b)   # a replay, once with the batch's snapshot written
+        now = [(u, b) for u, at in first.items() if at == b]
+        listing.listed.write(spark.createDataFrame(now, "user_id bigint, listed_batch bigint"), b)
+    kept = [d for d in data if d[5] <= first.get(d[3], 99)] + [(T0, "A", "C0", 9, 1, 5)]
+    clicks = spark.createDataFrame(kept, CLICKS).withColumn("date", F.lit("2024-01-01"))
+    daily = O.area_city_ad_daily(clicks)
+    want = {J.AreaCityAdDailyJob: daily, J.ClickTrendJob: O.click_trend(clicks),
+            J.AreaTopAdsJob: O.area_top_ads_json(O.area_top_ads(O.area_ad_daily(daily)))}[make]
+    assert len(kept) < len(data) and rows(job.result()) == rows(want)
+    assert job.rejects.read().count() == len(parts)
+
+
+def test_a_list_asked_in_each_batch_runs_as_one_query(spark):
+    data = [(T0 + b * 1000 + i, "A", "C", i % 3, 1, b) for b in range(2) for i in range(6)]
+    users = lambda clicks, batch_id: clicks.select("user_id").where(F.col("user_id") < batch_id)
+    job = J.AreaTopAdsJob(spark, new_work_dir(spark, "t-ask") + "/job", exclude_users=users)
+    got = rows(replay(spark, _parts(spark, data), job, new_work_dir(spark, "t-ask-in")))
+    assert got == [("2024-01-01", "A", '{"1":10}')] and job.reject_query is None
+    with pytest.raises(ValueError, match="watermark"):
+        J.ClickTrendJob(spark, new_work_dir(spark, "t-ask2") + "/job", exclude_users=users, watermark="1 minute")
