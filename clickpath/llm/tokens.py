@@ -33,8 +33,8 @@ BYTE_SYMBOLS = "".join(chr(256 + _OTHERS.index(b)) if b in _OTHERS else chr(b) f
 # Pieces in each of the two generations of the cache.
 CACHE_PIECES = 160_000
 
-# Longest piece that is remembered, in characters.
-CACHE_PIECE_CHARS = 64
+# Longest piece that is remembered, in UTF-8 bytes: 64 characters of three.
+CACHE_PIECE_BYTES = 192
 
 # Characters that are cut into pieces at once.
 CHARS_AT_ONCE = 1 << 19
@@ -87,25 +87,28 @@ def piece_starts(points: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins)
 
 
-class _Remembered(dict):
-    """Answers of ``ask`` by key: those since the last ``renew``, and the generation before."""
+class _Remembered:
+    """Answers of ``ask`` by piece, in two generations: the newer one begins anew when it holds CACHE_PIECES."""
 
-    def __init__(self, ask: Callable[[str], bytes], old: dict[str, bytes] | None = None) -> None:
-        self._ask, self._old = ask, old or {}
+    def __init__(self, ask: Callable[[list[bytes]], list[bytes]]) -> None:
+        self._ask = ask
+        self._new: dict[bytes, bytes] = {}
+        self._old: dict[bytes, bytes] = {}
 
-    def __missing__(self, key: str) -> bytes:
-        got = self._old.get(key)
-        if got is None:
-            got = self._ask(key)
-        if len(key) <= CACHE_PIECE_CHARS:
-            self[key] = got
-        return got
-
-    def renew(self) -> _Remembered:
-        if len(self) <= CACHE_PIECES:
-            return self
-        last, self._old = dict(self), {}
-        return _Remembered(self._ask, last)
+    def answers(self, pieces: list[bytes]) -> list[bytes]:
+        """The answers to distinct pieces, in order; ``ask`` gets all that neither generation holds at once."""
+        if len(self._new) > CACHE_PIECES:
+            self._new, self._old = {}, self._new
+        out = list(map(self._new.get, pieces))
+        places = [k for k, x in enumerate(out) if x is None]
+        keys = [pieces[k] for k in places]
+        held = list(map(self._old.get, keys))
+        asked = iter(self._ask([key for key, x in zip(keys, held) if x is None]))
+        for k, key, x in zip(places, keys, held):
+            out[k] = x = next(asked) if x is None else x
+            if len(key) <= CACHE_PIECE_BYTES:
+                self._new[key] = x
+        return out
 
 
 class Encoder:
@@ -165,7 +168,6 @@ class Encoder:
 
     def _side_by_side(self, texts: list[str]) -> list[bytes]:
         """The ids of texts without added tokens."""
-        self._pieces = self._pieces.renew()
         whole = "".join(texts)
         points = np.frombuffer(whole.encode("utf-32-le"), "<u4")
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -178,9 +180,9 @@ class Encoder:
         else:
             sizes = 1 + (points > 0x7F).astype(np.int8) + (points > 0x7FF) + (points > 0xFFFF)
             offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[np.append(starts, len(points))]
-        pieces = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
+        pieces = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)]).dictionary_encode()
         which = pieces.indices.to_numpy()
-        answers = list(map(self._pieces.__getitem__, pieces.dictionary.to_pylist()))
+        answers = self._pieces.answers(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
         counts = np.fromiter(map(len, answers), np.int64, len(answers)) // 4
         known = np.frombuffer(b"".join(answers), "<u4")
         n = counts[which]
@@ -189,10 +191,17 @@ class Encoder:
         cuts = np.append(0, upto)[np.searchsorted(starts, np.append(0, ends))].tolist()
         return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
 
-    def _model_ids(self, piece: str) -> bytes:
-        """The ids of a piece, from the tokenizer's model."""
-        symbols = codecs.charmap_decode(piece.encode(), "strict", BYTE_SYMBOLS)[0]
-        return array("I", [t.id for t in self._tokenizer.model.tokenize(symbols)]).tobytes()
+    def _model_ids(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece, from the tokenizer's model."""
+        symbols = codecs.charmap_decode(b"".join(pieces), "strict", BYTE_SYMBOLS)[0]  # a character for each byte
+        tokenize = self._tokenizer.model.tokenize
+        ids, cuts, at = array("I"), [0], 0
+        for piece in pieces:
+            ids.extend([t.id for t in tokenize(symbols[at:at + len(piece)])])
+            at += len(piece)
+            cuts.append(4 * len(ids))
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 def _stretches(text: str) -> Iterator[str]:

@@ -5,6 +5,7 @@ import hashlib
 import json
 import os
 import random
+import sys
 import re
 import zlib
 
@@ -96,6 +97,28 @@ def test_encoder_cache_generations(monkeypatch):
         assert got == whole.encode(x)
 
 
+def test_pieces_are_looked_up_together(monkeypatch):
+    plain, enc = tokens.Tokenizer.from_file(tokens.default_tokenizer()), tokens.Encoder(tokens.default_tokenizer(), added_tokens=True)
+    rng = random.Random(5)
+    text = " ".join("".join(rng.choice("abcdefghü漢") for _ in range(7)) for _ in range(3000))
+    want, calls = plain.encode(text, add_special_tokens=False).ids, []
+    for _ in range(2):  # unknown pieces, then known ones
+        sys.setprofile(lambda frame, event, arg: calls.append(frame.f_code.co_name) if event == "call" else None)
+        try:
+            got = enc.encode(text)
+        finally:
+            sys.setprofile(None)
+        assert np.frombuffer(got, "<u4").tolist() == want and len(calls) < 200
+    asked, ask = [], enc._pieces._ask
+    monkeypatch.setattr(enc._pieces, "_ask", lambda pieces: asked.extend(pieces) or ask(pieces))
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 10)
+    assert enc.encode(text) == got and asked == []  # they are the older generation now
+    long = "x" * tokens.CACHE_PIECE_BYTES
+    for _ in range(2):
+        enc.encode(f"{long} {long}")
+    assert asked == [long.encode(), b" " + long.encode(), b" " + long.encode()]
+
+
 def test_packing(docs, nothing):
     rows = packing.pack(docs).collect()
     enc = tokens.encoder(tokens.default_tokenizer())
