@@ -6,8 +6,8 @@ each leaf holds the target bytes; leaves are the shards. A group that fills a sh
 can get one of its own first, so that it takes no part in the halving. Medians are found by
 counting: each round sums the weights of a fixed number of bins for all nodes of
 a level at once, keeps the bin that the median falls into, and bins it anew. The
-driver sees one row for each node of a level, and levels are stored, so neither grows with
-the documents.
+driver sees one row for each node of a level. Each pass finds the nodes of the stored
+groups from the cuts above, and every fourth level is stored, so plans stay short.
 """
 
 from __future__ import annotations
@@ -25,6 +25,9 @@ BINS = 1024
 # A median is finished group by group once its bin holds so many or fewer.
 FINISHED = 2000
 
+# Levels whose cuts a pass applies to the groups before these are stored with their nodes.
+STORED_LEVELS = 4
+
 # Metadata of a group, in order of preference where two are equally wide.
 DIMENSIONS = ["n_bytes", "source_code", "lang_code", "first_id"]
 
@@ -125,7 +128,7 @@ def assign(groups: DataFrame, shards: int) -> DataFrame:
     spans = groups.agg(*(F.min(d).alias(f"min_{d}") for d in DIMENSIONS), *(F.max(d).alias(f"max_{d}") for d in DIMENSIONS)).first()
     whole = {d: (spans[f"max_{d}"] or 0) - (spans[f"min_{d}"] or 0) or 1 for d in DIMENSIONS}
     placed = groups.withColumn("node", F.lit(1).cast("long"))
-    open_nodes, leaves = {1: shards}, {}
+    open_nodes, leaves, level = {1: shards}, {}, 0
     while open_nodes:
         leaves |= {n: k for n, k in open_nodes.items() if k == 1}
         open_nodes = {n: k for n, k in open_nodes.items() if k > 1}
@@ -140,7 +143,9 @@ def assign(groups: DataFrame, shards: int) -> DataFrame:
                 dim = max(DIMENSIONS, key=lambda d: ((r[f"max_{d}"] - r[f"min_{d}"]) / whole[d], -DIMENSIONS.index(d)))
                 nodes.append({"node": r["node"], "dim": dim, "shares": open_nodes[r["node"]], "weight": r["weight"],
                               "least": r[f"min_{dim}"], "most": r[f"max_{dim}"]})
-        placed = common.materialise(_descend(placed, _medians(placed, nodes)), "shard-level")
+        placed, level = _descend(placed, _medians(placed, nodes)), level + 1
+        if level % STORED_LEVELS == 0:
+            placed = common.materialise(placed, "shard-level")
         open_nodes = {c: k for n, s in open_nodes.items() for c, k in ((2 * n, s // 2), (2 * n + 1, s - s // 2))}
     numbers = groups.sparkSession.createDataFrame(
         [(n, i) for i, n in enumerate(sorted(leaves, key=lambda n: bin(n)[2:]))], "node long, shard int")
@@ -198,7 +203,7 @@ def shard(docs: DataFrame, target_bytes: int | None = None, shards: int | None =
         placed = assign(rest, first).select("digest", "shard").union(table)
     else:
         placed = assign(groups, shards).select("digest", "shard")
-    numbered = common.materialise(rows.join(placed, "digest").select(
-        "doc_id", "size", "text_crc32", "shard", "digest"), "sharded")
+    # Joined twice by ``gapless``, from the stored rows and groups.
+    numbered = rows.join(placed, "digest").select("doc_id", "size", "text_crc32", "shard", "digest")
     return common.gapless(numbered, ["shard"], ["doc_id", "digest"], "slot").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

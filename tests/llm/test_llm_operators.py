@@ -388,6 +388,17 @@ def test_thousands_of_leaves(spark):
     assert set(size) <= set(range(5000)) and len(size) > 4000 and sum(size.values()) == sum(len(t) + 1 for _, t in rows)
 
 
+def test_sharding_stores_rows_and_groups_only(spark, monkeypatch):
+    names, store = [], common.materialise
+    monkeypatch.setattr(common, "materialise", lambda df, name: names.append(name) or store(df, name))
+    docs = common.configure(spark).createDataFrame([(i, f"text {i}" * (i % 9)) for i in range(300)], "doc_id long, text string")
+    slots = collections.defaultdict(list)
+    for r in sharding.shard(docs, shards=8).collect():
+        slots[r.shard].append(r.slot)
+    assert names == ["shard-rows", "shard-groups"]
+    assert sum(map(len, slots.values())) == 300 and all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
 def test_groups_alone_use_up_the_shards(spark, docs, nothing):
     assert sharding.shard(nothing, shards=4, alone=True).count() == 0
     few = spark.createDataFrame([(i, str(i) * (10 ** i)) for i in range(4)] * 2, "doc_id long, text string")
